@@ -54,6 +54,18 @@ def instant_range(col: Column | str, start_day: dt.date, end_day: dt.date, tz: s
     return (c >= ts_literal(utc_instant(start_day, tz))) & (c < ts_literal(utc_instant(end_day, tz)))
 
 
+def micros_between(start: Column, end: Column) -> Column:
+    """end - start in microseconds for ``timestamp_ntz`` values, exact and
+    independent of the session zone (the difference is a day-time interval)."""
+    d = end - start
+    return (
+        F.extract(F.lit("DAY"), d).cast("long") * 86_400_000_000
+        + F.extract(F.lit("HOUR"), d).cast("long") * 3_600_000_000
+        + F.extract(F.lit("MINUTE"), d).cast("long") * 60_000_000
+        + (F.extract(F.lit("SECOND"), d) * 1_000_000).cast("long")
+    )
+
+
 def add_months(day: dt.date, months: int) -> dt.date:
     idx = day.year * 12 + (day.month - 1) + months
     return dt.date(idx // 12, idx % 12 + 1, 1) if day.day == 1 else _add_months_any(day, idx)

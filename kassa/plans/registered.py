@@ -28,3 +28,80 @@ def q_daily_sales(spark, sf_dir):
 def q_daily_sales_events(spark, sf_dir):
     s = events(spark, sf_dir)
     return shared.daily_sales(s, EVENTS_AS_OF.replace(month=1, day=1), EVENTS_AS_OF)
+
+
+from kassa.functions.money import money  # noqa: E402
+from kassa.operators import cohort, daily_summary, inventory, patterns, product, rfm  # noqa: E402
+from kassa.plans.catalog import SUMMARY_DAY, YEAR  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+
+@register("customer_cohort")
+def q_customer_cohort(spark, sf_dir):
+    return cohort.customer_cohort(shop(spark, sf_dir), YEAR)
+
+
+@register("product_performance")
+def q_product_performance(spark, sf_dir):
+    return product.product_performance(shop(spark, sf_dir), as_of=AS_OF)
+
+
+@register("rfm_segmentation")
+def q_rfm_segmentation(spark, sf_dir):
+    return rfm.rfm_segmentation(shop(spark, sf_dir), as_of=AS_OF)
+
+
+@register("inventory_turnover")
+def q_inventory_turnover(spark, sf_dir):
+    return inventory.inventory_turnover(shop(spark, sf_dir), DAYS, as_of=AS_OF)
+
+
+@register("purchase_patterns")
+def q_purchase_patterns(spark, sf_dir):
+    return patterns.purchase_patterns(shop(spark, sf_dir), YEAR)
+
+
+@register("daily_sales_summary")
+def q_daily_sales_summary(spark, sf_dir):
+    return daily_summary.daily_sales_summary(shop(spark, sf_dir), SUMMARY_DAY)
+
+
+@register("low_stock_alerts")
+def q_low_stock_alerts(spark, sf_dir):
+    return inventory.low_stock_alerts(shop(spark, sf_dir), DAYS, as_of=AS_OF)
+
+
+@register("churn_risk")
+def q_churn_risk(spark, sf_dir):
+    return rfm.churn_risk(shop(spark, sf_dir), as_of=AS_OF)
+
+
+@register("weekly_sales")
+def q_weekly_sales(spark, sf_dir):
+    return trend.sales_trend(shop(spark, sf_dir), 7, as_of=AS_OF)
+
+
+@register("monthly_revenue_breakdown")
+def q_monthly_revenue_breakdown(spark, sf_dir):
+    return product.monthly_revenue_breakdown(shop(spark, sf_dir), as_of=AS_OF)
+
+
+@register("category_rollup")
+def q_category_rollup(spark, sf_dir):
+    return shared.category_rollup(shop(spark, sf_dir))
+
+
+@register("product_sales")
+def q_product_sales(spark, sf_dir):
+    return shared.product_sales(shop(spark, sf_dir), as_of=AS_OF, window_days=DAYS)
+
+
+@register("order_sequence")
+def q_order_sequence(spark, sf_dir):
+    return patterns.order_sequence_report(shop(spark, sf_dir))
+
+
+@register("customer_monthly_summary")
+def q_customer_monthly_summary(spark, sf_dir):
+    s = shared.customer_monthly_summary(shop(spark, sf_dir))
+    return s.select("customer_id", "order_month", "order_count", money(F.col("revenue")).alias("revenue"))

@@ -37,6 +37,7 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8) -> SparkS
         SparkSession.builder.master(master)
         .appName("kassa")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
