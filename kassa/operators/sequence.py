@@ -28,6 +28,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -249,8 +250,12 @@ def number_rows(
     """
     group, rank_by, lag = list(group), list(rank_by), list(lag)
     exprs = _sort_exprs(group, order)
-    ranged = df.repartitionByRange(partitions, *exprs) if partitions else df.repartitionByRange(*exprs)
+    # The input feeds two jobs (range-bound sampling, then the checkpoint
+    # write); keep it for their duration only, so it is computed once.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = src.repartitionByRange(partitions, *exprs) if partitions else src.repartitionByRange(*exprs)
     ranged = ranged.sortWithinPartitions(*exprs).checkpoint(eager=True)
+    src.unpersist()
     fields = {f.name: f for f in ranged.schema.fields}
 
     sum_fields = [StructField("pid", LongType()), StructField("n", LongType())]
