@@ -35,6 +35,9 @@ YEAR = 1996
 DAYS = 90
 SUMMARY_DAY = dt.date(2001, 7, 20)
 EVENTS_SUMMARY_DAY = dt.date(2024, 1, 15)
+SINCE = dt.date(1999, 1, 1)
+LOOKUP_ID = 7
+LOOKUP_EMAIL = "CUSTOMER.000000007@EXAMPLE.COM"
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, QueryFn] = {}

@@ -364,3 +364,136 @@ SELECT customer_id, {iso(local_month('order_date'))} AS order_month,
 FROM shop_orders WHERE status = 'completed'
 GROUP BY 1, 2""",
 )
+
+
+# ---- A: ad-hoc and lookups -------------------------------------------------
+_since = local_midnight(C.SINCE)
+ORACLES["frequent_customers_join_first"] = _report(
+    "",
+    f"""
+SELECT c.name, c.email, COUNT(o.id) AS order_count, CAST(SUM(o.total_amount) AS DOUBLE) AS total_revenue
+FROM shop_customers c LEFT JOIN shop_orders o ON c.id = o.customer_id
+WHERE o.order_date >= {_since}
+GROUP BY c.id, c.name, c.email
+HAVING COUNT(o.id) > 5""",
+)
+_AGG_FIRST = f"""
+SELECT c.name, c.email, t.order_count, CAST(t.total_revenue AS DOUBLE) AS total_revenue
+FROM (
+  SELECT customer_id, COUNT(*) AS order_count, SUM(total_amount) AS total_revenue
+  FROM shop_orders WHERE order_date >= {_since}
+  GROUP BY customer_id HAVING COUNT(*) > 5
+) t JOIN shop_customers c ON c.id = t.customer_id"""
+ORACLES["frequent_customers_agg_first"] = _report("", _AGG_FIRST)
+ORACLES["frequent_customers_top"] = _report(
+    "",
+    f"""
+SELECT t.customer_id, c.name, c.email, t.order_count, CAST(t.total_revenue AS DOUBLE) AS total_revenue
+FROM (
+  SELECT customer_id, COUNT(*) AS order_count, SUM(total_amount) AS total_revenue
+  FROM shop_orders WHERE status = 'completed' AND order_date >= {_since}
+  GROUP BY customer_id HAVING COUNT(*) > 5
+) t JOIN shop_customers c ON c.id = t.customer_id
+ORDER BY t.total_revenue DESC, t.customer_id
+LIMIT 100""",
+)
+ORACLES["frequent_customers_diff"] = _report(
+    f"""
+a AS (
+  SELECT c.name, c.email, COUNT(o.id) AS order_count, CAST(SUM(o.total_amount) AS DOUBLE) AS total_revenue
+  FROM shop_customers c JOIN shop_orders o ON c.id = o.customer_id
+  WHERE o.order_date >= {_since}
+  GROUP BY c.id, c.name, c.email HAVING COUNT(o.id) > 5
+),
+b AS ({_AGG_FIRST})""",
+    """
+SELECT *, 'join_first' AS only_in FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+UNION ALL
+SELECT *, 'agg_first' AS only_in FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""",
+)
+_CUSTOMER_ROW = """SELECT id, email, name, COALESCE(country, '') AS country,
+       strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at FROM shop_customers"""
+ORACLES["customer_by_id"] = _report("", f"{_CUSTOMER_ROW} WHERE id = {C.LOOKUP_ID}")
+ORACLES["customer_by_email"] = _report("", f"{_CUSTOMER_ROW} WHERE lower(email) = lower('{C.LOOKUP_EMAIL}')")
+
+# ---- D: data quality ---------------------------------------------------------
+from kassa.operators.quality import REQUIRED  # noqa: E402
+
+_MODEL_VIEW = {
+    "customers": "shop_customers",
+    "categories": "shop_categories",
+    "products": "shop_products",
+    "orders": "shop_orders",
+    "order_items": "shop_items",
+}
+ORACLES["dq_nulls"] = _report(
+    "",
+    "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count "
+        f"FROM {_MODEL_VIEW[t]}"
+        for t, cols in REQUIRED.items()
+        for c in cols
+    ),
+)
+ORACLES["dq_email_format"] = _report("", "SELECT id, email FROM shop_customers WHERE NOT (email LIKE '%_@_%')")
+ORACLES["dq_country_format"] = _report(
+    "", "SELECT id, country FROM shop_customers WHERE country IS NOT NULL AND NOT regexp_matches(country, '^[A-Z]{2}$')"
+)
+ORACLES["dq_email_duplicates"] = _report(
+    "",
+    "SELECT lower(email) AS email_key, COUNT(*) AS row_count FROM shop_customers GROUP BY 1 HAVING COUNT(*) > 1",
+)
+ORACLES["dq_category_name_duplicates"] = _report(
+    "", "SELECT name, COUNT(*) AS row_count FROM shop_categories GROUP BY 1 HAVING COUNT(*) > 1"
+)
+ORACLES["dq_order_status"] = _report(
+    "",
+    "SELECT id, status FROM shop_orders WHERE status IS NULL OR status NOT IN ('pending', 'completed', 'cancelled')",
+)
+ORACLES["dq_ranges"] = _report(
+    "",
+    """
+SELECT 'products.price >= 0' AS rule, COUNT(*) FILTER (WHERE price < 0) AS violations FROM shop_products
+UNION ALL SELECT 'products.stock_quantity >= 0', COUNT(*) FILTER (WHERE stock_quantity < 0) FROM shop_products
+UNION ALL SELECT 'orders.total_amount >= 0', COUNT(*) FILTER (WHERE total_amount < 0) FROM shop_orders
+UNION ALL SELECT 'order_items.quantity > 0', COUNT(*) FILTER (WHERE quantity <= 0) FROM shop_items
+UNION ALL SELECT 'order_items.unit_price >= 0', COUNT(*) FILTER (WHERE unit_price < 0) FROM shop_items""",
+)
+ORACLES["dq_orphans"] = _report(
+    "",
+    """
+SELECT 'categories.parent_id' AS rule, CAST(parent_id AS BIGINT) AS key FROM shop_categories x
+WHERE parent_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM shop_categories p WHERE p.id = x.parent_id)
+UNION ALL
+SELECT 'products.category_id', CAST(category_id AS BIGINT) FROM shop_products x
+WHERE category_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM shop_categories p WHERE p.id = x.category_id)
+UNION ALL
+SELECT 'orders.customer_id', customer_id FROM shop_orders x
+WHERE NOT EXISTS (SELECT 1 FROM shop_customers p WHERE p.id = x.customer_id)
+UNION ALL
+SELECT 'order_items.order_id', order_id FROM shop_items x
+WHERE NOT EXISTS (SELECT 1 FROM shop_orders p WHERE p.id = x.order_id)
+UNION ALL
+SELECT 'order_items.product_id', product_id FROM shop_items x
+WHERE NOT EXISTS (SELECT 1 FROM shop_products p WHERE p.id = x.product_id)""",
+)
+ORACLES["dq_item_duplicates"] = _report(
+    "",
+    "SELECT order_id, product_id, COUNT(*) AS row_count FROM shop_items GROUP BY 1, 2 HAVING COUNT(*) > 1",
+)
+ORACLES["order_total_reconcile"] = _report(
+    "",
+    """
+SELECT o.id AS order_id, CAST(o.total_amount AS DOUBLE) AS total_amount,
+       CAST(COALESCE(i.t, 0) AS DOUBLE) AS items_total,
+       CAST(o.total_amount - COALESCE(i.t, 0) AS DOUBLE) AS difference
+FROM shop_orders o
+LEFT JOIN (SELECT order_id, SUM(quantity * unit_price) AS t FROM shop_items GROUP BY 1) i ON i.order_id = o.id
+WHERE o.total_amount <> COALESCE(i.t, 0)""",
+)
+ORACLES["table_row_counts"] = _report(
+    "",
+    "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {v}" for t, v in _MODEL_VIEW.items()
+    ),
+)

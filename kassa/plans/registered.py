@@ -105,3 +105,57 @@ def q_order_sequence(spark, sf_dir):
 def q_customer_monthly_summary(spark, sf_dir):
     s = shared.customer_monthly_summary(shop(spark, sf_dir))
     return s.select("customer_id", "order_month", "order_count", money(F.col("revenue")).alias("revenue"))
+
+
+from kassa.operators import adhoc, quality  # noqa: E402
+from kassa.plans.catalog import LOOKUP_EMAIL, LOOKUP_ID, SINCE  # noqa: E402
+
+
+@register("frequent_customers_join_first")
+def q_frequent_join_first(spark, sf_dir):
+    return adhoc.frequent_customers_join_first(shop(spark, sf_dir), SINCE)
+
+
+@register("frequent_customers_agg_first")
+def q_frequent_agg_first(spark, sf_dir):
+    return adhoc.frequent_customers_agg_first(shop(spark, sf_dir), SINCE)
+
+
+@register("frequent_customers_top")
+def q_frequent_top(spark, sf_dir):
+    return adhoc.frequent_customers_top(shop(spark, sf_dir), SINCE)
+
+
+@register("frequent_customers_diff")
+def q_frequent_diff(spark, sf_dir):
+    return adhoc.frequent_customers_diff(shop(spark, sf_dir), SINCE)
+
+
+@register("customer_by_id")
+def q_customer_by_id(spark, sf_dir):
+    return adhoc.customer_by_id(shop(spark, sf_dir), LOOKUP_ID)
+
+
+@register("customer_by_email")
+def q_customer_by_email(spark, sf_dir):
+    return adhoc.customer_by_email(shop(spark, sf_dir), LOOKUP_EMAIL)
+
+
+def _dq(name, fn):
+    register(name)(lambda spark, sf_dir: fn(shop(spark, sf_dir)))
+
+
+for _name in (
+    "dq_nulls",
+    "dq_email_format",
+    "dq_country_format",
+    "dq_email_duplicates",
+    "dq_category_name_duplicates",
+    "dq_order_status",
+    "dq_ranges",
+    "dq_orphans",
+    "dq_item_duplicates",
+    "order_total_reconcile",
+    "table_row_counts",
+):
+    _dq(_name, getattr(quality, _name))
