@@ -36,6 +36,7 @@ DAYS = 90
 SUMMARY_DAY = dt.date(2001, 7, 20)
 EVENTS_SUMMARY_DAY = dt.date(2024, 1, 15)
 SINCE = dt.date(1999, 1, 1)
+REFRESH_SINCE = dt.datetime(2000, 6, 1)
 LOOKUP_ID = 7
 LOOKUP_EMAIL = "CUSTOMER.000000007@EXAMPLE.COM"
 
@@ -89,6 +90,16 @@ def _load() -> None:
     import kassa.plans.registered  # noqa: F401  (registers on import)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a written table, under the session's shared
+    checkpoint folder (never a machine-local temporary folder)."""
+    import uuid
+
+    from kassa.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/kassa-tables/{name}-{uuid.uuid4().hex}"
+
+
 def shop(spark: SparkSession, sf_dir: str):
     return driver_shop(spark, sf_dir)
 

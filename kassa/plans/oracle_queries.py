@@ -497,3 +497,15 @@ ORACLES["table_row_counts"] = _report(
         f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {v}" for t, v in _MODEL_VIEW.items()
     ),
 )
+
+# ---- T: refresh and layout ----------------------------------------------------
+ORACLES["customer_monthly_summary_refresh"] = ORACLES["customer_monthly_summary"]
+ORACLES["orders_by_month"] = _report(
+    "",
+    f"""
+SELECT id, customer_id, strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date, status,
+       CAST(total_amount AS DOUBLE) AS total_amount,
+       strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at,
+       strftime({local_month('order_date')}, '%Y-%m') AS order_month
+FROM shop_orders""",
+)

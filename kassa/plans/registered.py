@@ -159,3 +159,24 @@ for _name in (
     "table_row_counts",
 ):
     _dq(_name, getattr(quality, _name))
+
+
+from kassa.plans.catalog import REFRESH_SINCE, scratch_path  # noqa: E402
+
+
+@register("customer_monthly_summary_refresh")
+def q_customer_monthly_summary_refresh(spark, sf_dir):
+    """The summary as of REFRESH_SINCE, refreshed with the orders changed
+    since; equals the full recompute."""
+    s = shop(spark, sf_dir)
+    before = shared.summary_before(s, REFRESH_SINCE)
+    out = shared.refresh_customer_monthly_summary(s, before, REFRESH_SINCE)
+    return out.select("customer_id", "order_month", "order_count", money(F.col("revenue")).alias("revenue"))
+
+
+@register("orders_by_month")
+def q_orders_by_month(spark, sf_dir):
+    """Orders written partitioned by local month to the shared folder, read back."""
+    path = scratch_path(spark, "orders_by_month")
+    shared.write_orders_by_month(shop(spark, sf_dir), path)
+    return shared.read_orders_by_month(spark, path)
