@@ -74,10 +74,6 @@ ORACLES["daily_sales_events"] = _daily(
 )
 
 
-def _ctes_and_select(sql: str) -> str:
-    return sql
-
-
 def _product_sales_cte(as_of: dt.date, days: int) -> str:
     from kassa.functions import timeutil as tu
 
@@ -509,3 +505,43 @@ SELECT id, customer_id, strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date,
        strftime({local_month('order_date')}, '%Y-%m') AS order_month
 FROM shop_orders""",
 )
+
+# ---- E: outputs ----------------------------------------------------------------
+from kassa.sinks.outputs import sheet  # noqa: E402
+
+
+def _titled(report: str, base_sql: str, keys: bool = False) -> str:
+    from kassa.sinks.outputs import report_key
+
+    _, titles, cols = sheet(report)
+    sel = []
+    for t, c in zip(titles, cols):
+        expr = c
+        if c == "is_top_20_pct_in_category":
+            expr = f"CASE WHEN {c} THEN 'Yes' ELSE 'No' END"
+        name = report_key(t) if keys else t
+        sel.append(f'{expr} AS "{name}"')
+    return f"SELECT {', '.join(sel)} FROM ({base_sql}) base"
+
+
+_TREND_BODY = _trend("shop_orders", C.DAYS, C.AS_OF)
+_PP_BODY = ORACLES["product_performance"]
+ORACLES["report_titles"] = f"WITH t AS ({_PP_BODY})\n" + _titled("product_performance", "SELECT * FROM t")
+ORACLES["report_keys"] = f"WITH t AS ({_TREND_BODY})\n" + _titled("sales_trend", "SELECT * FROM t", keys=True)
+ORACLES["report_json"] = ORACLES["report_keys"]
+_csv_cols = [
+    ('"Day"', "day"),
+    ('"Day of Week"', "day_of_week"),
+    ('"Orders"', "CAST(total_orders AS VARCHAR)"),
+    ('"Revenue"', "printf('%.2f', revenue)"),
+    ('"Revenue 7d Avg"', "printf('%.2f', revenue_7d_avg)"),
+    ('"Orders 7d Avg"', "printf('%.2f', orders_7d_avg)"),
+    ('"Revenue vs Avg %"', "CASE WHEN revenue_vs_avg_pct IS NULL THEN NULL ELSE printf('%.2f', revenue_vs_avg_pct) END"),
+    ('"Anomaly"', "anomaly_flag"),
+]
+ORACLES["report_csv"] = f"WITH t AS ({_TREND_BODY})\nSELECT " + ", ".join(
+    f"{e} AS {n}" for n, e in _csv_cols
+) + " FROM t"
+_RFM_FULL = _report(_RFM_CTES, _RFM_SELECT.replace("FROM sg", "FROM sg ORDER BY rfm_score DESC, monetary DESC, customer_id LIMIT 10"))
+ORACLES["report_head"] = _RFM_FULL
+ORACLES["report_snapshot"] = _TREND_BODY

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from kassa.operators import shared, trend
 from kassa.plans.catalog import AS_OF, DAYS, EVENTS_AS_OF, events, register, shop
 
@@ -180,3 +182,62 @@ def q_orders_by_month(spark, sf_dir):
     path = scratch_path(spark, "orders_by_month")
     shared.write_orders_by_month(shop(spark, sf_dir), path)
     return shared.read_orders_by_month(spark, path)
+
+
+from kassa.sinks import outputs  # noqa: E402
+
+HEAD_N = 10
+
+
+@register("report_titles")
+def q_report_titles(spark, sf_dir):
+    df = product.product_performance(shop(spark, sf_dir), as_of=AS_OF)
+    return outputs.report_titles(df, "product_performance")
+
+
+@register("report_keys")
+def q_report_keys(spark, sf_dir):
+    df = trend.sales_trend(shop(spark, sf_dir), DAYS, as_of=AS_OF)
+    return outputs.report_keys(outputs.report_titles(df, "sales_trend"))
+
+
+@register("report_csv")
+def q_report_csv(spark, sf_dir):
+    """The titled sales trend written as CSV, read back as text."""
+    df = trend.sales_trend(shop(spark, sf_dir), DAYS, as_of=AS_OF)
+    path = scratch_path(spark, "report_csv")
+    outputs.report_csv(outputs.report_titles(df, "sales_trend"), path)
+    return spark.read.option("header", True).csv(path)
+
+
+@register("report_json")
+def q_report_json(spark, sf_dir):
+    """The titled sales trend written as JSON rows, read back."""
+    df = trend.sales_trend(shop(spark, sf_dir), DAYS, as_of=AS_OF)
+    path = scratch_path(spark, "report_json")
+    outputs.report_json(outputs.report_titles(df, "sales_trend"), path, "Sales Trend")
+    return spark.read.schema(outputs.report_keys(outputs.report_titles(df, "sales_trend")).schema).json(
+        f"{path}/rows"
+    )
+
+
+@register("report_head")
+def q_report_head(spark, sf_dir):
+    return outputs.report_head(rfm.rfm_segmentation(shop(spark, sf_dir), as_of=AS_OF), HEAD_N)
+
+
+@register("report_snapshot")
+def q_report_snapshot(spark, sf_dir):
+    """Sales trend served through a snapshot folder (computed and written on
+    the first call, read back while fresh)."""
+    root = scratch_path(spark, "snapshots")
+    s = shop(spark, sf_dir)
+    return outputs.report_snapshot(
+        spark, root, "sales_trend", {"days": DAYS}, lambda: trend.sales_trend(s, DAYS, as_of=AS_OF)
+    )
+
+
+@register("daily_sales_payload")
+def q_daily_sales_payload(spark, sf_dir):
+    summary = daily_summary.daily_sales_summary(shop(spark, sf_dir), SUMMARY_DAY)
+    return outputs.daily_sales_payload(summary, SUMMARY_DAY, generated_at=dt.datetime(2001, 7, 21, 0, 0, 0))
