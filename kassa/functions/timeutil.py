@@ -66,6 +66,25 @@ def micros_between(start: Column, end: Column) -> Column:
     )
 
 
+EPOCH_NTZ = "1970-01-01 00:00:00"
+MICROS_PER_DAY = 86_400_000_000
+
+
+def instant(col: Column | str) -> Column:
+    """``timestamp_ntz`` holding UTC -> ``timestamp`` (an instant), via epoch
+    microseconds so the session zone plays no part (streaming event time
+    must be a ``timestamp``)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.timestamp_micros(micros_between(F.lit(EPOCH_NTZ).cast("timestamp_ntz"), c))
+
+
+def day_of_instant(col: Column | str, offset_hours: int) -> Column:
+    """Calendar day at a fixed UTC offset of a ``timestamp`` value."""
+    c = F.col(col) if isinstance(col, str) else col
+    days = F.floor((F.unix_micros(c) + offset_hours * 3_600_000_000) / MICROS_PER_DAY).cast("int")
+    return F.date_add(F.lit("1970-01-01").cast("date"), days)
+
+
 def add_months(day: dt.date, months: int) -> dt.date:
     idx = day.year * 12 + (day.month - 1) + months
     return dt.date(idx // 12, idx % 12 + 1, 1) if day.day == 1 else _add_months_any(day, idx)

@@ -545,3 +545,18 @@ ORACLES["report_csv"] = f"WITH t AS ({_TREND_BODY})\nSELECT " + ", ".join(
 _RFM_FULL = _report(_RFM_CTES, _RFM_SELECT.replace("FROM sg", "FROM sg ORDER BY rfm_score DESC, monetary DESC, customer_id LIMIT 10"))
 ORACLES["report_head"] = _RFM_FULL
 ORACLES["report_snapshot"] = _TREND_BODY
+
+# ---- streams -------------------------------------------------------------------
+ORACLES["stream_daily_sales"] = _report(
+    f"""
+d AS (
+  SELECT {local_date('order_date')} AS day, COUNT(*) AS total_orders, SUM(total_amount) AS revenue
+  FROM shop_event_orders GROUP BY 1
+),
+wm AS (SELECT MAX(order_date) - INTERVAL 6 HOUR AS watermark FROM shop_event_orders)""",
+    f"""
+SELECT {iso('day')} AS day, total_orders, CAST(revenue AS DOUBLE) AS revenue
+FROM d, wm
+WHERE CAST(day AS TIMESTAMP) + INTERVAL 17 HOUR <= wm.watermark""",
+)
+ORACLES["stream_customer_monthly_summary"] = ORACLES["customer_monthly_summary"]

@@ -241,3 +241,33 @@ def q_report_snapshot(spark, sf_dir):
 def q_daily_sales_payload(spark, sf_dir):
     summary = daily_summary.daily_sales_summary(shop(spark, sf_dir), SUMMARY_DAY)
     return outputs.daily_sales_payload(summary, SUMMARY_DAY, generated_at=dt.datetime(2001, 7, 21, 0, 0, 0))
+
+
+from kassa.sources.model import ORDERS  # noqa: E402
+from kassa.streaming import streams  # noqa: E402
+
+
+@register("stream_daily_sales")
+def q_stream_daily_sales(spark, sf_dir):
+    """Purchase events as a file stream (availableNow); the closed days."""
+    root = scratch_path(spark, "stream_daily_sales")
+    streams.run_daily_sales(
+        spark, sf_dir, f"{root}/sink", f"{root}/checkpoint", name_glob="events.parquet"
+    )
+    return spark.read.parquet(f"{root}/sink")
+
+
+@register("stream_customer_monthly_summary")
+def q_stream_customer_monthly_summary(spark, sf_dir):
+    """The summary as of REFRESH_SINCE, then the orders changed since arrive
+    as a file stream and each batch upserts the touched customers."""
+    s = shop(spark, sf_dir)
+    root = scratch_path(spark, "stream_summary")
+    shared.summary_before(s, REFRESH_SINCE).write.parquet(f"{root}/table/v=-00000000001")
+    changed = s.orders.filter(F.col("updated_at") >= F.lit(REFRESH_SINCE.isoformat(" ")).cast("timestamp_ntz"))
+    changed.write.parquet(f"{root}/changes")
+    current = streams.run_customer_monthly_summary(
+        spark, s, f"{root}/changes", f"{root}/table", f"{root}/checkpoint", changes_schema=ORDERS
+    )
+    out = spark.read.parquet(current)
+    return out.select("customer_id", "order_month", "order_count", money(F.col("revenue")).alias("revenue"))
