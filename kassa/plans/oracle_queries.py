@@ -560,3 +560,60 @@ FROM d, wm
 WHERE CAST(day AS TIMESTAMP) + INTERVAL 17 HOUR <= wm.watermark""",
 )
 ORACLES["stream_customer_monthly_summary"] = ORACLES["customer_monthly_summary"]
+
+# ---- legacy layout -------------------------------------------------------------
+from kassa.operators.normalise import STATUS_ALIASES  # noqa: E402
+from kassa.sources.legacy import LEGACY_SPELLINGS, MISSING_STATUS_EVERY  # noqa: E402
+
+
+def _sql_list(values) -> str:
+    return "[" + ", ".join("'" + v + "'" for v in values) + "]"
+
+
+_legacy_status = "CASE WHEN o_orderkey % {m} = 0 THEN NULL {whens} END".format(
+    m=MISSING_STATUS_EVERY,
+    whens=" ".join(
+        f"WHEN o_orderstatus = '{code}' THEN ({_sql_list(sp)})[CAST(o_orderkey % 4 + 1 AS INTEGER)]"
+        for code, sp in LEGACY_SPELLINGS.items()
+    ),
+)
+_alias_case = "CASE lower(trim(status)) " + " ".join(
+    f"WHEN '{a}' THEN '{c}'" for a, c in STATUS_ALIASES.items()
+) + " END"
+ORACLES["normalise_legacy_orders"] = f"""
+WITH lo AS (
+  SELECT CAST(o_orderkey AS INTEGER) AS id, CAST(o_custkey AS INTEGER) AS customer_id,
+         o_orderdate + INTERVAL 7 HOUR AS order_date,
+         {_legacy_status} AS status,
+         CAST(o_totalprice AS DECIMAL(10,2)) AS total_amount
+  FROM orders
+), n AS (
+  SELECT *, {_alias_case} AS st FROM lo
+)
+SELECT CAST(id AS BIGINT) AS id, CAST(customer_id AS BIGINT) AS customer_id,
+       strftime(order_date - INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') AS order_date,
+       st AS status,
+       CAST(total_amount AS DOUBLE) AS total_amount,
+       CASE WHEN customer_id IS NULL THEN 'customer_id missing'
+            WHEN order_date IS NULL THEN 'order_date missing'
+            WHEN st IS NULL THEN 'unknown status'
+            WHEN total_amount IS NULL OR total_amount < 0 THEN 'bad total_amount' END AS reject_reason
+FROM n"""
+ORACLES["normalise_legacy_products"] = _report(
+    """
+lp AS (
+  SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS name,
+         CASE WHEN p_partkey % 50 = 0 THEN NULL
+              WHEN p_partkey % 3 = 0 THEN lower(p_type || ' ' || p_brand)
+              WHEN p_partkey % 3 = 1 THEN ' ' || p_type || ' ' || p_brand || ' '
+              ELSE p_type || ' ' || p_brand END AS category,
+         CAST(p_retailprice AS DECIMAL(10,2)) AS price,
+         CAST((p_partkey * 37) % 31 AS INTEGER) AS stock_quantity
+  FROM part
+)""",
+    """
+SELECT CAST(lp.id AS BIGINT) AS id, lp.name, CAST(c.id AS BIGINT) AS category_id,
+       CAST(lp.price AS DOUBLE) AS price, CAST(lp.stock_quantity AS BIGINT) AS stock_quantity,
+       CASE WHEN lp.category IS NOT NULL AND c.id IS NULL THEN 'unknown category' END AS reject_reason
+FROM lp LEFT JOIN shop_categories c ON lower(trim(c.name)) = lower(trim(lp.category))""",
+)

@@ -271,3 +271,19 @@ def q_stream_customer_monthly_summary(spark, sf_dir):
     )
     out = spark.read.parquet(current)
     return out.select("customer_id", "order_month", "order_count", money(F.col("revenue")).alias("revenue"))
+
+
+from kassa.operators import normalise  # noqa: E402
+from kassa.sources import legacy  # noqa: E402
+from kassa.sources.driver_tables import DriverTables  # noqa: E402
+
+
+@register("normalise_legacy_orders")
+def q_normalise_legacy_orders(spark, sf_dir):
+    return normalise.normalise_legacy_orders(legacy.legacy_orders(DriverTables(spark, sf_dir)))
+
+
+@register("normalise_legacy_products")
+def q_normalise_legacy_products(spark, sf_dir):
+    s = shop(spark, sf_dir)
+    return normalise.normalise_legacy_products(legacy.legacy_products(s.tables), s.categories)
