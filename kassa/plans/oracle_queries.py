@@ -617,3 +617,14 @@ SELECT CAST(lp.id AS BIGINT) AS id, lp.name, CAST(c.id AS BIGINT) AS category_id
        CASE WHEN lp.category IS NOT NULL AND c.id IS NULL THEN 'unknown category' END AS reject_reason
 FROM lp LEFT JOIN shop_categories c ON lower(trim(c.name)) = lower(trim(lp.category))""",
 )
+
+# ---- G: generated data that can be stated in SQL --------------------------------
+ORACLES["gen_order_totals"] = _report(
+    "",
+    """
+SELECT o.id, o.customer_id, strftime(o.order_date, '%Y-%m-%d %H:%M:%S') AS order_date, o.status,
+       CAST(COALESCE(t.total, 0) AS DOUBLE) AS total_amount,
+       strftime(o.updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at
+FROM shop_orders o
+LEFT JOIN (SELECT order_id, SUM(quantity * unit_price) AS total FROM shop_items GROUP BY 1) t ON t.order_id = o.id""",
+)

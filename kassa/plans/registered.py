@@ -287,3 +287,36 @@ def q_normalise_legacy_orders(spark, sf_dir):
 def q_normalise_legacy_products(spark, sf_dir):
     s = shop(spark, sf_dir)
     return normalise.normalise_legacy_products(legacy.legacy_products(s.tables), s.categories)
+
+
+from kassa.operators import generate  # noqa: E402
+
+SEED = 42
+
+
+@register("gen_orders")
+def q_gen_orders(spark, sf_dir):
+    """Synthetic order history for every driver customer (scales with them)."""
+    return generate.gen_orders(shop(spark, sf_dir).customers, SEED, AS_OF)
+
+
+@register("gen_order_items")
+def q_gen_order_items(spark, sf_dir):
+    cust = shop(spark, sf_dir).customers
+    products = generate.gen_products(spark, SEED, AS_OF)
+    orders = generate.gen_orders(cust, SEED, AS_OF)
+    return generate.gen_order_items(orders, products, generate.gen_product_weights(products, SEED), SEED, AS_OF)
+
+
+@register("gen_order_totals")
+def q_gen_order_totals(spark, sf_dir):
+    """Order totals recomputed from the driver's order lines."""
+    s = shop(spark, sf_dir)
+    return generate.gen_order_totals(s.orders, s.order_items)
+
+
+@register("gen_stock")
+def q_gen_stock(spark, sf_dir):
+    """Stock levels drawn from the driver products' 90-day velocity."""
+    s = shop(spark, sf_dir)
+    return generate.gen_stock(s.products, s.orders, s.order_items, SEED, AS_OF)
