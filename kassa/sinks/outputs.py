@@ -176,7 +176,7 @@ def as_text(df: DataFrame) -> DataFrame:
         c = F.col(f"`{f.name}`")
         t = f.dataType
         if isinstance(t, (DoubleType, FloatType)):
-            c = F.format_string("%.2f", c)
+            c = F.when(c.isNotNull(), F.format_string("%.2f", c))
         elif isinstance(t, DecimalType):
             c = F.round(c, 2).cast(DecimalType(38, 2)).cast(StringType())
         elif isinstance(t, (DateType, TimestampType, TimestampNTZType)):
@@ -205,9 +205,8 @@ def report_json(df: DataFrame, path: str, name: str) -> None:
         keyed = keyed.withColumn(c, F.date_format(c, "yyyy-MM-dd"))
     keyed.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/rows")
     spark = df.sparkSession
-    spark.createDataFrame([(name, keyed.columns)], "report string, columns array<string>").write.mode(
-        "overwrite"
-    ).json(f"{path}/header")
+    header = spark.createDataFrame([(name, keyed.columns)], "report string, columns array<string>")
+    header.coalesce(1).write.mode("overwrite").json(f"{path}/header")  # one record
 
 
 def report_head(df: DataFrame, n: int | None) -> DataFrame:
@@ -290,7 +289,8 @@ def report_snapshot(
     df = compute()
     df.write.mode("overwrite").parquet(f"{path}/rows")
     expires = (now + ttl).isoformat()
-    spark.createDataFrame([(expires,)], "expires_at string").write.mode("overwrite").json(f"{path}/_expiry")
+    expiry = spark.createDataFrame([(expires,)], "expires_at string").coalesce(1)  # one record
+    expiry.write.mode("overwrite").json(f"{path}/_expiry")
     return spark.read.parquet(f"{path}/rows")
 
 

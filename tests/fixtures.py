@@ -45,6 +45,7 @@ def make_shop(spark, *, customers=None, categories=None, products=None, orders=N
         r = tuple(r) + (None,) * (6 - len(r))
         oid, cid, when, status, total, upd = r
         when = ts(when) if isinstance(when, str) else when
+        upd = ts(upd) if isinstance(upd, str) else upd
         ords.append((oid, cid, when, status or "completed", total if total is not None else D("10.00"), upd or when))
     its = []
     for n, r in enumerate(items or []):

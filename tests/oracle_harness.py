@@ -4,6 +4,7 @@ row count, column names and order-insensitive values (like the driver)."""
 from __future__ import annotations
 
 import math
+
 import sys
 import time
 
