@@ -18,6 +18,15 @@ MIN_ORDERS = 3
 MICROS_PER_DAY = 86_400_000_000
 
 
+def _completed(shop: Shop, customers: DataFrame | None = None) -> DataFrame:
+    o = shop.completed_orders().select(
+        F.col("id").alias("order_id"), "customer_id", "order_date", "total_amount"
+    )
+    if customers is not None:
+        o = o.join(customers, "customer_id", "left_semi")
+    return o
+
+
 def order_sequence(shop: Shop, customers: DataFrame | None = None) -> DataFrame:
     """Completed orders numbered per customer by (order_date, id), with the
     gap to the previous order in days and the customer's total.
@@ -25,11 +34,10 @@ def order_sequence(shop: Shop, customers: DataFrame | None = None) -> DataFrame:
     Uses the range-partitioned numbering, so one customer with a third of all
     orders is spread over many tasks instead of one window partition.
     """
-    o = shop.completed_orders().select(
-        F.col("id").alias("order_id"), "customer_id", "order_date", "total_amount"
-    )
-    if customers is not None:
-        o = o.join(customers, "customer_id", "left_semi")
+    return _sequence(_completed(shop, customers))
+
+
+def _sequence(o: DataFrame) -> DataFrame:
     seq = number_rows(
         o, ["customer_id"], [("order_date", True), ("order_id", True)], lag=["order_date"]
     )
@@ -70,7 +78,8 @@ def purchase_patterns(
         .select("customer_id")
         .distinct()
     )
-    seq = order_sequence(shop, in_year)
+    history = _completed(shop, in_year)
+    seq = _sequence(history)
     gap_days_dbl = F.col("gap_micros") / F.lit(float(MICROS_PER_DAY))
     amount = F.col("total_amount")
     patterns = (
@@ -89,8 +98,9 @@ def purchase_patterns(
         .filter(F.col("total_orders") >= min_orders)
     )
     # line items per top-level category for the customers that survived
+    # (from the un-numbered orders: the numbering is not needed here)
     lines = (
-        seq.select("order_id", "customer_id")
+        history.select("order_id", "customer_id")
         .join(patterns.select("customer_id"), "customer_id", "left_semi")
         .join(shop.order_items.select("order_id", "product_id"), "order_id")
         .join(product_categories(shop).select("product_id", "parent_category"), "product_id")
