@@ -36,10 +36,11 @@ def product_performance(shop: Shop, *, as_of: dt.date, tz: str = tu.REPORT_TZ) -
         "last_month_revenue",
         "prev_month_revenue",
     )
-    totals = j.groupBy("category_id").agg(F.sum("revenue").alias("_category_revenue"))
     ranked = number_rows(
         j, ["category_id"], [("revenue", False), ("product_id", True)], rank_by=["revenue"]
     )
+    # per-category totals from the numbered rows (read back from the checkpoint)
+    totals = ranked.groupBy("category_id").agg(F.sum("revenue").alias("_category_revenue"))
     r = ranked.join(totals, ranked["category_id"].eqNullSafe(totals["category_id"])).drop(
         totals["category_id"]
     )

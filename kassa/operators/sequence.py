@@ -6,6 +6,7 @@ window without ``PARTITION BY`` puts every row in one task.  When one group
 global (NTILE over all customers), that task is the job.  This operator
 spreads the work by the *full* sort key instead:
 
+0. The input is checkpointed once (it is usually a join plus an aggregate).
 1. ``repartitionByRange(group, order)`` - the range bounds are sampled on the
    whole key, so a hot group is cut into several contiguous ranges; then
    ``sortWithinPartitions`` on the same key.  The result is checkpointed to
@@ -28,12 +29,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 ROW, RANK, SIZE = "_row", "_rank", "_size"
+WINDOW_MAX_ROWS_CONF = "kassa.sequence.windowMaxRows"
+WINDOW_MAX_ROWS = 1_000_000
 
 
 def _prev(c: str) -> str:
@@ -242,20 +244,32 @@ def number_rows(
     rank_by: Sequence[str] = (),
     lag: Sequence[str] = (),
     partitions: int | None = None,
+    window_max_rows: int | None = None,
 ) -> DataFrame:
     """Add ``_row``, ``_rank``, ``_size`` and ``_prev_<c>`` for ``c`` in ``lag``.
 
     ``order`` is a list of (column, ascending); ascending sorts NULLs first,
     descending NULLs last (Spark's and PostgreSQL's defaults).
+
+    Inputs of at most ``window_max_rows`` rows (session setting
+    ``kassa.sequence.windowMaxRows``, default one million; 0 = always
+    distribute) fit one task, so they take Spark's window functions instead;
+    the size is checked by counting the checkpointed input.
     """
     group, rank_by, lag = list(group), list(rank_by), list(lag)
     exprs = _sort_exprs(group, order)
-    # The input feeds two jobs (range-bound sampling, then the checkpoint
-    # write); keep it for their duration only, so it is computed once.
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if window_max_rows is None:
+        window_max_rows = int(df.sparkSession.conf.get(WINDOW_MAX_ROWS_CONF, str(WINDOW_MAX_ROWS)))
+    # The input (often a join and an aggregate) is computed once and written
+    # to the shared checkpoint folder; the size check, the range sampling,
+    # the sort and every later use by the caller read those files.
+    src = df.checkpoint(eager=True)
+    if window_max_rows > 0 and src.count() <= window_max_rows:
+        # Small enough for one task: no group can be skewed across tasks, so
+        # Spark's own window functions are the cheaper plan.
+        return _with_windows(src, group, order, rank_by, lag)
     ranged = src.repartitionByRange(partitions, *exprs) if partitions else src.repartitionByRange(*exprs)
     ranged = ranged.sortWithinPartitions(*exprs).checkpoint(eager=True)
-    src.unpersist()
     fields = {f.name: f for f in ranged.schema.fields}
 
     sum_fields = [StructField("pid", LongType()), StructField("n", LongType())]
@@ -284,6 +298,26 @@ def number_rows(
     return ranged.mapInPandas(_number_fn(group, rank_by, lag, carries), out_schema)
 
 
+def _with_windows(df, group, order, rank_by, lag) -> DataFrame:
+    from pyspark.sql import Window
+
+    def spec(cols):
+        w = Window.partitionBy(*group) if group else Window.partitionBy()
+        return w.orderBy(*cols)
+
+    order_exprs = _sort_exprs([], order)
+    direction = dict(order)
+    rank_exprs = _sort_exprs([], [(c, direction[c]) for c in rank_by]) if rank_by else order_exprs
+    w = spec(order_exprs)
+    whole = Window.partitionBy(*group) if group else Window.partitionBy()
+    cols = [
+        F.row_number().over(w).cast(LongType()).alias(ROW),
+        F.rank().over(spec(rank_exprs)).cast(LongType()).alias(RANK),
+        F.count(F.lit(1)).over(whole).cast(LongType()).alias(SIZE),
+    ] + [F.lag(c).over(w).alias(_prev(c)) for c in lag]
+    return df.select("*", *cols)
+
+
 def ntile(k: int, row: Column | str = ROW, size: Column | str = SIZE) -> Column:
     """NTILE(k) from a 1-based row number and the group size (same buckets
     as SQL NTILE: the first n mod k buckets hold one row more)."""

@@ -31,3 +31,14 @@ def test_query_matches_oracle(spark, con, name):
     r = compare(spark, name, SF001, con)
     assert r["cols_match"], r
     assert r["match"], r
+
+
+@pytest.mark.parametrize("name", ["product_performance", "rfm_segmentation", "purchase_patterns", "order_sequence"])
+def test_distributed_numbering_matches_oracle(spark, con, name):
+    """The same reports with the range-partitioned numbering forced on."""
+    spark.conf.set("kassa.sequence.windowMaxRows", "0")
+    try:
+        r = compare(spark, name, SF001, con)
+    finally:
+        spark.conf.unset("kassa.sequence.windowMaxRows")
+    assert r["match"], r

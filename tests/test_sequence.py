@@ -28,7 +28,8 @@ def test_number_rows_matches_windows(spark, parts):
         g = 0 if i < 1200 else rnd.choice([1, 2, 3, None])  # group 0 holds 40%
         rows.append((i, g, rnd.randint(0, 40), rnd.randint(0, 10**6)))
     df = spark.createDataFrame(rows, "id long, g int, v int, t long")
-    got = number_rows(df, ["g"], [("v", False), ("id", True)], rank_by=["v"], lag=["t"], partitions=parts)
+    got = number_rows(df, ["g"], [("v", False), ("id", True)], rank_by=["v"], lag=["t"], partitions=parts,
+                       window_max_rows=0)
     exp = _expected(df, ["g"], [F.col("v").desc(), "id"], F.col("v").desc())
     j = got.join(exp, "id")
     bad = j.filter(
@@ -44,10 +45,19 @@ def test_number_rows_matches_windows(spark, parts):
 def test_global_ntile_matches_builtin(spark):
     for n in (0, 1, 3, 5, 7, 12, 1003):
         df = spark.range(n).select(F.col("id"), ((F.col("id") * 7919) % 101).alias("m"))
-        got = number_rows(df, [], [("m", True), ("id", True)], partitions=4).select(
+        got = number_rows(df, [], [("m", True), ("id", True)], partitions=4, window_max_rows=0).select(
             "id", ntile(5).alias("b")
         )
         exp = df.select("id", F.ntile(5).over(Window.orderBy("m", "id")).alias("e"))
         j = got.join(exp, "id")
         assert j.count() == n
         assert j.filter(F.col("b") != F.col("e")).count() == 0
+
+
+def test_small_input_window_path_matches(spark):
+    rows = [(i, i % 3, i % 7, i * 13 % 17) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, g int, v int, t long")
+    a = number_rows(df, ["g"], [("v", False), ("id", True)], rank_by=["v"], lag=["t"], window_max_rows=0)
+    b = number_rows(df, ["g"], [("v", False), ("id", True)], rank_by=["v"], lag=["t"])
+    cols = ["id", "_row", "_rank", "_size", "_prev_t"]
+    assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
