@@ -36,7 +36,12 @@ def daily_sales_summary(shop: Shop, day: dt.date, tz: str = tu.REPORT_TZ) -> Dat
     cats = product_categories(shop).select("product_id", F.col("parent_category").alias("category"))
     category_revenue = (
         day_orders.select("order_id")
-        .join(shop.order_items.select("order_id", "product_id", item_revenue().alias("_rev")), "order_id")
+        .join(
+            shop.items_for_days(day, day + dt.timedelta(days=1)).select(
+                "order_id", "product_id", item_revenue().alias("_rev")
+            ),
+            "order_id",
+        )
         .join(cats, "product_id")
         .groupBy("category")
         .agg(F.sum("_rev").alias("revenue"))

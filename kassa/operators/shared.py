@@ -180,3 +180,54 @@ def write_orders_by_month(shop: Shop, path: str, tz: str = tu.REPORT_TZ) -> None
 def read_orders_by_month(spark, path: str) -> DataFrame:
     df = spark.read.parquet(path)
     return df.withColumn("order_month", F.col("order_month").cast("string"))
+
+
+def write_order_items_by_month(shop: Shop, path: str, tz: str = tu.REPORT_TZ) -> None:
+    """Order lines laid out by their order's local month (the same folders as
+    ``write_orders_by_month``), so a job over a few days of orders reads only
+    those months of lines instead of the whole table."""
+    month = shop.orders.select(
+        F.col("id").alias("order_id"), F.date_format(tu.local_month("order_date", tz), "yyyy-MM").alias("order_month")
+    )
+    (
+        shop.order_items.join(month, "order_id")
+        .hint("rebalance", "order_month")
+        .write.mode("overwrite")
+        .partitionBy("order_month")
+        .parquet(path)
+    )
+
+
+class MonthLayoutShop(Shop):
+    """A shop whose orders and lines are read from the month layout; status
+    and day filters become partition filters plus pushed column filters."""
+
+    def __init__(self, base: Shop, orders_path: str, items_path: str, tz: str = tu.REPORT_TZ):
+        spark = base.spark
+        self.tz = tz
+        orders = spark.read.parquet(orders_path)
+        items = spark.read.parquet(items_path)
+        super().__init__(
+            customers=base.customers,
+            categories=base.categories,
+            products=base.products,
+            orders=orders.select(*[c for c in orders.columns if c != "order_month"]),
+            order_items=items.select(*[c for c in items.columns if c != "order_month"]),
+        )
+        self._items = items
+
+    def items_for_days(self, first_day: dt.date, end_day: dt.date) -> DataFrame:
+        months = sorted(
+            {
+                tu.month_start(first_day + dt.timedelta(days=i)).strftime("%Y-%m")
+                for i in range(max((end_day - first_day).days, 0))
+            }
+        )
+        return self._items.filter(F.col("order_month").cast("string").isin(months)).drop("order_month")
+
+
+def lay_out_by_month(shop: Shop, root: str, tz: str = tu.REPORT_TZ) -> MonthLayoutShop:
+    orders_path, items_path = f"{root.rstrip('/')}/orders", f"{root.rstrip('/')}/order_items"
+    write_orders_by_month(shop, orders_path, tz)
+    write_order_items_by_month(shop, items_path, tz)
+    return MonthLayoutShop(shop, orders_path, items_path, tz)

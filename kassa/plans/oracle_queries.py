@@ -628,3 +628,4 @@ SELECT o.id, o.customer_id, strftime(o.order_date, '%Y-%m-%d %H:%M:%S') AS order
 FROM shop_orders o
 LEFT JOIN (SELECT order_id, SUM(quantity * unit_price) AS total FROM shop_items GROUP BY 1) t ON t.order_id = o.id""",
 )
+ORACLES["daily_sales_summary_month_layout"] = ORACLES["daily_sales_summary"]

@@ -320,3 +320,11 @@ def q_gen_stock(spark, sf_dir):
     """Stock levels drawn from the driver products' 90-day velocity."""
     s = shop(spark, sf_dir)
     return generate.gen_stock(s.products, s.orders, s.order_items, SEED, AS_OF)
+
+
+@register("daily_sales_summary_month_layout")
+def q_daily_sales_summary_month_layout(spark, sf_dir):
+    """The daily summary over orders and lines laid out by month: the lines
+    scan reads one month folder."""
+    laid_out = shared.lay_out_by_month(shop(spark, sf_dir), scratch_path(spark, "month_layout"))
+    return daily_summary.daily_sales_summary(laid_out, SUMMARY_DAY)

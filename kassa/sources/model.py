@@ -114,6 +114,12 @@ class Shop:
     def completed_orders(self) -> DataFrame:
         return self.orders_in_status(STATUS_COMPLETED)
 
+    def items_for_days(self, first_day, end_day) -> DataFrame:
+        """Order lines that can belong to orders placed in [first_day, end_day)
+        (local days).  A plain shop cannot narrow this down; a shop laid out
+        by order month returns only the matching month folders."""
+        return self.order_items
+
     @property
     def spark(self):
         return self.orders.sparkSession

@@ -161,3 +161,18 @@ def test_trend_ignores_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert base == moved
+
+
+def test_month_layout_daily_summary_reads_one_month_of_lines(spark):
+    s = make_shop(
+        spark,
+        categories=[(1, "Cat")],
+        products=[(1, 1)],
+        orders=[(1, 1, "2024-11-29 03:00:00"), (2, 1, "2024-10-02 03:00:00")],
+        items=[(1, 1, 2, D("3.00")), (2, 1, 1, D("4.00"))],
+    )
+    laid_out = shared.lay_out_by_month(s, _tmp() + "/layout")
+    df = daily_summary.daily_sales_summary(laid_out, dt.date(2024, 11, 29))
+    assert rows(df, "total_orders", "top_category") == [(1, "Cat")]
+    plan = laid_out.items_for_days(dt.date(2024, 11, 29), dt.date(2024, 11, 30))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2024-11" in plan
