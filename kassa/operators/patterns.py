@@ -10,7 +10,7 @@ from pyspark.sql.types import DecimalType, LongType
 
 from kassa.functions import timeutil as tu
 from kassa.functions.money import money
-from kassa.operators.sequence import ROW, SIZE, _prev, number_rows
+from kassa.operators.sequence import ROW, SIZE, _prev, materialize, number_rows
 from kassa.operators.shared import product_categories
 from kassa.sources.model import Shop
 
@@ -37,9 +37,13 @@ def order_sequence(shop: Shop, customers: DataFrame | None = None) -> DataFrame:
     return _sequence(_completed(shop, customers))
 
 
-def _sequence(o: DataFrame) -> DataFrame:
+def _sequence(o: DataFrame, materialized: bool = False) -> DataFrame:
     seq = number_rows(
-        o, ["customer_id"], [("order_date", True), ("order_id", True)], lag=["order_date"]
+        o,
+        ["customer_id"],
+        [("order_date", True), ("order_id", True)],
+        lag=["order_date"],
+        materialized=materialized,
     )
     gap = tu.micros_between(F.col(_prev("order_date")), F.col("order_date"))
     return seq.select(
@@ -78,8 +82,8 @@ def purchase_patterns(
         .select("customer_id")
         .distinct()
     )
-    history = _completed(shop, in_year)
-    seq = _sequence(history)
+    history = materialize(_completed(shop, in_year))  # read by three branches below
+    seq = _sequence(history, materialized=True)
     gap_days_dbl = F.col("gap_micros") / F.lit(float(MICROS_PER_DAY))
     amount = F.col("total_amount")
     patterns = (
@@ -99,9 +103,15 @@ def purchase_patterns(
     )
     # line items per top-level category for the customers that survived
     # (from the un-numbered orders: the numbering is not needed here)
+    eligible = (
+        history.groupBy("customer_id")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") >= min_orders)
+        .select("customer_id")
+    )
     lines = (
         history.select("order_id", "customer_id")
-        .join(patterns.select("customer_id"), "customer_id", "left_semi")
+        .join(eligible, "customer_id", "left_semi")
         .join(shop.order_items.select("order_id", "product_id"), "order_id")
         .join(product_categories(shop).select("product_id", "parent_category"), "product_id")
         .groupBy("customer_id", F.col("parent_category").alias("category"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kassa.functions import timeutil as tu
 from kassa.functions.money import money, ratio
-from kassa.operators.sequence import RANK, SIZE, number_rows
+from kassa.operators.sequence import RANK, SIZE, materialize, number_rows
 from kassa.operators.shared import product_categories, product_sales
 from kassa.sources.model import Shop
 
@@ -36,11 +36,15 @@ def product_performance(shop: Shop, *, as_of: dt.date, tz: str = tu.REPORT_TZ) -
         "last_month_revenue",
         "prev_month_revenue",
     )
+    j = materialize(j)  # the join + aggregate runs once; both uses read the files
     ranked = number_rows(
-        j, ["category_id"], [("revenue", False), ("product_id", True)], rank_by=["revenue"]
+        j,
+        ["category_id"],
+        [("revenue", False), ("product_id", True)],
+        rank_by=["revenue"],
+        materialized=True,
     )
-    # per-category totals from the numbered rows (read back from the checkpoint)
-    totals = ranked.groupBy("category_id").agg(F.sum("revenue").alias("_category_revenue"))
+    totals = j.groupBy("category_id").agg(F.sum("revenue").alias("_category_revenue"))
     r = ranked.join(totals, ranked["category_id"].eqNullSafe(totals["category_id"])).drop(
         totals["category_id"]
     )

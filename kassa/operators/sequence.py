@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from kassa.session import ensure_checkpoint_dir
+
 ROW, RANK, SIZE = "_row", "_rank", "_size"
 WINDOW_MAX_ROWS_CONF = "kassa.sequence.windowMaxRows"
 WINDOW_MAX_ROWS = 1_000_000
@@ -245,6 +247,7 @@ def number_rows(
     lag: Sequence[str] = (),
     partitions: int | None = None,
     window_max_rows: int | None = None,
+    materialized: bool = False,
 ) -> DataFrame:
     """Add ``_row``, ``_rank``, ``_size`` and ``_prev_<c>`` for ``c`` in ``lag``.
 
@@ -254,7 +257,10 @@ def number_rows(
     Inputs of at most ``window_max_rows`` rows (session setting
     ``kassa.sequence.windowMaxRows``, default one million; 0 = always
     distribute) fit one task, so they take Spark's window functions instead;
-    the size is checked by counting the checkpointed input.
+    the size is checked by counting the checkpointed input.  Pass
+    ``materialized=True`` when ``df`` is already the result of
+    :func:`materialize` (so a caller can read other aggregates from the same
+    files without a second pass through Python).
     """
     group, rank_by, lag = list(group), list(rank_by), list(lag)
     exprs = _sort_exprs(group, order)
@@ -263,7 +269,7 @@ def number_rows(
     # The input (often a join and an aggregate) is computed once and written
     # to the shared checkpoint folder; the size check, the range sampling,
     # the sort and every later use by the caller read those files.
-    src = df.checkpoint(eager=True)
+    src = df if materialized else materialize(df)
     if window_max_rows > 0 and src.count() <= window_max_rows:
         # Small enough for one task: no group can be skewed across tasks, so
         # Spark's own window functions are the cheaper plan.
@@ -298,6 +304,13 @@ def number_rows(
     return ranged.mapInPandas(_number_fn(group, rank_by, lag, carries), out_schema)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and write it to the shared checkpoint folder; the
+    result reads those files (lineage cut, survives executor loss)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _with_windows(df, group, order, rank_by, lag) -> DataFrame:
     from pyspark.sql import Window
 
