@@ -38,6 +38,8 @@ from kassa.session import ensure_checkpoint_dir
 ROW, RANK, SIZE = "_row", "_rank", "_size"
 WINDOW_MAX_ROWS_CONF = "kassa.sequence.windowMaxRows"
 WINDOW_MAX_ROWS = 1_000_000
+WINDOW_MAX_BYTES_CONF = "kassa.sequence.windowMaxBytes"
+WINDOW_MAX_BYTES = 32 * 1024 * 1024
 
 
 def _prev(c: str) -> str:
@@ -256,8 +258,10 @@ def number_rows(
 
     Inputs of at most ``window_max_rows`` rows (session setting
     ``kassa.sequence.windowMaxRows``, default one million; 0 = always
-    distribute) fit one task, so they take Spark's window functions instead;
-    the size is checked by counting the checkpointed input.  Pass
+    distribute) fit one task, so they take Spark's window functions instead.
+    The check is free when the optimizer's estimate is at most
+    ``kassa.sequence.windowMaxBytes`` (32 MB); otherwise the checkpointed
+    input is counted.  Pass
     ``materialized=True`` when ``df`` is already the result of
     :func:`materialize` (so a caller can read other aggregates from the same
     files without a second pass through Python).
@@ -269,7 +273,12 @@ def number_rows(
     # The input (often a join and an aggregate) is computed once and written
     # to the shared checkpoint folder; the size check, the range sampling,
     # the sort and every later use by the caller read those files.
-    src = df if materialized else materialize(df)
+    if window_max_rows > 0 and estimated_bytes(df) <= _max_bytes(df):
+        # The optimizer's size estimate (an upper bound for these plans:
+        # aggregates keep the input row count, joins multiply) already shows
+        # one task is enough; no job is spent on checking.
+        return _with_windows(df, group, order, rank_by, lag)
+    src = df if materialized else materialize(df, unless_small=False)
     if window_max_rows > 0 and src.count() <= window_max_rows:
         # Small enough for one task: no group can be skewed across tasks, so
         # Spark's own window functions are the cheaper plan.
@@ -304,9 +313,25 @@ def number_rows(
     return ranged.mapInPandas(_number_fn(group, rank_by, lag, carries), out_schema)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (huge when unknown)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no JVM plan access (e.g. a remote session)
+        return 1 << 62
+
+
+def _max_bytes(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(WINDOW_MAX_BYTES_CONF, str(WINDOW_MAX_BYTES)))
+
+
+def materialize(df: DataFrame, *, unless_small: bool = True) -> DataFrame:
     """Compute ``df`` once and write it to the shared checkpoint folder; the
-    result reads those files (lineage cut, survives executor loss)."""
+    result reads those files (lineage cut, survives executor loss).  With
+    ``unless_small`` an input whose size estimate is under the window
+    threshold is returned as is: recomputing it is cheaper than writing it."""
+    if unless_small and estimated_bytes(df) <= _max_bytes(df):
+        return df
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
