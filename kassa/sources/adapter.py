@@ -148,20 +148,49 @@ def order_items(t: DriverTables) -> DataFrame:
     )
 
 
+# A category table larger than this is not broadcast (checked at run time).
+MAX_BROADCAST_CATEGORIES = 100_000
+
+
+def bounded_dimension(df: DataFrame, max_rows: int) -> DataFrame:
+    """Materialize a small derived dimension once (checkpoint to the shared
+    folder) and mark it for broadcast only if its row count is within
+    ``max_rows``; above the bound Spark plans the joins by size as usual."""
+    from kassa.operators.sequence import materialize
+
+    ck = materialize(df, unless_small=False)
+    return F.broadcast(ck) if ck.count() <= max_rows else ck
+
+
 class DriverShop(model.Shop):
     """Shop over the driver tables; status filters go to the raw status code
-    so they reach the parquet scan as pushed filters."""
+    so they reach the parquet scan as pushed filters.
+
+    Categories are derived from the part table (a distinct over two columns
+    and a numbering); they are built on first use, checkpointed and counted,
+    so the product -> category joins broadcast a table of checked size
+    instead of shuffling the part table, and later uses read the checkpoint.
+    """
 
     def __init__(self, t: DriverTables):
         self.tables = t
-        cats = categories(t)
-        super().__init__(
-            customers=customers(t),
-            categories=cats,
-            products=products(t, cats),
-            orders=orders(t),
-            order_items=order_items(t),
-        )
+        self.customers = customers(t)
+        self.orders = orders(t)
+        self.order_items = order_items(t)
+        self._categories = None
+        self._products = None
+
+    @property
+    def categories(self) -> DataFrame:
+        if self._categories is None:
+            self._categories = bounded_dimension(categories(self.tables), MAX_BROADCAST_CATEGORIES)
+        return self._categories
+
+    @property
+    def products(self) -> DataFrame:
+        if self._products is None:
+            self._products = products(self.tables, self.categories)
+        return self._products
 
     def orders_in_status(self, *statuses: str) -> DataFrame:
         codes = [code for code, status in STATUS_CODES.items() if status in statuses]
@@ -186,14 +215,18 @@ class EventShop(model.Shop):
 
     def __init__(self, t: DriverTables):
         self.tables = t
-        base = DriverShop(t)
-        super().__init__(
-            customers=base.customers,
-            categories=base.categories,
-            products=base.products,
-            orders=event_orders(t),
-            order_items=base.order_items.filter(F.lit(False)),
-        )
+        self._base = DriverShop(t)
+        self.customers = self._base.customers
+        self.orders = event_orders(t)
+        self.order_items = self._base.order_items.filter(F.lit(False))
+
+    @property
+    def categories(self) -> DataFrame:
+        return self._base.categories
+
+    @property
+    def products(self) -> DataFrame:
+        return self._base.products
 
     def orders_in_status(self, *statuses: str) -> DataFrame:
         if model.STATUS_COMPLETED in statuses:
