@@ -263,13 +263,13 @@ def q_stream_customer_monthly_summary(spark, sf_dir):
     as a file stream and each batch upserts the touched customers."""
     s = shop(spark, sf_dir)
     root = scratch_path(spark, "stream_summary")
-    shared.summary_before(s, REFRESH_SINCE).write.parquet(f"{root}/table/v=-00000000001")
+    streams.write_summary_table(shared.summary_before(s, REFRESH_SINCE), f"{root}/table")
     changed = s.orders.filter(F.col("updated_at") >= F.lit(REFRESH_SINCE.isoformat(" ")).cast("timestamp_ntz"))
     changed.write.parquet(f"{root}/changes")
-    current = streams.run_customer_monthly_summary(
+    table = streams.run_customer_monthly_summary(
         spark, s, f"{root}/changes", f"{root}/table", f"{root}/checkpoint", changes_schema=ORDERS
     )
-    out = spark.read.parquet(current)
+    out = streams.read_summary_table(spark, table)
     return out.select("customer_id", "order_month", "order_count", money(F.col("revenue")).alias("revenue"))
 
 

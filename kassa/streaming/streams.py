@@ -8,9 +8,10 @@ Parquet sink and late rows for it are dropped.
 
 ``stream_customer_monthly_summary``: order changes read as a file stream;
 each micro-batch names the touched customers and ``foreachBatch`` rewrites
-their (customer, month) rows of the summary table from the orders table,
-writing a new table version so a failed batch never leaves a half-written
-table (the checkpoint replays it).
+their (customer, month) rows of the summary table from the orders table.
+The table is partitioned by customer bucket and only the touched buckets are
+read and replaced (dynamic partition overwrite), so a batch costs its
+buckets, not the table.
 """
 
 from __future__ import annotations
@@ -93,11 +94,70 @@ def run_daily_sales(
     q.awaitTermination()
 
 
+SUMMARY_BUCKETS = 64
+
+
+def customer_bucket(col: str = "customer_id", buckets: int = SUMMARY_BUCKETS):
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
+
+
+def write_summary_table(summary: DataFrame, table_path: str, buckets: int = SUMMARY_BUCKETS) -> None:
+    """The summary table, one folder per customer bucket."""
+    (
+        summary.withColumn("bucket", customer_bucket(buckets=buckets))
+        .write.mode("overwrite")
+        .partitionBy("bucket")
+        .parquet(table_path)
+    )
+
+
+def read_summary_table(spark: SparkSession, table_path: str) -> DataFrame:
+    """The summary rows (bucket markers, whose customer_id is NULL, dropped)."""
+    return spark.read.parquet(table_path).filter(F.col("customer_id").isNotNull()).drop("bucket")
+
+
+def upsert_touched(
+    spark: SparkSession, shop: Shop, touched: DataFrame, table_path: str, buckets: int = SUMMARY_BUCKETS
+) -> None:
+    """Rewrite the summary rows of ``touched`` customers.
+
+    Only the touched customers' buckets are read (partition pruning) and
+    overwritten (dynamic partition overwrite); their other customers' rows
+    are carried over.  The new bucket contents are checkpointed first, so the
+    write does not read the folders it replaces.
+    """
+    from kassa.operators.sequence import materialize
+
+    touched = touched.select("customer_id").distinct().withColumn("bucket", customer_bucket(buckets=buckets))
+    hit = [r["bucket"] for r in touched.select("bucket").distinct().collect()]  # at most `buckets` values
+    if not hit:
+        return
+    existing = spark.read.parquet(table_path).filter(F.col("bucket").isin(hit) & F.col("customer_id").isNotNull())
+    keep = existing.join(touched.select("customer_id"), "customer_id", "left_anti")
+    fresh = customer_monthly_summary(_restricted(shop, touched.select("customer_id"))).withColumn(
+        "bucket", customer_bucket(buckets=buckets)
+    )
+    # one marker row per touched bucket, so a bucket left without rows is
+    # still replaced (dynamic overwrite only replaces folders it writes)
+    markers = spark.createDataFrame([(b,) for b in hit], "bucket int").select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in keep.schema.fields if f.name != "bucket"], "bucket"
+    )
+    new_rows = materialize(
+        keep.unionByName(fresh.select(keep.columns)).unionByName(markers.select(keep.columns)), unless_small=False
+    )
+    (
+        new_rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("bucket")
+        .parquet(table_path)
+    )
+
+
 def run_customer_monthly_summary(
     spark: SparkSession,
     shop: Shop,
     changes_folder: str,
-    table_root: str,
+    table_path: str,
     checkpoint_path: str,
     changes_schema=None,
     name_glob: str | None = None,
@@ -105,27 +165,17 @@ def run_customer_monthly_summary(
     """Upsert touched customers' months for every batch of order changes.
 
     ``changes_folder`` receives order change records (``customer_id`` or the
-    driver's ``o_custkey``);
-    the summary lives in ``{table_root}/v=<n>`` folders, the highest being
-    current.  Returns the current version's path after the run.
+    driver's ``o_custkey``); ``table_path`` holds the bucketed summary table
+    (built with :func:`write_summary_table`).  A batch that fails leaves the
+    untouched buckets as they were and is replayed from the checkpoint; the
+    rewrite of a bucket is idempotent.
     """
     schema = changes_schema or DRIVER_SCHEMAS["orders"]
     changes = _file_stream(spark, changes_folder, schema, name_glob, None)
     key = "o_custkey" if "o_custkey" in schema.fieldNames() else "customer_id"
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        touched = batch.select(F.col(key).alias("customer_id")).distinct()
-        current = _current_version(spark, table_root)
-        if current is None:
-            table = customer_monthly_summary(shop)
-        else:
-            existing = spark.read.parquet(current)
-            keep = existing.join(touched, "customer_id", "left_anti")
-            fresh = customer_monthly_summary(
-                _restricted(shop, touched)
-            )
-            table = keep.unionByName(fresh.select(existing.columns))
-        table.write.mode("overwrite").parquet(f"{table_root.rstrip('/')}/v={batch_id:012d}")
+        upsert_touched(spark, shop, batch.select(F.col(key).alias("customer_id")), table_path)
 
     q = (
         changes.writeStream.foreachBatch(upsert)
@@ -134,7 +184,7 @@ def run_customer_monthly_summary(
         .start()
     )
     q.awaitTermination()
-    return _current_version(spark, table_root)
+    return table_path
 
 
 def _restricted(shop: Shop, customers: DataFrame) -> Shop:
@@ -143,20 +193,3 @@ def _restricted(shop: Shop, customers: DataFrame) -> Shop:
             return shop.orders_in_status(*statuses).join(customers, "customer_id", "left_semi")
 
     return _Sub(shop.customers, shop.categories, shop.products, shop.orders, shop.order_items)
-
-
-def _current_version(spark: SparkSession, table_root: str) -> str | None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(table_root)
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root):
-        return None
-    versions = sorted(
-        st.getPath().getName()
-        for st in fs.listStatus(root)
-        if st.isDirectory() and st.getPath().getName().startswith("v=")
-        and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
-    )
-    return f"{table_root.rstrip('/')}/{versions[-1]}" if versions else None
-

@@ -30,3 +30,26 @@ def test_closed_days_are_final_and_late_rows_dropped(spark):
     _events(spark, [(4, "2024-01-01 04:00:00", 99.0), (5, "2024-01-05 12:00:00", 1.0)], src)
     streams.run_daily_sales(spark, src, sink, ckpt)
     assert _days(spark, sink) == {"2024-01-01": (1, 10.0), "2024-01-02": (1, 5.0), "2024-01-03": (1, 7.0)}
+
+
+def test_summary_upsert_rewrites_only_touched_buckets(spark):
+    from fixtures import D, make_shop
+
+    from kassa.operators import shared
+
+    root = tempfile.mkdtemp(prefix="kassa-upsert-")
+    before = make_shop(spark, orders=[
+        (1, 1, "2024-01-10 00:00:00", "completed", D("5.00")),
+        (2, 2, "2024-01-11 00:00:00", "completed", D("7.00")),
+    ])
+    table = f"{root}/table"
+    streams.write_summary_table(shared.customer_monthly_summary(before), table, buckets=4)
+    # customer 1's only order is now cancelled; customer 2 gets a second order
+    after = make_shop(spark, orders=[
+        (1, 1, "2024-01-10 00:00:00", "cancelled", D("5.00")),
+        (2, 2, "2024-01-11 00:00:00", "completed", D("7.00")),
+        (3, 2, "2024-02-11 00:00:00", "completed", D("1.00")),
+    ])
+    streams.upsert_touched(spark, after, spark.createDataFrame([(1,), (2,)], "customer_id long"), table, buckets=4)
+    got = sorted((r["customer_id"], str(r["order_month"]), r["order_count"]) for r in streams.read_summary_table(spark, table).collect())
+    assert got == [(2, "2024-01-01", 1), (2, "2024-02-01", 1)]
