@@ -126,3 +126,32 @@ def customer_by_id(shop: Shop, customer_id: int) -> DataFrame:
 def customer_by_email(shop: Shop, email: str) -> DataFrame:
     return _customer_row(shop.customers.filter(F.lower("email") == F.lower(F.lit(email))))
 
+
+
+def frequent_customers_top_from_summary(
+    shop: Shop, summary: DataFrame, since: dt.date, n: int = TOP_N, min_orders: int = MIN_ORDERS
+) -> DataFrame:
+    """``frequent_customers_top`` answered from the (customer, month) summary
+    of completed orders, exact when ``since`` is the first day of a month:
+    the scan is the summary's months from ``since`` on, not the orders."""
+    if since.day != 1:
+        raise ValueError("the monthly summary answers only from the first day of a month")
+    totals = (
+        summary.filter(F.col("order_month") >= tu.date_literal(since))
+        .groupBy("customer_id")
+        .agg(F.sum("order_count").alias("order_count"), F.sum("revenue").alias("_revenue"))
+        .filter(F.col("order_count") > min_orders)
+    )
+    cust = shop.customers.select(F.col("id").alias("customer_id"), "name", "email")
+    return (
+        totals.join(cust, "customer_id")
+        .orderBy(F.col("_revenue").desc(), F.col("customer_id"))
+        .limit(n)
+        .select(
+            "customer_id",
+            "name",
+            "email",
+            F.col("order_count").cast(LongType()).alias("order_count"),
+            money(F.col("_revenue")).alias("total_revenue"),
+        )
+    )

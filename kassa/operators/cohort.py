@@ -24,9 +24,14 @@ def customer_cohort(shop: Shop, year: int = 2024, *, tz: str = tu.REPORT_TZ) ->
     month) keys each and joined to that summary on the same keys it is
     already partitioned by.
     """
-    monthly = customer_monthly_summary(shop, tz).select(
-        "customer_id", F.col("order_month").alias("month"), "revenue"
-    )
+    return cohort_from_monthly(customer_monthly_summary(shop, tz), year)
+
+
+def cohort_from_monthly(summary: DataFrame, year: int) -> DataFrame:
+    """The cohort report from a (customer_id, order_month, revenue) summary
+    of completed orders - e.g. the incrementally maintained summary table,
+    so the report does not read the orders at all."""
+    monthly = summary.select("customer_id", F.col("order_month").alias("month"), "revenue")
     first = monthly.groupBy("customer_id").agg(F.min("month").alias("cohort_month"))
     members = first.filter(
         (F.col("cohort_month") >= tu.date_literal(dt.date(year, 1, 1)))

@@ -629,3 +629,5 @@ FROM shop_orders o
 LEFT JOIN (SELECT order_id, SUM(quantity * unit_price) AS total FROM shop_items GROUP BY 1) t ON t.order_id = o.id""",
 )
 ORACLES["daily_sales_summary_month_layout"] = ORACLES["daily_sales_summary"]
+ORACLES["customer_cohort_from_summary"] = ORACLES["customer_cohort"]
+ORACLES["frequent_customers_top_from_summary"] = ORACLES["frequent_customers_top"]

@@ -328,3 +328,21 @@ def q_daily_sales_summary_month_layout(spark, sf_dir):
     scan reads one month folder."""
     laid_out = shared.lay_out_by_month(shop(spark, sf_dir), scratch_path(spark, "month_layout"))
     return daily_summary.daily_sales_summary(laid_out, SUMMARY_DAY)
+
+
+@register("customer_cohort_from_summary")
+def q_customer_cohort_from_summary(spark, sf_dir):
+    """Cohorts from the bucketed summary table (written here from the orders,
+    as the nightly refresh or the stream would keep it)."""
+    s = shop(spark, sf_dir)
+    table = f"{scratch_path(spark, 'summary_table')}/table"
+    streams.write_summary_table(shared.customer_monthly_summary(s), table)
+    return cohort.cohort_from_monthly(streams.read_summary_table(spark, table), YEAR)
+
+
+@register("frequent_customers_top_from_summary")
+def q_frequent_top_from_summary(spark, sf_dir):
+    s = shop(spark, sf_dir)
+    table = f"{scratch_path(spark, 'summary_table')}/table"
+    streams.write_summary_table(shared.customer_monthly_summary(s), table)
+    return adhoc.frequent_customers_top_from_summary(s, streams.read_summary_table(spark, table), SINCE)
