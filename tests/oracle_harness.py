@@ -81,6 +81,10 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or sorted(E.queries())
     spark = get_session()
+    import os
+
+    if os.environ.get("SESSION_TZ"):  # results must not depend on the session zone
+        spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
     con = duck(sf)
     bad = 0
     for n in names:
