@@ -184,11 +184,12 @@ def _chain(summaries, n_group, n_rank, n_lag):
     return carries
 
 
-def _number_fn(group, rank_by, lag, carries):
+def _number_fn(group, rank_by, lag, carries_bc):
     def fn(batches):
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
+        carries = carries_bc.value
         frames = list(batches)
         if not frames:
             return
@@ -310,7 +311,9 @@ def number_rows(
         + [StructField(ROW, LongType()), StructField(RANK, LongType()), StructField(SIZE, LongType())]
         + [StructField(_prev(c), fields[c].dataType, True) for c in lag]
     )
-    return ranged.mapInPandas(_number_fn(group, rank_by, lag, carries), out_schema)
+    # one entry per partition: broadcast once per executor, not per task
+    carries_bc = df.sparkSession.sparkContext.broadcast(carries)
+    return ranged.mapInPandas(_number_fn(group, rank_by, lag, carries_bc), out_schema)
 
 
 def estimated_bytes(df: DataFrame) -> int:
