@@ -7,7 +7,9 @@ global (NTILE over all customers), that task is the job.  This operator
 spreads the work by the *full* sort key instead:
 
 0. The input is checkpointed once (it is usually a join plus an aggregate).
-1. ``repartitionByRange(group, order)`` - the range bounds are sampled on the
+1. ``repartitionByRange(group, order)`` into ceil(rows / rowsPerPartition)
+   partitions (default two million rows each, which bounds the memory of a
+   pandas pass) - the range bounds are sampled on the
    whole key, so a hot group is cut into several contiguous ranges; then
    ``sortWithinPartitions`` on the same key.  The result is checkpointed to
    the shared checkpoint folder so both passes read identical partitions, and
@@ -40,6 +42,8 @@ WINDOW_MAX_ROWS_CONF = "kassa.sequence.windowMaxRows"
 WINDOW_MAX_ROWS = 1_000_000
 WINDOW_MAX_BYTES_CONF = "kassa.sequence.windowMaxBytes"
 WINDOW_MAX_BYTES = 32 * 1024 * 1024
+ROWS_PER_PARTITION_CONF = "kassa.sequence.rowsPerPartition"
+ROWS_PER_PARTITION = 2_000_000
 
 
 def _prev(c: str) -> str:
@@ -280,11 +284,16 @@ def number_rows(
         # one task is enough; no job is spent on checking.
         return _with_windows(df, group, order, rank_by, lag)
     src = df if materialized else materialize(df, unless_small=False)
-    if window_max_rows > 0 and src.count() <= window_max_rows:
+    n = src.count()
+    if window_max_rows > 0 and n <= window_max_rows:
         # Small enough for one task: no group can be skewed across tasks, so
         # Spark's own window functions are the cheaper plan.
         return _with_windows(src, group, order, rank_by, lag)
-    ranged = src.repartitionByRange(partitions, *exprs) if partitions else src.repartitionByRange(*exprs)
+    if not partitions:
+        # each pandas pass holds one range partition: size them by rows
+        per = int(df.sparkSession.conf.get(ROWS_PER_PARTITION_CONF, str(ROWS_PER_PARTITION)))
+        partitions = max(1, -(-n // per))
+    ranged = src.repartitionByRange(partitions, *exprs)
     ranged = ranged.sortWithinPartitions(*exprs).checkpoint(eager=True)
     fields = {f.name: f for f in ranged.schema.fields}
 

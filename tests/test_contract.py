@@ -37,8 +37,10 @@ def test_query_matches_oracle(spark, con, name):
 def test_distributed_numbering_matches_oracle(spark, con, name):
     """The same reports with the range-partitioned numbering forced on."""
     spark.conf.set("kassa.sequence.windowMaxRows", "0")
+    spark.conf.set("kassa.sequence.rowsPerPartition", "97")  # many partition edges
     try:
         r = compare(spark, name, SF001, con)
     finally:
         spark.conf.unset("kassa.sequence.windowMaxRows")
+        spark.conf.unset("kassa.sequence.rowsPerPartition")
     assert r["match"], r
