@@ -4,8 +4,43 @@ from __future__ import annotations
 
 import datetime as dt
 
-from kassa.operators import shared, trend
-from kassa.plans.catalog import AS_OF, DAYS, EVENTS_AS_OF, events, register, shop
+from pyspark.sql import functions as F
+
+from kassa.functions.money import money
+from kassa.operators import (
+    adhoc,
+    cohort,
+    daily_summary,
+    generate,
+    inventory,
+    normalise,
+    patterns,
+    product,
+    quality,
+    rfm,
+    shared,
+    trend,
+)
+from kassa.plans.catalog import (
+    AS_OF,
+    DAYS,
+    EVENTS_AS_OF,
+    LOOKUP_EMAIL,
+    LOOKUP_ID,
+    REFRESH_SINCE,
+    SINCE,
+    SUMMARY_DAY,
+    YEAR,
+    events,
+    register,
+    scratch_path,
+    shop,
+)
+from kassa.sinks import outputs
+from kassa.sources import legacy
+from kassa.sources.driver_tables import DriverTables
+from kassa.sources.model import ORDERS
+from kassa.streaming import streams
 
 
 @register("sales_trend")
@@ -32,12 +67,6 @@ def q_daily_sales_events(spark, sf_dir):
     return shared.daily_sales(s, EVENTS_AS_OF.replace(month=1, day=1), EVENTS_AS_OF)
 
 
-from kassa.functions.money import money  # noqa: E402
-from kassa.operators import cohort, daily_summary, inventory, patterns, product, rfm  # noqa: E402
-from kassa.plans.catalog import SUMMARY_DAY, YEAR  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
-
-
 @register("customer_cohort")
 def q_customer_cohort(spark, sf_dir):
     return cohort.customer_cohort(shop(spark, sf_dir), YEAR)
@@ -109,10 +138,6 @@ def q_customer_monthly_summary(spark, sf_dir):
     return s.select("customer_id", "order_month", "order_count", money(F.col("revenue")).alias("revenue"))
 
 
-from kassa.operators import adhoc, quality  # noqa: E402
-from kassa.plans.catalog import LOOKUP_EMAIL, LOOKUP_ID, SINCE  # noqa: E402
-
-
 @register("frequent_customers_join_first")
 def q_frequent_join_first(spark, sf_dir):
     return adhoc.frequent_customers_join_first(shop(spark, sf_dir), SINCE)
@@ -163,9 +188,6 @@ for _name in (
     _dq(_name, getattr(quality, _name))
 
 
-from kassa.plans.catalog import REFRESH_SINCE, scratch_path  # noqa: E402
-
-
 @register("customer_monthly_summary_refresh")
 def q_customer_monthly_summary_refresh(spark, sf_dir):
     """The summary as of REFRESH_SINCE, refreshed with the orders changed
@@ -184,8 +206,6 @@ def q_orders_by_month(spark, sf_dir):
     return shared.read_orders_by_month(spark, path)
 
 
-from kassa.sinks import outputs  # noqa: E402
-
 HEAD_N = 10
 
 
@@ -243,10 +263,6 @@ def q_daily_sales_payload(spark, sf_dir):
     return outputs.daily_sales_payload(summary, SUMMARY_DAY, generated_at=dt.datetime(2001, 7, 21, 0, 0, 0))
 
 
-from kassa.sources.model import ORDERS  # noqa: E402
-from kassa.streaming import streams  # noqa: E402
-
-
 @register("stream_daily_sales")
 def q_stream_daily_sales(spark, sf_dir):
     """Purchase events as a file stream (availableNow); the closed days."""
@@ -273,11 +289,6 @@ def q_stream_customer_monthly_summary(spark, sf_dir):
     return out.select("customer_id", "order_month", "order_count", money(F.col("revenue")).alias("revenue"))
 
 
-from kassa.operators import normalise  # noqa: E402
-from kassa.sources import legacy  # noqa: E402
-from kassa.sources.driver_tables import DriverTables  # noqa: E402
-
-
 @register("normalise_legacy_orders")
 def q_normalise_legacy_orders(spark, sf_dir):
     return normalise.normalise_legacy_orders(legacy.legacy_orders(DriverTables(spark, sf_dir)))
@@ -289,8 +300,6 @@ def q_normalise_legacy_products(spark, sf_dir):
     return normalise.normalise_legacy_products(legacy.legacy_products(s.tables), s.categories)
 
 
-from kassa.operators import generate  # noqa: E402
-
 SEED = 42
 
 
