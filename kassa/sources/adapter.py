@@ -33,7 +33,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -66,30 +66,23 @@ def customers(t: DriverTables) -> DataFrame:
 
 def categories(t: DriverTables) -> DataFrame:
     # The distinct (type, brand) set is bounded by the part domain, not by the
-    # number of parts: the two global windows below run on a few thousand rows.
+    # number of parts: one global aggregate gathers the sorted names (a few
+    # thousand at most) and the ids are their positions.
     pairs = t.part.select("p_type", "p_brand").distinct()
-    rows = (
-        pairs.select(F.lit(0).alias("kind"), F.col("p_type").alias("name"), "p_type")
-        .distinct()
-        .unionByName(
-            pairs.select(
-                F.lit(1).alias("kind"),
-                F.concat_ws(" ", "p_type", "p_brand").alias("name"),
-                "p_type",
-            )
-        )
+    child = F.struct(F.concat_ws(" ", "p_type", "p_brand").alias("name"), F.col("p_type").alias("p_type"))
+    names = pairs.agg(
+        F.array_sort(F.collect_set("p_type")).alias("types"),
+        F.array_sort(F.collect_set(child)).alias("children"),
     )
-    numbered = rows.select(
-        "kind",
-        "name",
-        F.row_number().over(Window.orderBy("kind", "name")).alias("id"),
-        F.dense_rank().over(Window.orderBy("p_type")).alias("type_rank"),
+    parents = names.select(F.posexplode("types").alias("pos", "name")).select(
+        (F.col("pos") + 1).cast("int").alias("id"), "name", F.lit(None).cast("int").alias("parent_id")
     )
-    return numbered.select(
-        F.col("id").cast("int").alias("id"),
-        "name",
-        F.when(F.col("kind") == 1, F.col("type_rank")).cast("int").alias("parent_id"),
+    children = names.select("types", F.posexplode("children").alias("pos", "c")).select(
+        (F.size("types") + F.col("pos") + 1).cast("int").alias("id"),
+        F.col("c.name").alias("name"),
+        F.array_position("types", F.col("c.p_type")).cast("int").alias("parent_id"),
     )
+    return parents.unionByName(children)
 
 
 def products(t: DriverTables, cats: DataFrame) -> DataFrame:
