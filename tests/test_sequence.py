@@ -61,3 +61,35 @@ def test_small_input_window_path_matches(spark):
     b = number_rows(df, ["g"], [("v", False), ("id", True)], rank_by=["v"], lag=["t"])
     cols = ["id", "_row", "_rank", "_size", "_prev_t"]
     assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    n=st.integers(min_value=1, max_value=400),
+    groups=st.integers(min_value=1, max_value=6),
+    values=st.integers(min_value=1, max_value=8),
+    parts=st.integers(min_value=1, max_value=9),
+    seed=st.integers(min_value=0, max_value=10_000),
+)
+def test_number_rows_property(spark, n, groups, values, parts, seed):
+    rnd = random.Random(seed)
+    rows = [
+        (i, rnd.choice(list(range(groups)) + [None]), rnd.randint(0, values), rnd.randint(0, 50))
+        for i in range(n)
+    ]
+    df = spark.createDataFrame(rows, "id long, g int, v int, t long")
+    got = number_rows(df, ["g"], [("v", True), ("id", False)], rank_by=["v"], lag=["t"],
+                      partitions=parts, window_max_rows=0)
+    exp = _expected(df, ["g"], [F.col("v").asc(), F.col("id").desc()], F.col("v").asc())
+    j = got.join(exp, "id")
+    bad = j.filter(
+        (F.col("_row") != F.col("e_row"))
+        | (F.col("_rank") != F.col("e_rank"))
+        | (F.col("_size") != F.col("e_size"))
+        | ~F.col("_prev_t").eqNullSafe(F.col("e_prev_t"))
+    )
+    assert j.count() == n and bad.count() == 0
