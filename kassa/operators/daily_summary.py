@@ -23,10 +23,8 @@ def daily_sales_summary(shop: Shop, day: dt.date, tz: str = tu.REPORT_TZ) -> Dat
     yields one row; the top category is a scalar subquery over the per-category
     aggregate (one row per top-level category).
     """
-    day_orders = (
-        shop.completed_orders()
-        .filter(tu.instant_range("order_date", day, day + dt.timedelta(days=1), tz))
-        .select(F.col("id").alias("order_id"), "total_amount")
+    day_orders = shop.completed_orders_between(day, day + dt.timedelta(days=1), tz).select(
+        F.col("id").alias("order_id"), "total_amount"
     )
     zero = F.lit(0).cast(DecimalType(38, 2))
     totals = day_orders.agg(

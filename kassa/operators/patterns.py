@@ -77,8 +77,7 @@ def purchase_patterns(
     """Customers with a completed order in ``year`` (local), measured over
     their whole completed history, kept when they have >= min_orders orders."""
     in_year = (
-        shop.completed_orders()
-        .filter(tu.instant_range("order_date", dt.date(year, 1, 1), dt.date(year + 1, 1, 1), tz))
+        shop.completed_orders_between(dt.date(year, 1, 1), dt.date(year + 1, 1, 1), tz)
         .select("customer_id")
         .distinct()
     )

@@ -6,10 +6,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, LongType
+from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType
 
 from kassa.functions import timeutil as tu
-from kassa.sources.model import Shop, item_revenue
+from kassa.sources.model import ORDER_ITEMS, ORDERS, Shop, item_revenue
 
 UNCATEGORIZED = "Uncategorized"
 
@@ -56,7 +56,7 @@ def daily_sales(shop: Shop, from_day: dt.date, to_day: dt.date, tz: str = tu.REP
     The range is compared with the raw instant so it reaches the scan; the
     group key is the local day.  Output: day, total_orders, revenue (decimal).
     """
-    o = shop.completed_orders().filter(tu.instant_range("order_date", from_day, to_day, tz))
+    o = shop.completed_orders_between(from_day, to_day, tz)
     return o.groupBy(tu.local_date("order_date", tz).alias("day")).agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.sum("total_amount").alias("revenue"),
@@ -201,8 +201,9 @@ class MonthLayoutShop(Shop):
     def __init__(self, base: Shop, orders_path: str, items_path: str, tz: str = tu.REPORT_TZ):
         spark = base.spark
         self.tz = tz
-        orders = spark.read.parquet(orders_path)
-        items = spark.read.parquet(items_path)
+        month = StructField("order_month", StringType())
+        orders = spark.read.schema(StructType(list(ORDERS.fields) + [month])).parquet(orders_path)
+        items = spark.read.schema(StructType(list(ORDER_ITEMS.fields) + [month])).parquet(items_path)
         super().__init__(
             customers=base.customers,
             categories=base.categories,
@@ -210,15 +211,25 @@ class MonthLayoutShop(Shop):
             orders=orders.select(*[c for c in orders.columns if c != "order_month"]),
             order_items=items.select(*[c for c in items.columns if c != "order_month"]),
         )
+        self._orders = orders
         self._items = items
 
-    def items_for_days(self, first_day: dt.date, end_day: dt.date) -> DataFrame:
-        months = sorted(
+    @staticmethod
+    def _months(first_day: dt.date, end_day: dt.date) -> list[str]:
+        return sorted(
             {
                 tu.month_start(first_day + dt.timedelta(days=i)).strftime("%Y-%m")
                 for i in range(max((end_day - first_day).days, 0))
             }
         )
+
+    def completed_orders_between(self, first_day: dt.date, end_day: dt.date, tz: str = tu.REPORT_TZ) -> DataFrame:
+        months = F.col("order_month").cast("string").isin(self._months(first_day, end_day))
+        o = self._orders.filter(months).drop("order_month")
+        return o.filter((F.col("status") == "completed") & tu.instant_range("order_date", first_day, end_day, tz))
+
+    def items_for_days(self, first_day: dt.date, end_day: dt.date) -> DataFrame:
+        months = self._months(first_day, end_day)
         return self._items.filter(F.col("order_month").cast("string").isin(months)).drop("order_month")
 
 

@@ -114,6 +114,14 @@ class Shop:
     def completed_orders(self) -> DataFrame:
         return self.orders_in_status(STATUS_COMPLETED)
 
+    def completed_orders_between(self, first_day, end_day, tz: str = "Asia/Jakarta") -> DataFrame:
+        """Completed orders placed in local days [first_day, end_day): a range
+        on the raw instant (pushed into the scan); a shop laid out by month
+        adds a partition filter on the matching months."""
+        from kassa.functions import timeutil as tu
+
+        return self.completed_orders().filter(tu.instant_range("order_date", first_day, end_day, tz))
+
     def items_for_days(self, first_day, end_day) -> DataFrame:
         """Order lines that can belong to orders placed in [first_day, end_day)
         (local days).  A plain shop cannot narrow this down; a shop laid out

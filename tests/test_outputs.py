@@ -176,3 +176,13 @@ def test_month_layout_daily_summary_reads_one_month_of_lines(spark):
     assert rows(df, "total_orders", "top_category") == [(1, "Cat")]
     plan = laid_out.items_for_days(dt.date(2024, 11, 29), dt.date(2024, 11, 30))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2024-11" in plan
+
+
+def test_month_layout_trend_prunes_order_months(spark):
+    s = make_shop(spark, orders=[(1, 1, "2024-11-29 03:00:00"), (2, 1, "2024-06-02 03:00:00")])
+    laid_out = shared.lay_out_by_month(s, _tmp() + "/layout2")
+    got = rows(trend.sales_trend(laid_out, 3, as_of=dt.date(2024, 11, 30)), "day", "total_orders")
+    assert got == rows(trend.sales_trend(s, 3, as_of=dt.date(2024, 11, 30)), "day", "total_orders")
+    orders = laid_out.completed_orders_between(dt.date(2024, 11, 20), dt.date(2024, 11, 30))
+    plan = orders._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2024-11" in plan and "2024-06" not in plan.split("PartitionFilters")[1][:200]
