@@ -15,6 +15,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session(spark).read.schema(DOCUMENTS).parquet(f"{sf_dir}/documents.parquet")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kassa.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(documents(spark, sf_dir).select("doc_id", "text"), with_text=False)
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kassa.llm.minhash_dedup import near_duplicates
 
@@ -22,6 +28,7 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op7_minhash_dedup": op7_minhash_dedup,
 }
 

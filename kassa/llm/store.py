@@ -14,6 +14,7 @@ def session(spark: SparkSession) -> SparkSession:
     what it gets into blocks of a few megabytes."""
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     return spark
 
 
@@ -24,7 +25,3 @@ def save(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kassa-llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def input_splits(spark: SparkSession, sf_dir: str, name: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
