@@ -15,6 +15,32 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session(spark).read.schema(DOCUMENTS).parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kassa.llm.decontaminate import find_contamination
+
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return find_contamination(docs, items).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
+    )
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kassa.llm.quality_rules import judge_lines
+
+    return judge_lines(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "n_lost_words",
+    )
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kassa.llm.suffix_dedup import remove_repeats
 
@@ -27,9 +53,18 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kassa.llm.packing import pack_sequences
+
+    return pack_sequences(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
+    "op4_quality_rules": op4_quality_rules,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_minhash_dedup": op7_minhash_dedup,
+    "op9_packing": op9_packing,
 }
 
 

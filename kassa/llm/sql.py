@@ -1,3 +1,115 @@
-"""DuckDB SQL of the operators that SQL can express, for the value check."""
+"""DuckDB SQL of the operators that SQL can express, for the value check.
 
-SQL: dict[str, str] = {}
+Written from the contract of each query, over the same tables.
+"""
+
+_FOLD = "translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_NOT_SPACE = r"'[^\x20\x09-\x0D]+'"
+
+_OP2 = rf"""
+WITH bench AS (
+  SELECT item_id, regexp_extract_all({_FOLD.format(t="text")}, {_ALNUM}) AS w FROM benchmark
+), wins AS (
+  SELECT DISTINCT item_id, CAST(least(len(w), 10) AS INT) AS size, w[i:i + least(len(w), 10) - 1] AS win
+  FROM bench, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS u(i) WHERE len(w) > 0
+), doc AS (
+  SELECT doc_id, regexp_extract_all({_FOLD.format(t="text")}, {_ALNUM}) AS w FROM documents
+), sizes AS (SELECT DISTINCT size FROM wins),
+spots AS (
+  SELECT doc_id, size, i, w[i:i + size - 1] AS win
+  FROM doc, sizes, unnest(range(1, len(w) - size + 2)) AS u(i)
+), found AS (
+  SELECT s.doc_id, s.i, s.size, x.item_id FROM spots s JOIN wins x ON s.size = x.size AND s.win = x.win
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
+    SELECT doc_id, unnest(range(i, i + size)) AS p FROM (SELECT DISTINCT doc_id, i, size FROM found)
+  ) GROUP BY doc_id
+), its AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+_OP4 = rf"""
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_NOT_SPACE}) AS w FROM documents
+), grams AS (
+  SELECT doc_id, i, w[i:i + 2] AS g FROM doc, unnest(range(1, len(w) - 1)) AS u(i)
+), twice AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM grams) WHERE n > 1
+), rep AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id
+), cut AS (
+  SELECT doc_id, j, lines[j] AS line, regexp_extract_all(lines[j], {_NOT_SPACE}) AS lw
+  FROM (SELECT doc_id, string_split(t, chr(10)) AS lines FROM doc), unnest(range(1, len(lines) + 1)) AS u(j)
+), line AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY j) > 1 AS dup,
+         length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS signs,
+         translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM cut WHERE len(lw) > 0
+), judged AS (
+  SELECT doc_id, dup, len(lw) AS n,
+    (signs > 0 AND 10 * signs >= len(lw))
+    OR (signs > 0 AND 5 * len(list_filter(lw, lambda x: x IN ('|', '>', '<', '>>', '<<'))) >= len(lw))
+    OR contains(low, 'all rights reserved') OR contains(low, 'cookie policy') OR contains(low, 'enable javascript')
+    OR contains(low, 'privacy policy') OR contains(low, 'terms of service')
+    OR contains(low, 'subscribe to our newsletter') OR contains(low, 'click here to')
+    OR contains(low, 'log in to') OR contains(low, 'sign up for')
+    OR (len(lw) < 4 AND NOT regexp_matches(line, '(\.|!|\?|…|:|;)["'')\]}}]*[\x20\x09-\x0D]*$')) AS bad
+  FROM line
+), lost AS (
+  SELECT doc_id, sum(CASE WHEN dup THEN 1 ELSE 0 END) AS n_dup_lines,
+         sum(CASE WHEN dup OR bad THEN n ELSE 0 END) AS n_lost
+  FROM judged GROUP BY doc_id
+), base AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+    CAST(coalesce(n_lost, 0) AS BIGINT) AS n_lost_words
+  FROM doc LEFT JOIN rep USING (doc_id) LEFT JOIN lost USING (doc_id)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * n_lost_words <= 50 * n_words AS kept
+FROM base
+"""
+
+_OP5 = r"""
+WITH doc AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+spot AS (
+  SELECT doc_id, p, substr(h, CAST(2 * p + 1 AS BIGINT), 100) AS s
+  FROM doc, unnest(range(0, length(h) // 2 - 49)) AS u(p)
+), low AS (SELECT s, min(doc_id) AS first FROM spot GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT doc_id, p FROM spot JOIN low USING (s) WHERE first < doc_id),
+gaps AS (
+  SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS q FROM hit
+), runs AS (
+  SELECT doc_id, p, sum(CASE WHEN q IS NULL OR p > q + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS r
+  FROM gaps
+), span AS (
+  SELECT doc_id, r, min(p) AS a, max(p) + 50 AS b FROM runs GROUP BY doc_id, r
+), kept AS (  -- what stands before each span and after the last
+  SELECT s.doc_id, coalesce(lag(b) OVER w, 0) AS x, a AS y FROM span s WINDOW w AS (PARTITION BY s.doc_id ORDER BY a)
+  UNION ALL
+  SELECT s.doc_id, max(b), any_value(length(h)) // 2 FROM span s JOIN doc USING (doc_id) GROUP BY s.doc_id
+), left_over AS (
+  SELECT doc_id, string_agg(substr(h, CAST(2 * x + 1 AS BIGINT), CAST(2 * (y - x) AS BIGINT)), '' ORDER BY x) AS k
+  FROM kept JOIN doc USING (doc_id) GROUP BY doc_id
+), sums AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM doc LEFT JOIN sums USING (doc_id) LEFT JOIN left_over USING (doc_id)
+"""
+
+SQL: dict[str, str] = {
+    "op2_decontamination": _OP2,
+    "op4_quality_rules": _OP4,
+    "op5_suffix_dedup": _OP5,
+}

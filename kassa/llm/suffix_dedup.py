@@ -24,7 +24,8 @@ doc_id; strings are judged on the input and never cross documents.
 Result: one row per row, with all columns of the input.  A row with null doc_id
 loses nothing and removes nothing; repeated rows with one doc_id do not remove
 each other; an empty table gives an empty result.  Cuts may fall inside a
-multi-byte character; ``kept`` holds the exact bytes.
+multi-byte character; ``clean_text`` leaves out what is left of it, while
+``kept_sha256`` is that of the exact bytes.
 """
 
 from __future__ import annotations
@@ -540,8 +541,8 @@ def _apply(id_col: str, schema: pa.Schema):
                 "n_bytes": chunk.ends - chunk.starts,
                 "n_removed": sums[chunk.ends] - sums[chunk.starts],
                 "n_spans": heads[chunk.ends] - heads[chunk.starts],
-                "kept": kept,
                 "kept_sha256": [hashlib.sha256(x).hexdigest() for x in kept],
+                "clean_text": [x.decode("utf-8", "ignore") for x in kept] if "clean_text" in schema.names else None,
             }
             table = dict(zip(chunk.rest.schema.names, chunk.rest.columns, strict=True))
             for at in range(0, len(kept), 500):
@@ -563,18 +564,18 @@ def remove_repeats(
     with_text: bool = True,
 ) -> DataFrame:
     """All columns of ``docs`` but the text, then n_bytes, n_removed, n_spans,
-    kept_sha256 (long, long, long, hex string) and, if asked for, ``kept`` (binary).
+    kept_sha256 (long, long, long, hex string) and, if asked for, ``clean_text``.
 
     Input columns with one of these names or those of ``_COLUMNS`` do not clash:
     they travel inside the chunks; an input column named like a result column is
     replaced by it."""
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import BinaryType, LongType, StringType, StructType
+    from pyspark.sql.types import LongType, StringType, StructType
 
     spark = docs.sparkSession
     results = {"n_bytes": LongType(), "n_removed": LongType(), "n_spans": LongType(), "kept_sha256": StringType()}
     if with_text:
-        results["kept"] = BinaryType()
+        results["clean_text"] = StringType()
     source = docs.select(*[c for c in docs.columns if c not in results])
     rest = [f for f in source.schema.fields if f.name != text_col]
     out = StructType(rest)
