@@ -50,8 +50,8 @@ LEFT = SPAN - 1
 KEY = 8 + MATCH + LEFT + 2
 GROUP = 8 + GRAM
 CHUNK_BYTES = 4 << 20
-RANGE_BYTES = 64 << 20
-SLICE = 1 << 20
+RANGE_BYTES = 32 << 20
+SLICE = 1 << 18
 _B = 0xD6E8FEB86659FD93
 
 
@@ -520,7 +520,7 @@ def _removed(chunk: _Chunk, found: list[dict] | None) -> np.ndarray:
         later = _unplanes(piece["doc"], np.int64) < chunk.ids[doc]
         np.add.at(step, (place - last)[later], 1)
         np.add.at(step, (place - first + MATCH)[later], -1)
-    return np.cumsum(step[:-1]) > 0
+    return np.cumsum(step[:-1], dtype=np.int32) > 0
 
 
 def _apply(id_col: str, schema: pa.Schema):
@@ -531,8 +531,8 @@ def _apply(id_col: str, schema: pa.Schema):
             before = np.append(False, gone[:-1])
             some = chunk.ends > chunk.starts
             before[chunk.starts[some]] = False
-            sums = np.append(0, np.cumsum(gone))
-            heads = np.append(0, np.cumsum(gone & ~before))
+            sums = np.append(np.int32(0), np.cumsum(gone, dtype=np.int32))
+            heads = np.append(np.int32(0), np.cumsum(gone & ~before, dtype=np.int32))
             kept = [
                 chunk.data[a:b][~gone[a:b]].tobytes()
                 for a, b in zip(chunk.starts.tolist(), chunk.ends.tolist(), strict=True)
