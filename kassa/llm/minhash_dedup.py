@@ -11,9 +11,11 @@ minima instead of 864.  A pair at the limit of 0.85 misses all tables with
 probability 2 * (1 - 0.85 ** 3) ** 12, about 2e-5, and closer pairs with less.
 
 Documents with equal sets form one class, so copies cost one row each.  Within
-a table key every class is compared with the key's smallest class; classes that
-are then still in different components are compared with each other, so no link
-between different sets is skipped.  Pairs are confirmed on full shingle sets.
+a table key every class is compared, on full shingle sets, with the key's centre,
+the class that shares most keys.  That comparison leaves the differences from the
+centre.  Classes of one centre that are then in different components are compared
+with each other from these differences, in blocks of ``BLOCK`` against ``BLOCK``,
+so no link between different sets is skipped, and only links leave a task.
 
 Rows: one per input row.  Repeated rows get equal results; a null doc_id keeps
 its row, with ``kept`` false unless it is alone in its component.  Other columns
@@ -36,6 +38,7 @@ SHINGLE = 3
 PERCENT = 85
 HALVES = 12
 ROWS = 3
+BLOCK = 256
 N_HASHES = 2 * HALVES * ROWS
 _MULT = T.mix(np.arange(1001, 1001 + N_HASHES, dtype=np.uint64)) | np.uint64(1)
 _SALT = T.mix(np.arange(5001, 5001 + N_HASHES, dtype=np.uint64))
@@ -107,8 +110,9 @@ def _squeeze(batches):
         )
 
 
-def _confirm(batches):
-    """Rows (a, b, packed texts of both): keeps those similar enough."""
+def _compare(batches):
+    """Rows (a, b, packed texts of both) -> how ``b``'s set differs from ``a``'s:
+    which of a's sorted shingles it lacks (bits) and which it adds."""
     unpack = zstandard.ZstdDecompressor()
 
     def own(packed: bytes) -> np.ndarray:
@@ -119,28 +123,75 @@ def _confirm(batches):
     centre, held = None, None
     for batch in batches:
         a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        pa_, pb_ = batch.column(2), batch.column(3)
-        good = []
+        rows: list[tuple] = []
         for i in range(len(a)):
             if centre != a[i]:
-                centre, held = a[i], own(pa_[i].as_py())
-            other = own(pb_[i].as_py())
-            small, large = (held, other) if len(held) < len(other) else (other, held)
-            if 100 * len(small) < PERCENT * len(large):
-                continue
-            at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-            both = int(np.count_nonzero(large[at] == small))
-            if 100 * both >= PERCENT * (len(held) + len(other) - both):
-                good.append(i)
-        yield batch.select([0, 1]).take(pa.array(good, pa.int64()))
-
-
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Confirmed pairs (a, b).  Joins are sort-merge joins, whose hot keys are
-    split by adaptive execution."""
-    other = pairs.join(texts.withColumnRenamed("id", "b").withColumnRenamed("packed", "pb"), "b")
-    rows = other.join(texts.withColumnRenamed("id", "a").withColumnRenamed("packed", "pa"), "a")
-    return rows.select("a", "b", "pa", "pb").mapInArrow(_confirm, "a long, b long")
+                centre, held = a[i], own(batch.column(2)[i].as_py())
+            other = own(batch.column(3)[i].as_py())
+            there = other[np.minimum(np.searchsorted(other, held), len(other) - 1)] == held
+            both = int(np.count_nonzero(there))
+            new = held[np.minimum(np.searchsorted(held, other), len(held) - 1)] != other
+            linked = 100 * both >= PERCENT * (len(held) + len(other) - both)
+            rows.append((linked, len(held), len(other), np.packbits(~there).tobytes(), other[new].tobytes()))
+        columns = list(zip(*rows, strict=True)) or [[], [], [], [], []]
+        kinds = (pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+            names=["a", "b", "linked", "n_a", "n_b", "gone", "added"],
+        )
+
+
+_COMPARED = "a long, b long, linked boolean, n_a long, n_b long, gone binary, added binary"
+
+
+def _shared_additions(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Number of common elements of every pair of an array of ``x`` and one of ``y``."""
+    out = np.zeros((len(x), len(y)), np.float32)
+    hx, hy = np.concatenate(x), np.concatenate(y)
+    rx = np.repeat(np.arange(len(x)), [len(v) for v in x])
+    ry = np.repeat(np.arange(len(y)), [len(v) for v in y])
+    common = np.intersect1d(hx, hy)
+    for at in range(0, len(common), 4096):
+        part = common[at : at + 4096]
+        sides = []
+        for hashes, row, n in ((hx, rx, len(x)), (hy, ry, len(y))):
+            place = np.minimum(np.searchsorted(part, hashes), len(part) - 1)
+            good = part[place] == hashes
+            side = np.zeros((n, len(part)), np.float32)
+            side[row[good], place[good]] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _cross(batches):
+    """Rows of two blocks of sets that were compared with one centre -> links
+    between them.  With R what a set lacks of the centre and A what it adds, two
+    sets have n - |R1| - |R2| + |R1 & R2| + |A1 & A2| shingles in common."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            sides = []
+            for k in (0, 1):
+                rows = batch.column(k)[i].as_py()
+                n = rows[0]["n_a"]
+                gone = np.stack([np.unpackbits(np.frombuffer(r["gone"], np.uint8), count=n) for r in rows])
+                sides.append(
+                    (
+                        np.array([r["b"] for r in rows], np.int64),
+                        np.array([r["component"] for r in rows], np.int64),
+                        np.array([r["n_b"] for r in rows], np.float64),
+                        gone.astype(np.float32),
+                        [np.frombuffer(r["added"], np.uint64) for r in rows],
+                    )
+                )
+            (b1, c1, n1, g1, a1), (b2, c2, n2, g2, a2) = sides
+            both = n - g1.sum(axis=1)[:, None] - g2.sum(axis=1)[None, :] + g1 @ g2.T + _shared_additions(a1, a2)
+            linked = (100 * both >= PERCENT * (n1[:, None] + n2[None, :] - both)) & (c1[:, None] != c2[None, :])
+            x, y = np.nonzero(linked)
+            # one link for each pair of components is enough
+            _, once = np.unique(np.stack([c1[x], c2[y]], axis=1), axis=0, return_index=True)
+            x, y = x[once], y[once]
+            yield pa.RecordBatch.from_arrays([pa.array(b1[x]), pa.array(b2[y])], names=["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -165,46 +216,51 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ).alias("k", "half"),
     )
     # a half that no other class has cannot be part of a shared table key
-    shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
+    shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1")
     own = (
-        halves.join(shared, "half", "left_semi")
+        halves.join(shared, "half")
         .groupBy("rep")
         .agg(
             F.collect_list(F.when(F.col("k") < HALVES, F.col("half"))).alias("left"),
             F.collect_list(F.when(F.col("k") >= HALVES, F.col("half"))).alias("right"),
+            F.sum("n").alias("company"),
         )
     )
     keys = save(
-        own.select("rep", "right", F.explode("left").alias("l"))
-        .select("rep", "l", F.explode("right").alias("r"))
-        .select("rep", F.xxhash64("l", "r").alias("key")),
+        own.select("rep", "company", "right", F.explode("left").alias("l"))
+        .select("rep", "company", "l", F.explode("right").alias("r"))
+        .select(F.xxhash64("l", "r").alias("key"), "rep", "company"),
         "keys",
     )
-    centres = keys.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z")
-    members = save(keys.join(centres.select("key", "a"), "key"), "members")
-    ids = members.select(F.col("rep").alias("id")).distinct()
-    texts = save(source.join(ids, "id", "left_semi").mapInArrow(_squeeze, "id long, packed binary"), "texts")
-    texts = texts.dropDuplicates(["id"])  # repeated rows with one doc_id
-
-    star = members.where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    found = save(_links(star, texts), "links")
-    groups = components(found)
-
-    # classes that share a key but not yet a component
-    where = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "a", "rep", F.coalesce("component", "rep").alias("component")
+    # a key's centre is the class with the most company: most like the others
+    best = F.max(F.struct("company", (-F.col("rep")).alias("minus")))
+    centres = keys.groupBy("key").agg(best.alias("best"), F.count("*").alias("n")).where("n > 1")
+    centres = centres.select("key", (-F.col("best.minus")).alias("a"))
+    star = save(
+        keys.join(centres, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "star"
     )
-    mixed = (
-        where.groupBy("key")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo < hi")
-        .select("key")
+    ids = star.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    texts = source.join(ids, "id", "left_semi").mapInArrow(_squeeze, "id long, packed binary")
+    texts = save(texts.dropDuplicates(["id"]), "texts")  # repeated rows with one doc_id
+    rows = star.join(texts.toDF("b", "pb"), "b").join(texts.toDF("a", "pa"), "a")
+    compared = save(rows.select("a", "b", "pa", "pb").mapInArrow(_compare, _COMPARED), "compared")
+    groups = components(compared.where("linked").select("a", "b"))
+
+    # sets compared with one centre, but not in one component: compared with each other
+    part = groups.withColumnRenamed("component", "part")
+    near = compared.join(part.withColumnRenamed("node", "b"), "b", "left")
+    near = near.withColumn("component", F.coalesce("part", "b")).drop("part")
+    home = compared.select("a").distinct().join(part.withColumnRenamed("node", "a"), "a", "left")
+    home = home.select("a", F.coalesce("part", "a").alias("home"))
+    spread = near.groupBy("a").agg(
+        F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")
     )
-    open_ = where.where("rep <> a").join(mixed, "key", "left_semi")
-    left = open_.select("key", F.col("rep").alias("a"), F.col("component").alias("ca"))
-    right = open_.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"))
-    cross = left.join(right, "key").where("a < b AND ca <> cb").select("a", "b").distinct()
-    more = save(_links(cross, texts), "links")
+    mixed = spread.where("lo < hi").join(home, "a").select("a", "home", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    near = near.join(mixed, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")))
+    member = F.struct("b", "component", "n_a", "n_b", "gone", "added")
+    every = near.groupBy("a", "block").agg(F.collect_list(member).alias("y")).drop("block")
+    apart = near.where("component <> home").groupBy("a", "block").agg(F.collect_list(member).alias("x")).drop("block")
+    more = apart.join(every, "a").select("x", "y").mapInArrow(_cross, "a long, b long")
     groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     labels = classes.select("d1", "d2", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
