@@ -37,13 +37,12 @@ def order_sequence(shop: Shop, customers: DataFrame | None = None) -> DataFrame:
     return _sequence(_completed(shop, customers))
 
 
-def _sequence(o: DataFrame, materialized: bool = False) -> DataFrame:
+def _sequence(o: DataFrame) -> DataFrame:
     seq = number_rows(
         o,
         ["customer_id"],
         [("order_date", True), ("order_id", True)],
         lag=["order_date"],
-        materialized=materialized,
     )
     gap = tu.micros_between(F.col(_prev("order_date")), F.col("order_date"))
     return seq.select(
@@ -81,8 +80,8 @@ def purchase_patterns(
         .select("customer_id")
         .distinct()
     )
-    history = materialize(_completed(shop, in_year))  # read by three branches below
-    seq = _sequence(history, materialized=True)
+    history = materialize(_completed(shop, in_year), "history")  # read by three branches below
+    seq = _sequence(history)
     gap_days_dbl = F.col("gap_micros") / F.lit(float(MICROS_PER_DAY))
     amount = F.col("total_amount")
     patterns = (

@@ -19,34 +19,28 @@ def product_performance(shop: Shop, *, as_of: dt.date, tz: str = tu.REPORT_TZ) -
     """Products with at least one completed sale.
 
     Rank, percent rank and group size come from the range-partitioned
-    numbering (a category holding most products is still spread over many
-    tasks); the category total is an aggregate joined back by category.
+    numbering of (category, revenue, product) alone (a category holding most
+    products is still spread over many tasks); the category total is an
+    aggregate, and names join last.
     """
     last_month = tu.add_months(tu.month_start(as_of), -1)
     sales = product_sales(shop, as_of=as_of, tz=tz)
     cats = product_categories(shop)
-    j = sales.join(cats, "product_id").select(
-        "product_id",
-        "product_name",
-        "category_id",
-        "category",
-        "parent_category",
-        "units_sold",
-        "revenue",
-        "last_month_revenue",
-        "prev_month_revenue",
+    j = sales.join(cats.select("product_id", "category_id"), "product_id").select(
+        "product_id", "category_id", "units_sold", "revenue", "last_month_revenue", "prev_month_revenue"
     )
-    j = materialize(j)  # the join + aggregate runs once; both uses read the files
+    j = materialize(j, "product-sales")  # the join + aggregate runs once; all uses read the files
     ranked = number_rows(
-        j,
+        j.select("category_id", "revenue", "product_id"),
         ["category_id"],
         [("revenue", False), ("product_id", True)],
         rank_by=["revenue"],
-        materialized=True,
     )
-    totals = j.groupBy("category_id").agg(F.sum("revenue").alias("_category_revenue"))
-    r = ranked.join(totals, ranked["category_id"].eqNullSafe(totals["category_id"])).drop(
-        totals["category_id"]
+    totals = j.groupBy(F.col("category_id").alias("_total_id")).agg(F.sum("revenue").alias("_category_revenue"))
+    r = (
+        ranked.join(totals, F.col("category_id").eqNullSafe(F.col("_total_id")))
+        .join(j.drop("category_id", "revenue"), "product_id")
+        .join(cats.drop("category_id"), "product_id")
     )
     change = F.col("last_month_revenue") - F.col("prev_month_revenue")
     # percent_rank = (rank-1)/(n-1) < 0.2, tested without division

@@ -46,9 +46,12 @@ def rfm_segmentation(shop: Shop, *, as_of: dt.date, tz: str = tu.REPORT_TZ) -> D
             F.count(F.lit(1)).alias("frequency"),
             F.sum("total_amount").alias("monetary"),
         )
-        .join(shop.customers.select(F.col("id").alias("customer_id"), "name", "email"), "customer_id")
+        .join(shop.customers.select(F.col("id").alias("customer_id")), "customer_id", "left_semi")
+    )
+    # four short columns go through the numbering; names join afterwards
+    numbered = number_rows(stats, [], [("monetary", True), ("customer_id", True)]).join(
+        shop.customers.select(F.col("id").alias("customer_id"), "name", "email"), "customer_id"
     )
-    numbered = number_rows(stats, [], [("monetary", True), ("customer_id", True)])
     recency = F.datediff(tu.date_literal(as_of), F.col("last_order_day"))
     scored = numbered.select(
         "customer_id",

@@ -4,245 +4,51 @@ Spark's window functions put a whole ``PARTITION BY`` group in one task, and a
 window without ``PARTITION BY`` puts every row in one task.  When one group
 (a customer, a category) may hold a third of all rows, or the window is
 global (NTILE over all customers), that task is the job.  This operator
-spreads the work by the *full* sort key instead:
-
-0. The input is checkpointed once (it is usually a join plus an aggregate).
-1. ``repartitionByRange(group, order)`` into ceil(rows / rowsPerPartition)
-   partitions (default two million rows each, which bounds the memory of a
-   pandas pass) - the range bounds are sampled on the
-   whole key, so a hot group is cut into several contiguous ranges; then
-   ``sortWithinPartitions`` on the same key.  The result is checkpointed to
-   the shared checkpoint folder so both passes read identical partitions, and
-   a lost executor re-reads files instead of re-sampling the bounds.
-2. Pass 1 (``mapInPandas``): one summary row per partition - first and last
-   group key, their row counts, the rank keys and lag values at the edges.
-   These rows (one per partition, a bound that does not grow with the data)
-   are collected and chained on the driver into per-partition carries.
-3. Pass 2 (``mapInPandas``): local numbering inside each partition, corrected
-   by the carry for the groups that straddle partition edges.
-
-The caller's order must be total inside a group (end it with a unique key);
-``rank_by`` names the leading order columns whose ties share a rank.
+numbers ranges of the *full* sort key instead, with one plan at every size:
+
+1. ``repartitionByRange(group, order)``: a hot group is cut into several
+   contiguous ranges.  The ranges, with their number, are written once to the
+   shared checkpoint folder, so every later use reads the same ranges and a
+   lost executor re-reads files instead of sampling bounds anew.
+2. Window functions inside (range, group), which one range bounds.
+3. Per (group, range) that a range edge cuts: counts, the rank key and lag
+   values at its ends.  That is at most two rows a range, whatever the data;
+   windows over a group's ranges turn them into carries, joined back.
+
+Everything stays in the JVM, so values of any type keep their precision.  The
+caller's order must be total inside a group (end it with a unique key);
+``rank_by`` names the leading order columns whose ties share a rank.  Callers
+pass the keys they need and join wide columns afterwards.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from kassa.session import ensure_checkpoint_dir
 
 ROW, RANK, SIZE = "_row", "_rank", "_size"
-WINDOW_MAX_ROWS_CONF = "kassa.sequence.windowMaxRows"
-WINDOW_MAX_ROWS = 1_000_000
-WINDOW_MAX_BYTES_CONF = "kassa.sequence.windowMaxBytes"
-WINDOW_MAX_BYTES = 32 * 1024 * 1024
-ROWS_PER_PARTITION_CONF = "kassa.sequence.rowsPerPartition"
-ROWS_PER_PARTITION = 2_000_000
 
 
 def _prev(c: str) -> str:
     return f"_prev_{c}"
 
 
-def _sort_exprs(group: Sequence[str], order: Sequence[tuple[str, bool]]) -> list[Column]:
-    exprs = [F.col(g).asc_nulls_first() for g in group]
-    for name, ascending in order:
-        exprs.append(F.col(name).asc_nulls_first() if ascending else F.col(name).desc_nulls_last())
-    return exprs
-
-
-def _same(a: pd.Series, b: pd.Series) -> np.ndarray:
-    both_null = a.isna().to_numpy() & b.isna().to_numpy()
-    eq = (a.to_numpy() == b.to_numpy()) if len(a) else np.zeros(0, dtype=bool)
-    return np.asarray(eq, dtype=bool) | both_null
-
-
-def _runs(pdf: pd.DataFrame, cols: Sequence[str]) -> np.ndarray:
-    """Boolean array: row i starts a new run of equal ``cols`` values."""
-    n = len(pdf)
-    start = np.zeros(n, dtype=bool)
-    if n == 0:
-        return start
-    start[0] = True
-    for c in cols:
-        s = pdf[c]
-        start[1:] |= ~_same(s.iloc[1:].reset_index(drop=True), s.iloc[:-1].reset_index(drop=True))
-    return start
-
-
-def _local(pdf: pd.DataFrame, group: Sequence[str], rank_by: Sequence[str]):
-    """Local row number, rank, group size and run lengths of one partition."""
-    n = len(pdf)
-    gstart = _runs(pdf, group)
-    gid = np.cumsum(gstart) - 1
-    idx = np.arange(n)
-    gfirst = np.maximum.accumulate(np.where(gstart, idx, 0)) if n else idx
-    row = idx - gfirst + 1
-    rstart = gstart | _runs(pdf, list(rank_by)) if rank_by else np.ones(n, dtype=bool)
-    rfirst = np.maximum.accumulate(np.where(rstart, idx, 0)) if n else idx
-    rank = rfirst - gfirst + 1
-    sizes = np.bincount(gid, minlength=gid.max() + 1 if n else 0) if n else np.zeros(0, dtype=int)
-    size = sizes[gid] if n else np.zeros(0, dtype=int)
-    return row, rank, size, gid, rstart
-
-
-def _summary_fn(group, rank_by, lag, names):
-    def fn(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        frames = list(batches)
-        pdf = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame()
-        out = {"pid": [pid], "n": [len(pdf)]}
-        if len(pdf) == 0:
-            out.update({name: [None] for name in names[2:]})
-            yield pd.DataFrame(out)
-            return
-        row, rank, size, gid, rstart = _local(pdf, group, rank_by)
-        first_run_len = int(np.argmax(np.append(rstart[1:], True))) + 1
-        for i, g in enumerate(group):
-            out[f"gf_{i}"] = [pdf[g].iloc[0]]
-            out[f"gl_{i}"] = [pdf[g].iloc[-1]]
-        for j, r in enumerate(rank_by):
-            out[f"rf_{j}"] = [pdf[r].iloc[0]]
-            out[f"rl_{j}"] = [pdf[r].iloc[-1]]
-        for k, c in enumerate(lag):
-            out[f"ll_{k}"] = [pdf[c].iloc[-1]]
-        out["cnt_first"] = [int(size[0])]
-        out["cnt_last"] = [int(size[-1])]
-        out["groups"] = [int(gid[-1]) + 1]
-        out["first_run_len"] = [first_run_len]
-        out["rank_last"] = [int(rank[-1])]
-        yield pd.DataFrame(out)
-
-    return fn
-
-
-def _chain(summaries, n_group, n_rank, n_lag):
-    """Per-partition carries from the ordered partition summaries."""
-    parts = sorted((s for s in summaries if s["n"]), key=lambda s: s["pid"])
-    # flat list of group segments in global order: (partition index, which, key, count)
-    segs = []
-    for i, s in enumerate(parts):
-        gf = tuple(s[f"gf_{k}"] for k in range(n_group))
-        gl = tuple(s[f"gl_{k}"] for k in range(n_group))
-        if s["groups"] == 1:
-            segs.append([i, "both", gf, s["n"]])
-        else:
-            segs.append([i, "first", gf, s["cnt_first"]])
-            segs.append([i, "last", gl, s["cnt_last"]])
-    # merge adjacent equal keys into whole groups: before-count and total
-    before = [0] * len(segs)
-    total = [0] * len(segs)
-    j = 0
-    while j < len(segs):
-        k = j
-        acc = 0
-        while k < len(segs) and segs[k][2] == segs[j][2] and (k == j or segs[k - 1][0] != segs[k][0]):
-            before[k] = acc
-            acc += segs[k][3]
-            k += 1
-        for m in range(j, k):
-            total[m] = acc
-        j = k
-    carries = {}
-    seg_of = {}
-    for m, (i, which, _key, _cnt) in enumerate(segs):
-        seg_of[(i, which)] = m
-    prev_last_rank = None  # global rank of the previous partition's last row
-    for i, s in enumerate(parts):
-        mf = seg_of.get((i, "both"), seg_of.get((i, "first")))
-        ml = seg_of.get((i, "both"), seg_of.get((i, "last")))
-        offset = before[mf]
-        tied = False
-        tie_rank = None
-        prev_lag = None
-        if offset > 0:
-            p = parts[i - 1]
-            prev_lag = tuple(p[f"ll_{k}"] for k in range(n_lag))
-            tied = n_rank > 0 and all(s[f"rf_{k}"] == p[f"rl_{k}"] for k in range(n_rank))
-            if n_rank > 0 and tied:
-                tie_rank = prev_last_rank
-        single_run = s["first_run_len"] == s["n"]
-        if s["groups"] == 1 and tied and single_run:
-            last_rank = tie_rank
-        elif s["groups"] == 1:
-            last_rank = offset + s["rank_last"]
-        else:
-            last_rank = s["rank_last"]
-        prev_last_rank = last_rank
-        carries[s["pid"]] = {
-            "offset": offset,
-            "size_first": total[mf],
-            "size_last": total[ml],
-            "tied": tied,
-            "tie_rank": tie_rank,
-            "prev_lag": prev_lag,
-        }
-    return carries
-
-
-def _number_fn(group, rank_by, lag, carries_bc):
-    def fn(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        carries = carries_bc.value
-        frames = list(batches)
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        n = len(pdf)
-        if n == 0:
-            return
-        row, rank, size, gid, rstart = _local(pdf, group, rank_by)
-        row = row.astype("int64")
-        rank = rank.astype("int64")
-        size = size.astype("int64")
-        c = carries.get(pid)
-        prev_vals = {}
-        for k, col in enumerate(lag):
-            prev_vals[col] = pdf[col].shift(1)
-            prev_vals[col] = prev_vals[col].where(~_group_starts(gid), None)
-        if c is not None:
-            first = gid == 0
-            last = gid == gid[-1]
-            row[first] += c["offset"]
-            rank[first] += c["offset"]
-            if c["tied"]:
-                first_run = np.zeros(n, dtype=bool)
-                first_run[: int(np.argmax(np.append(rstart[1:], True))) + 1] = True
-                rank[first_run] = c["tie_rank"]
-            size[first] = c["size_first"]
-            size[last & ~first] = c["size_last"]
-            if c["prev_lag"] is not None:
-                for k, col in enumerate(lag):
-                    s = prev_vals[col].astype(object)
-                    s.iloc[0] = c["prev_lag"][k]
-                    prev_vals[col] = s
-        out = pdf.copy()
-        out[ROW] = row
-        out[RANK] = rank
-        out[SIZE] = size
-        for col in lag:
-            out[_prev(col)] = prev_vals[col]
-        step = 65536
-        for start in range(0, n, step):
-            yield out.iloc[start : start + step]
+def _sort_exprs(order: Sequence[tuple[str, bool]]) -> list[Column]:
+    return [F.col(n).asc_nulls_first() if up else F.col(n).desc_nulls_last() for n, up in order]
 
-    return fn
 
-
-def _group_starts(gid: np.ndarray) -> np.ndarray:
-    starts = np.ones(len(gid), dtype=bool)
-    starts[1:] = gid[1:] != gid[:-1]
-    return starts
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back:
+    lineage is cut, column pruning and lost executors are provided for."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kassa-tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def number_rows(
@@ -253,119 +59,81 @@ def number_rows(
     rank_by: Sequence[str] = (),
     lag: Sequence[str] = (),
     partitions: int | None = None,
-    window_max_rows: int | None = None,
-    materialized: bool = False,
 ) -> DataFrame:
     """Add ``_row``, ``_rank``, ``_size`` and ``_prev_<c>`` for ``c`` in ``lag``.
 
     ``order`` is a list of (column, ascending); ascending sorts NULLs first,
-    descending NULLs last (Spark's and PostgreSQL's defaults).
-
-    Inputs of at most ``window_max_rows`` rows (session setting
-    ``kassa.sequence.windowMaxRows``, default one million; 0 = always
-    distribute) fit one task, so they take Spark's window functions instead.
-    The check is free when the optimizer's estimate is at most
-    ``kassa.sequence.windowMaxBytes`` (32 MB); otherwise the checkpointed
-    input is counted.  Pass
-    ``materialized=True`` when ``df`` is already the result of
-    :func:`materialize` (so a caller can read other aggregates from the same
-    files without a second pass through Python).
+    descending NULLs last (Spark's and PostgreSQL's defaults).  Without
+    ``rank_by`` the rank is the row number.  ``partitions`` is the number of
+    ranges; by default the session's shuffle partitions, which adaptive
+    execution joins where they are small.  One job (the range sort) runs here.
     """
     group, rank_by, lag = list(group), list(rank_by), list(lag)
-    exprs = _sort_exprs(group, order)
-    if window_max_rows is None:
-        window_max_rows = int(df.sparkSession.conf.get(WINDOW_MAX_ROWS_CONF, str(WINDOW_MAX_ROWS)))
-    # The input (often a join and an aggregate) is computed once and written
-    # to the shared checkpoint folder; the size check, the range sampling,
-    # the sort and every later use by the caller read those files.
-    if window_max_rows > 0 and estimated_bytes(df) <= _max_bytes(df):
-        # The optimizer's size estimate (an upper bound for these plans:
-        # aggregates keep the input row count, joins multiply) already shows
-        # one task is enough; no job is spent on checking.
-        return _with_windows(df, group, order, rank_by, lag)
-    src = df if materialized else materialize(df, unless_small=False)
-    n = src.count()
-    if window_max_rows > 0 and n <= window_max_rows:
-        # Small enough for one task: no group can be skewed across tasks, so
-        # Spark's own window functions are the cheaper plan.
-        return _with_windows(src, group, order, rank_by, lag)
-    if not partitions:
-        # each pandas pass holds one range partition: size them by rows
-        per = int(df.sparkSession.conf.get(ROWS_PER_PARTITION_CONF, str(ROWS_PER_PARTITION)))
-        partitions = max(1, -(-n // per))
-    ranged = src.repartitionByRange(partitions, *exprs)
-    ranged = ranged.sortWithinPartitions(*exprs).checkpoint(eager=True)
-    fields = {f.name: f for f in ranged.schema.fields}
-
-    sum_fields = [StructField("pid", LongType()), StructField("n", LongType())]
-    for i, g in enumerate(group):
-        sum_fields.append(StructField(f"gf_{i}", fields[g].dataType))
-        sum_fields.append(StructField(f"gl_{i}", fields[g].dataType))
-    for j, r in enumerate(rank_by):
-        sum_fields.append(StructField(f"rf_{j}", fields[r].dataType))
-        sum_fields.append(StructField(f"rl_{j}", fields[r].dataType))
-    for k, c in enumerate(lag):
-        sum_fields.append(StructField(f"ll_{k}", fields[c].dataType))
-    for name in ("cnt_first", "cnt_last", "groups", "first_run_len", "rank_last"):
-        sum_fields.append(StructField(name, LongType()))
-    summary_schema = StructType(sum_fields)
-    summaries = [
-        r.asDict()
-        for r in ranged.mapInPandas(_summary_fn(group, rank_by, lag, summary_schema.names), summary_schema).collect()
-    ]
-    carries = _chain(summaries, len(group), len(rank_by), len(lag))
-
-    out_schema = StructType(
-        list(ranged.schema.fields)
-        + [StructField(ROW, LongType()), StructField(RANK, LongType()), StructField(SIZE, LongType())]
-        + [StructField(_prev(c), fields[c].dataType, True) for c in lag]
+    exprs = _sort_exprs([(g, True) for g in group] + list(order))
+    ranged = df.repartitionByRange(partitions, *exprs) if partitions else df.repartitionByRange(*exprs)
+    rows = materialize(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+
+    by_order = _sort_exprs(order)
+    by_rank = _sort_exprs([(c, up) for c, up in order if c in rank_by]) if rank_by else by_order
+    inside = Window.partitionBy("_range", *group)
+    local = rows.select(
+        "*",
+        F.row_number().over(inside.orderBy(*by_order)).cast("long").alias("_lrow"),
+        F.rank().over(inside.orderBy(*by_rank)).cast("long").alias("_lrank"),
+        F.count("*").over(inside).alias("_lsize"),
+        *[F.lag(c).over(inside.orderBy(*by_order)).alias(_prev(c)) for c in lag],
     )
-    # one entry per partition: broadcast once per executor, not per task
-    carries_bc = df.sparkSession.sparkContext.broadcast(carries)
-    return ranged.mapInPandas(_number_fn(group, rank_by, lag, carries_bc), out_schema)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df`` (huge when unknown)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # no JVM plan access (e.g. a remote session)
-        return 1 << 62
-
-
-def _max_bytes(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(WINDOW_MAX_BYTES_CONF, str(WINDOW_MAX_BYTES)))
-
 
-def materialize(df: DataFrame, *, unless_small: bool = True) -> DataFrame:
-    """Compute ``df`` once and write it to the shared checkpoint folder; the
-    result reads those files (lineage cut, survives executor loss).  With
-    ``unless_small`` an input whose size estimate is under the window
-    threshold is returned as is: recomputing it is cheaper than writing it."""
-    if unless_small and estimated_bytes(df) <= _max_bytes(df):
-        return df
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def _with_windows(df, group, order, rank_by, lag) -> DataFrame:
-    from pyspark.sql import Window
-
-    def spec(cols):
-        w = Window.partitionBy(*group) if group else Window.partitionBy()
-        return w.orderBy(*cols)
-
-    order_exprs = _sort_exprs([], order)
-    direction = dict(order)
-    rank_exprs = _sort_exprs([], [(c, direction[c]) for c in rank_by]) if rank_by else order_exprs
-    w = spec(order_exprs)
-    whole = Window.partitionBy(*group) if group else Window.partitionBy()
-    cols = [
-        F.row_number().over(w).cast(LongType()).alias(ROW),
-        F.rank().over(spec(rank_exprs)).cast(LongType()).alias(RANK),
-        F.count(F.lit(1)).over(whole).cast(LongType()).alias(SIZE),
-    ] + [F.lag(c).over(w).alias(_prev(c)) for c in lag]
-    return df.select("*", *cols)
+    # one row per (group, range), kept where an edge cuts the group
+    rank_key = F.struct(*[F.col(c) for c, _ in order if c in rank_by] or [F.lit(0)])
+    ends = local.groupBy("_range", *group).agg(
+        F.count("*").alias("_n"),
+        F.min_by(rank_key, "_lrow").alias("_first_key"),
+        F.max_by(rank_key, "_lrow").alias("_last_key"),
+        F.max("_lrank").alias("_last_rank"),
+        F.max_by(F.struct(*[F.col(c) for c in lag] or [F.lit(0)]), "_lrow").alias("_last_values"),
+    )
+    whole = Window.partitionBy(*group)
+    along = whole.orderBy("_range")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    cut = (
+        ends.withColumn("_total", F.sum("_n").over(whole))
+        .where(F.col("_total") > F.col("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .withColumn("_values", F.lag("_last_values").over(along))
+        .withColumn("_tied", F.coalesce(F.lag("_last_key").over(along).eqNullSafe(F.col("_first_key")), F.lit(False)))
+        .withColumn("_tied", F.col("_tied") & (F.col("_before") > 0))
+        # a range of one tie that began before passes the earlier rank on
+        .withColumn(
+            "_own_rank",
+            F.when(~(F.col("_tied") & (F.col("_last_rank") == 1)), F.col("_before") + F.col("_last_rank")),
+        )
+        .withColumn("_tie_rank", F.last("_own_rank", ignorenulls=True).over(earlier))
+    )
+    cut = cut.select(
+        F.col("_range").alias("_cut_range"),
+        *[F.col(g).alias(f"_cut_{g}") for g in group],
+        "_total",
+        "_before",
+        "_values",
+        "_tied",
+        "_tie_rank",
+    )
+    same = F.col("_range") == F.col("_cut_range")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_cut_{g}"))
+    joined = local.join(cut, same, "left")
+    row = F.col("_lrow") + F.coalesce("_before", F.lit(0))
+    rank = F.col("_lrank") + F.coalesce("_before", F.lit(0))
+    if rank_by:
+        rank = F.when(F.coalesce("_tied", F.lit(False)) & (F.col("_lrank") == 1), F.col("_tie_rank")).otherwise(rank)
+    return joined.select(
+        *df.columns,
+        row.alias(ROW),
+        rank.alias(RANK),
+        F.coalesce("_total", "_lsize").alias(SIZE),
+        *[F.when(F.col("_lrow") > 1, F.col(_prev(c))).otherwise(F.col(f"_values.{c}")).alias(_prev(c)) for c in lag],
+    )
 
 
 def ntile(k: int, row: Column | str = ROW, size: Column | str = SIZE) -> Column:

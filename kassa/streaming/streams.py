@@ -143,7 +143,7 @@ def upsert_touched(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in keep.schema.fields if f.name != "bucket"], "bucket"
     )
     new_rows = materialize(
-        keep.unionByName(fresh.select(keep.columns)).unionByName(markers.select(keep.columns)), unless_small=False
+        keep.unionByName(fresh.select(keep.columns)).unionByName(markers.select(keep.columns)), "summary"
     )
     (
         new_rows.write.mode("overwrite")

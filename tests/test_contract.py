@@ -9,6 +9,9 @@ import __spark_entry__ as E
 from conftest import SF001
 from oracle_harness import compare, duck
 
+from kassa import session
+from kassa.plans import catalog
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -23,10 +26,11 @@ def test_entry_runs(spark):
 
 def test_every_query_has_an_oracle_or_is_known_rows_only():
     rows_only = {"daily_sales_payload", "gen_orders", "gen_order_items", "gen_stock"}
-    assert set(E.queries()) - set(E.oracle_sql()) == rows_only
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == rows_only
+    assert set(catalog.queries()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, name, SF001, con)
     assert r["cols_match"], r
@@ -34,13 +38,13 @@ def test_query_matches_oracle(spark, con, name):
 
 
 @pytest.mark.parametrize("name", ["product_performance", "rfm_segmentation", "purchase_patterns", "order_sequence"])
-def test_distributed_numbering_matches_oracle(spark, con, name):
-    """The same reports with the range-partitioned numbering forced on."""
-    spark.conf.set("kassa.sequence.windowMaxRows", "0")
-    spark.conf.set("kassa.sequence.rowsPerPartition", "97")  # many partition edges
+def test_numbering_with_many_range_edges(spark, con, name, monkeypatch):
+    """The same reports with many, small ranges: results do not depend on where edges fall."""
+    monkeypatch.setitem(session.RUNTIME_CONF, "spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "29")
     try:
         r = compare(spark, name, SF001, con)
     finally:
-        spark.conf.unset("kassa.sequence.windowMaxRows")
-        spark.conf.unset("kassa.sequence.rowsPerPartition")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert r["match"], r

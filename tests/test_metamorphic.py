@@ -28,13 +28,6 @@ def test_quintile_sizes_differ_by_at_most_one(spark):
     s = shop(spark, SF01)
     sizes = _quintile_sizes(rfm.rfm_segmentation(s, as_of=AS_OF))
     assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1 and sizes == sorted(sizes, reverse=True)
-    spark.conf.set("kassa.sequence.windowMaxRows", "0")
-    spark.conf.set("kassa.sequence.rowsPerPartition", "101")
-    try:
-        assert _quintile_sizes(rfm.rfm_segmentation(s, as_of=AS_OF)) == sizes
-    finally:
-        spark.conf.unset("kassa.sequence.windowMaxRows")
-        spark.conf.unset("kassa.sequence.rowsPerPartition")
 
 
 def test_refresh_equals_full_summary(spark):

@@ -28,8 +28,7 @@ def test_number_rows_matches_windows(spark, parts):
         g = 0 if i < 1200 else rnd.choice([1, 2, 3, None])  # group 0 holds 40%
         rows.append((i, g, rnd.randint(0, 40), rnd.randint(0, 10**6)))
     df = spark.createDataFrame(rows, "id long, g int, v int, t long")
-    got = number_rows(df, ["g"], [("v", False), ("id", True)], rank_by=["v"], lag=["t"], partitions=parts,
-                       window_max_rows=0)
+    got = number_rows(df, ["g"], [("v", False), ("id", True)], rank_by=["v"], lag=["t"], partitions=parts)
     exp = _expected(df, ["g"], [F.col("v").desc(), "id"], F.col("v").desc())
     j = got.join(exp, "id")
     bad = j.filter(
@@ -45,7 +44,7 @@ def test_number_rows_matches_windows(spark, parts):
 def test_global_ntile_matches_builtin(spark):
     for n in (0, 1, 3, 5, 7, 12, 1003):
         df = spark.range(n).select(F.col("id"), ((F.col("id") * 7919) % 101).alias("m"))
-        got = number_rows(df, [], [("m", True), ("id", True)], partitions=4, window_max_rows=0).select(
+        got = number_rows(df, [], [("m", True), ("id", True)], partitions=4).select(
             "id", ntile(5).alias("b")
         )
         exp = df.select("id", F.ntile(5).over(Window.orderBy("m", "id")).alias("e"))
@@ -54,13 +53,16 @@ def test_global_ntile_matches_builtin(spark):
         assert j.filter(F.col("b") != F.col("e")).count() == 0
 
 
-def test_small_input_window_path_matches(spark):
-    rows = [(i, i % 3, i % 7, i * 13 % 17) for i in range(200)]
-    df = spark.createDataFrame(rows, "id long, g int, v int, t long")
-    a = number_rows(df, ["g"], [("v", False), ("id", True)], rank_by=["v"], lag=["t"], window_max_rows=0)
-    b = number_rows(df, ["g"], [("v", False), ("id", True)], rank_by=["v"], lag=["t"])
-    cols = ["id", "_row", "_rank", "_size", "_prev_t"]
-    assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
+def test_values_keep_their_precision(spark):
+    """Nullable bigints above 2^53, a hot group and a NULL group; one plan at every size."""
+    rows = [(i, None if i % 7 == 0 else 0 if i % 5 < 2 else i % 4, i % 9, None if i % 3 == 0 else 2**53 + i) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, g long, v int, t long")
+    got = number_rows(df, ["g"], [("v", False), ("id", True)], rank_by=["v"], lag=["t"], partitions=5)
+    exp = _expected(df, ["g"], [F.col("v").desc(), "id"], F.col("v").desc())
+    same = got.select("id", "g", "v", "t", "_row", "_rank", "_size", "_prev_t")
+    assert sorted(map(repr, same.collect())) == sorted(
+        map(repr, exp.toDF("id", "g", "v", "t", "_row", "_rank", "_size", "_prev_t").collect())
+    )
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402
@@ -82,8 +84,7 @@ def test_number_rows_property(spark, n, groups, values, parts, seed):
         for i in range(n)
     ]
     df = spark.createDataFrame(rows, "id long, g int, v int, t long")
-    got = number_rows(df, ["g"], [("v", True), ("id", False)], rank_by=["v"], lag=["t"],
-                      partitions=parts, window_max_rows=0)
+    got = number_rows(df, ["g"], [("v", True), ("id", False)], rank_by=["v"], lag=["t"], partitions=parts)
     exp = _expected(df, ["g"], [F.col("v").asc(), F.col("id").desc()], F.col("v").asc())
     j = got.join(exp, "id")
     bad = j.filter(
