@@ -52,7 +52,7 @@ def normalise_legacy_products(legacy: DataFrame, categories: DataFrame) -> DataF
     return j.select(
         F.col("id").cast(LongType()).alias("id"),
         "name",
-        F.col("category_id").cast(IntegerType()).alias("category_id"),
+        F.col("category_id").cast(LongType()).alias("category_id"),
         F.col("price").cast(DecimalType(10, 2)).alias("price"),
         F.coalesce(F.col("stock_quantity"), F.lit(0)).cast(IntegerType()).alias("stock_quantity"),
         reason.alias("reject_reason"),

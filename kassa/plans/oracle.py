@@ -19,8 +19,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from kassa.functions import timeutil as tu
-
 JAKARTA = "INTERVAL 7 HOUR"
 
 MODEL_CTES = """
@@ -40,9 +38,9 @@ shop_category_rows AS (
   SELECT 1 AS kind, p_type || ' ' || p_brand AS name, p_type FROM (SELECT DISTINCT p_type, p_brand FROM part)
 ),
 shop_categories AS (
-  SELECT CAST(row_number() OVER (ORDER BY kind, name) AS INTEGER) AS id,
+  SELECT CAST('0x' || substr(md5(CASE kind WHEN 0 THEN 'p:' ELSE 'c:' END || name), 1, 15) AS BIGINT) AS id,
          name,
-         CASE WHEN kind = 1 THEN CAST(dense_rank() OVER (ORDER BY p_type) AS INTEGER) END AS parent_id
+         CASE WHEN kind = 1 THEN CAST('0x' || substr(md5('p:' || p_type), 1, 15) AS BIGINT) END AS parent_id
   FROM shop_category_rows
 ),
 shop_products AS (
@@ -128,7 +126,8 @@ def day(value: dt.date) -> str:
 
 
 def local_midnight(value: dt.date) -> str:
-    return ts(tu.utc_instant(value))
+    """The instant at which a Jakarta day begins, in UTC."""
+    return ts(dt.datetime(value.year, value.month, value.day) - dt.timedelta(hours=7))
 
 
 def local_date(col: str) -> str:

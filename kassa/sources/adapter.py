@@ -12,7 +12,8 @@ Mapping (fixed values of the adapter):
                         NULL for nation key 0,
               created_at = 1994-01-01 + (c_custkey * 7919 mod 730) days
   categories  parents = distinct p_type, children = distinct p_type || ' ' || p_brand;
-              ids numbered by (parents first, then name); child parent_id -> its p_type
+              id = the first 15 hex digits of the MD5 of 'p:' or 'c:' and the name, as a
+              number; child parent_id -> its p_type
   products    id = p_partkey, name = p_name, price = p_retailprice as decimal(10,2),
               category_id = child category, NULL when p_partkey mod 50 = 0,
               stock_quantity = (p_partkey * 37) mod 31, is_active = p_partkey mod 20 <> 0,
@@ -64,38 +65,32 @@ def customers(t: DriverTables) -> DataFrame:
     )
 
 
+def category_id(kind: str, name: F.Column) -> F.Column:
+    """Stable id of a category name: 60 bits of its MD5 hash ("p" parent, "c" child)."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{kind}:"), name)), 1, 15), 16, 10).cast("long")
+
+
 def categories(t: DriverTables) -> DataFrame:
-    # The distinct (type, brand) set is bounded by the part domain, not by the
-    # number of parts: one global aggregate gathers the sorted names (a few
-    # thousand at most) and the ids are their positions.
-    pairs = t.part.select("p_type", "p_brand").distinct()
-    child = F.struct(F.concat_ws(" ", "p_type", "p_brand").alias("name"), F.col("p_type").alias("p_type"))
-    names = pairs.agg(
-        F.array_sort(F.collect_set("p_type")).alias("types"),
-        F.array_sort(F.collect_set(child)).alias("children"),
+    # ids are hashes of the names: no numbering, so nothing is gathered in one task
+    child = F.concat_ws(" ", "p_type", "p_brand")
+    parents = t.part.select("p_type").distinct().select(
+        category_id("p", F.col("p_type")).alias("id"),
+        F.col("p_type").alias("name"),
+        F.lit(None).cast("long").alias("parent_id"),
     )
-    parents = names.select(F.posexplode("types").alias("pos", "name")).select(
-        (F.col("pos") + 1).cast("int").alias("id"), "name", F.lit(None).cast("int").alias("parent_id")
-    )
-    children = names.select("types", F.posexplode("children").alias("pos", "c")).select(
-        (F.size("types") + F.col("pos") + 1).cast("int").alias("id"),
-        F.col("c.name").alias("name"),
-        F.array_position("types", F.col("c.p_type")).cast("int").alias("parent_id"),
+    children = t.part.select("p_type", "p_brand").distinct().select(
+        category_id("c", child).alias("id"), child.alias("name"), category_id("p", F.col("p_type")).alias("parent_id")
     )
     return parents.unionByName(children)
 
 
-def products(t: DriverTables, cats: DataFrame) -> DataFrame:
-    p = t.part
-    children = cats.filter(F.col("parent_id").isNotNull()).select(
-        F.col("name").alias("_cat_name"), F.col("id").alias("_cat_id")
-    )
-    joined = p.join(children, F.concat_ws(" ", "p_type", "p_brand") == F.col("_cat_name"), "left")
+def products(t: DriverTables) -> DataFrame:
     key = F.col("p_partkey")
-    return joined.select(
+    own = category_id("c", F.concat_ws(" ", "p_type", "p_brand"))
+    return t.part.select(
         key.alias("id"),
         F.col("p_name").alias("name"),
-        F.when(key % 50 == 0, F.lit(None)).otherwise(F.col("_cat_id")).cast("int").alias("category_id"),
+        F.when(key % 50 == 0, F.lit(None)).otherwise(own).cast("long").alias("category_id"),
         F.col("p_retailprice").cast(DecimalType(10, 2)).alias("price"),
         ((key * 37) % 31).cast("int").alias("stock_quantity"),
         (key % 20 != 0).alias("is_active"),
@@ -141,49 +136,18 @@ def order_items(t: DriverTables) -> DataFrame:
     )
 
 
-# A category table larger than this is not broadcast (checked at run time).
-MAX_BROADCAST_CATEGORIES = 100_000
-
-
-def bounded_dimension(df: DataFrame, max_rows: int) -> DataFrame:
-    """Materialize a small derived dimension once (checkpoint to the shared
-    folder) and mark it for broadcast only if its row count is within
-    ``max_rows``; above the bound Spark plans the joins by size as usual."""
-    from kassa.operators.sequence import materialize
-
-    ck = materialize(df, unless_small=False)
-    return F.broadcast(ck) if ck.count() <= max_rows else ck
-
-
 class DriverShop(model.Shop):
     """Shop over the driver tables; status filters go to the raw status code
     so they reach the parquet scan as pushed filters.
-
-    Categories are derived from the part table (a distinct over two columns
-    and a numbering); they are built on first use, checkpointed and counted,
-    so the product -> category joins broadcast a table of checked size
-    instead of shuffling the part table, and later uses read the checkpoint.
     """
 
     def __init__(self, t: DriverTables):
         self.tables = t
         self.customers = customers(t)
+        self.categories = categories(t)
+        self.products = products(t)
         self.orders = orders(t)
         self.order_items = order_items(t)
-        self._categories = None
-        self._products = None
-
-    @property
-    def categories(self) -> DataFrame:
-        if self._categories is None:
-            self._categories = bounded_dimension(categories(self.tables), MAX_BROADCAST_CATEGORIES)
-        return self._categories
-
-    @property
-    def products(self) -> DataFrame:
-        if self._products is None:
-            self._products = products(self.tables, self.categories)
-        return self._products
 
     def orders_in_status(self, *statuses: str) -> DataFrame:
         codes = [code for code, status in STATUS_CODES.items() if status in statuses]
@@ -210,17 +174,11 @@ class EventShop(model.Shop):
         self.tables = t
         self._base = DriverShop(t)
         self.customers = self._base.customers
+        self.categories = self._base.categories
+        self.products = self._base.products
         self.orders = event_orders(t)
         self.order_items = self._base.order_items.filter(F.lit(False))
 
-    @property
-    def categories(self) -> DataFrame:
-        return self._base.categories
-
-    @property
-    def products(self) -> DataFrame:
-        return self._base.products
-
     def orders_in_status(self, *statuses: str) -> DataFrame:
         if model.STATUS_COMPLETED in statuses:
             return self.orders

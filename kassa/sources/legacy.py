@@ -33,8 +33,8 @@ def legacy_orders(t: DriverTables) -> DataFrame:
         status = (F.when if status is None else status.when)(F.col("o_orderstatus") == code, pick)
     status = F.when(k % MISSING_STATUS_EVERY == 0, F.lit(None).cast("string")).otherwise(status)
     return o.select(
-        k.cast("int").alias("id"),
-        F.col("o_custkey").cast("int").alias("customer_id"),
+        k.cast("long").alias("id"),
+        F.col("o_custkey").cast("long").alias("customer_id"),
         tu.local_time("o_orderdate").alias("order_date"),
         status.alias("status"),
         F.col("o_totalprice").cast("decimal(10,2)").alias("total_amount"),
@@ -52,7 +52,7 @@ def legacy_products(t: DriverTables) -> DataFrame:
         .otherwise(name)
     )
     return p.select(
-        k.cast("int").alias("id"),
+        k.cast("long").alias("id"),
         F.col("p_name").alias("name"),
         text.alias("category"),
         F.col("p_retailprice").cast("decimal(10,2)").alias("price"),

@@ -40,13 +40,13 @@ CUSTOMERS = StructType(
     ]
 )
 CATEGORIES = StructType(
-    [_f("id", IntegerType()), _f("name", StringType()), _f("parent_id", IntegerType(), True)]
+    [_f("id", LongType()), _f("name", StringType()), _f("parent_id", LongType(), True)]
 )
 PRODUCTS = StructType(
     [
         _f("id", LongType()),
         _f("name", StringType()),
-        _f("category_id", IntegerType(), True),
+        _f("category_id", LongType(), True),
         _f("price", DecimalType(10, 2)),
         _f("stock_quantity", IntegerType()),
         _f("is_active", BooleanType()),
