@@ -126,10 +126,17 @@ def calendar(spark, first_day: dt.date, last_day: dt.date) -> DataFrame:
 
 
 def refresh_customer_monthly_summary(
-    shop: Shop, existing: DataFrame, since: dt.datetime, tz: str = tu.REPORT_TZ
+    shop: Shop,
+    existing: DataFrame,
+    since: dt.datetime,
+    tz: str = tu.REPORT_TZ,
+    moved_from: DataFrame | None = None,
 ) -> DataFrame:
     """Incremental refresh of ``customer_monthly_summary``.
 
+    The orders table no longer knows a moved order's former customer, so the
+    change records name them: ``moved_from(customer_id)``.
+
     Orders changed since ``since`` (``updated_at``, UTC) name the touched
     customers.  A changed order may have left its old month (or its old
     status), so every month of a touched customer is recomputed from the
@@ -139,6 +146,8 @@ def refresh_customer_monthly_summary(
     touched = (
         shop.orders.filter(F.col("updated_at") >= tu.ts_literal(since)).select("customer_id").distinct()
     )
+    if moved_from is not None:
+        touched = touched.union(moved_from.select("customer_id")).distinct()
     keep = existing.join(touched, "customer_id", "left_anti")
     o = shop.completed_orders().join(touched, "customer_id", "left_semi")
     fresh = o.groupBy("customer_id", tu.local_month("order_date", tz).alias("order_month")).agg(

@@ -34,7 +34,6 @@ EVENTS_AS_OF = dt.date(2024, 2, 1)
 YEAR = 1996
 DAYS = 90
 SUMMARY_DAY = dt.date(2001, 7, 20)
-EVENTS_SUMMARY_DAY = dt.date(2024, 1, 15)
 SINCE = dt.date(1999, 1, 1)
 REFRESH_SINCE = dt.datetime(2000, 6, 1)
 LOOKUP_ID = 7

@@ -330,6 +330,45 @@ ORACLES["customer_by_email"] = _report("", f"{_CUSTOMER_ROW} WHERE lower(email)
 
 # ---- D: data quality ---------------------------------------------------------
 
+# The shop with faults: which rows of the model are wrong, and how.
+_FAULTS = """
+bad_customers AS (
+  SELECT id,
+         CASE WHEN id % 97 = 3 THEN 'unknown'
+              WHEN id % 101 = 5 THEN 'pair' || (id // 101) || '@example.com'
+              WHEN id % 101 = 6 THEN 'Pair' || (id // 101) || '@Example.com' ELSE email END AS email,
+         CASE WHEN id % 211 <> 0 THEN name END AS name,
+         CASE WHEN id % 83 = 2 THEN lower(coalesce(country, 'xx')) || '1' ELSE country END AS country, created_at
+  FROM shop_customers
+),
+bad_parents AS (
+  SELECT id, name, CASE WHEN id % 7 = 0 AND parent_id IS NOT NULL THEN -1 ELSE parent_id END AS parent_id FROM shop_categories
+),
+bad_categories AS (SELECT * FROM bad_parents UNION ALL SELECT -id, name, parent_id FROM bad_parents WHERE id % 10 = 0),
+bad_products AS (
+  SELECT * REPLACE (
+    CASE WHEN id % 61 = 0 THEN -price ELSE price END AS price,
+    CASE WHEN id % 67 = 0 THEN -1 ELSE stock_quantity END AS stock_quantity,
+    CASE WHEN id % 71 = 0 THEN -5 ELSE category_id END AS category_id,
+    CASE WHEN id % 73 = 0 THEN NULL ELSE name END AS name)
+  FROM shop_products
+),
+bad_orders AS (
+  SELECT * REPLACE (
+    CASE WHEN id % 53 = 0 THEN NULL WHEN id % 59 = 0 THEN 'Completed' ELSE status END AS status,
+    CASE WHEN id % 103 = 0 THEN -total_amount ELSE total_amount END AS total_amount,
+    CASE WHEN id % 107 = 0 THEN -customer_id ELSE customer_id END AS customer_id)
+  FROM shop_orders
+),
+bad_items AS (
+  SELECT * REPLACE (
+    CASE WHEN id % 109 = 0 THEN 0 ELSE quantity END AS quantity,
+    CASE WHEN id % 113 = 0 THEN -unit_price ELSE unit_price END AS unit_price,
+    CASE WHEN id % 127 = 0 THEN -order_id ELSE order_id END AS order_id,
+    CASE WHEN id % 131 = 0 THEN -product_id ELSE product_id END AS product_id)
+  FROM shop_items
+)"""
+
 # Columns that must not be null.
 _REQUIRED = {
     "customers": ("id", "email", "name", "created_at"),
@@ -346,55 +385,55 @@ _MODEL_VIEW = {
     "order_items": "shop_items",
 }
 ORACLES["dq_nulls"] = _report(
-    "",
+    _FAULTS,
     "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count "
-        f"FROM {_MODEL_VIEW[t]}"
+        f"FROM bad_{t.removeprefix('order_') if t == 'order_items' else t}"
         for t, cols in _REQUIRED.items()
         for c in cols
     ),
 )
-ORACLES["dq_email_format"] = _report("", "SELECT id, email FROM shop_customers WHERE NOT (email LIKE '%_@_%')")
+ORACLES["dq_email_format"] = _report(_FAULTS, "SELECT id, email FROM bad_customers WHERE NOT (email LIKE '%_@_%')")
 ORACLES["dq_country_format"] = _report(
-    "", "SELECT id, country FROM shop_customers WHERE country IS NOT NULL AND NOT regexp_matches(country, '^[A-Z]{2}$')"
+    _FAULTS, "SELECT id, country FROM bad_customers WHERE country IS NOT NULL AND NOT regexp_matches(country, '^[A-Z]{2}$')"
 )
 ORACLES["dq_email_duplicates"] = _report(
-    "",
-    "SELECT lower(email) AS email_key, COUNT(*) AS row_count FROM shop_customers GROUP BY 1 HAVING COUNT(*) > 1",
+    _FAULTS,
+    "SELECT lower(email) AS email_key, COUNT(*) AS row_count FROM bad_customers GROUP BY 1 HAVING COUNT(*) > 1",
 )
 ORACLES["dq_category_name_duplicates"] = _report(
-    "", "SELECT name, COUNT(*) AS row_count FROM shop_categories GROUP BY 1 HAVING COUNT(*) > 1"
+    _FAULTS, "SELECT name, COUNT(*) AS row_count FROM bad_categories GROUP BY 1 HAVING COUNT(*) > 1"
 )
 ORACLES["dq_order_status"] = _report(
-    "",
-    "SELECT id, status FROM shop_orders WHERE status IS NULL OR status NOT IN ('pending', 'completed', 'cancelled')",
+    _FAULTS,
+    "SELECT id, status FROM bad_orders WHERE status IS NULL OR status NOT IN ('pending', 'completed', 'cancelled')",
 )
 ORACLES["dq_ranges"] = _report(
-    "",
+    _FAULTS,
     """
-SELECT 'products.price >= 0' AS rule, COUNT(*) FILTER (WHERE price < 0) AS violations FROM shop_products
-UNION ALL SELECT 'products.stock_quantity >= 0', COUNT(*) FILTER (WHERE stock_quantity < 0) FROM shop_products
-UNION ALL SELECT 'orders.total_amount >= 0', COUNT(*) FILTER (WHERE total_amount < 0) FROM shop_orders
-UNION ALL SELECT 'order_items.quantity > 0', COUNT(*) FILTER (WHERE quantity <= 0) FROM shop_items
-UNION ALL SELECT 'order_items.unit_price >= 0', COUNT(*) FILTER (WHERE unit_price < 0) FROM shop_items""",
+SELECT 'products.price >= 0' AS rule, COUNT(*) FILTER (WHERE price < 0) AS violations FROM bad_products
+UNION ALL SELECT 'products.stock_quantity >= 0', COUNT(*) FILTER (WHERE stock_quantity < 0) FROM bad_products
+UNION ALL SELECT 'orders.total_amount >= 0', COUNT(*) FILTER (WHERE total_amount < 0) FROM bad_orders
+UNION ALL SELECT 'order_items.quantity > 0', COUNT(*) FILTER (WHERE quantity <= 0) FROM bad_items
+UNION ALL SELECT 'order_items.unit_price >= 0', COUNT(*) FILTER (WHERE unit_price < 0) FROM bad_items""",
 )
 ORACLES["dq_orphans"] = _report(
-    "",
+    _FAULTS,
     """
-SELECT 'categories.parent_id' AS rule, CAST(parent_id AS BIGINT) AS key FROM shop_categories x
-WHERE parent_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM shop_categories p WHERE p.id = x.parent_id)
+SELECT 'categories.parent_id' AS rule, CAST(parent_id AS BIGINT) AS key FROM bad_categories x
+WHERE parent_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM bad_categories p WHERE p.id = x.parent_id)
 UNION ALL
-SELECT 'products.category_id', CAST(category_id AS BIGINT) FROM shop_products x
-WHERE category_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM shop_categories p WHERE p.id = x.category_id)
+SELECT 'products.category_id', CAST(category_id AS BIGINT) FROM bad_products x
+WHERE category_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM bad_categories p WHERE p.id = x.category_id)
 UNION ALL
-SELECT 'orders.customer_id', customer_id FROM shop_orders x
-WHERE NOT EXISTS (SELECT 1 FROM shop_customers p WHERE p.id = x.customer_id)
+SELECT 'orders.customer_id', customer_id FROM bad_orders x
+WHERE NOT EXISTS (SELECT 1 FROM bad_customers p WHERE p.id = x.customer_id)
 UNION ALL
-SELECT 'order_items.order_id', order_id FROM shop_items x
-WHERE NOT EXISTS (SELECT 1 FROM shop_orders p WHERE p.id = x.order_id)
+SELECT 'order_items.order_id', order_id FROM bad_items x
+WHERE NOT EXISTS (SELECT 1 FROM bad_orders p WHERE p.id = x.order_id)
 UNION ALL
-SELECT 'order_items.product_id', product_id FROM shop_items x
-WHERE NOT EXISTS (SELECT 1 FROM shop_products p WHERE p.id = x.product_id)""",
+SELECT 'order_items.product_id', product_id FROM bad_items x
+WHERE NOT EXISTS (SELECT 1 FROM bad_products p WHERE p.id = x.product_id)""",
 )
 ORACLES["dq_item_duplicates"] = _report(
     "",
@@ -467,16 +506,10 @@ ORACLES["report_snapshot"] = _TREND_BODY
 
 # ---- streams -------------------------------------------------------------------
 ORACLES["stream_daily_sales"] = _report(
+    "",
     f"""
-d AS (
-  SELECT {local_date('order_date')} AS day, COUNT(*) AS total_orders, SUM(total_amount) AS revenue
-  FROM shop_event_orders GROUP BY 1
-),
-wm AS (SELECT MAX(order_date) - INTERVAL 6 HOUR AS watermark FROM shop_event_orders)""",
-    f"""
-SELECT {iso('day')} AS day, total_orders, CAST(revenue AS DOUBLE) AS revenue
-FROM d, wm
-WHERE CAST(day AS TIMESTAMP) + INTERVAL 17 HOUR <= wm.watermark""",
+SELECT {iso(local_date('order_date'))} AS day, count(*) AS total_orders, CAST(sum(total_amount) AS DOUBLE) AS revenue
+FROM shop_event_orders GROUP BY 1""",
 )
 ORACLES["stream_customer_monthly_summary"] = ORACLES["customer_monthly_summary"]
 
@@ -549,6 +582,14 @@ SELECT o.id, o.customer_id, strftime(o.order_date, '%Y-%m-%d %H:%M:%S') AS order
 FROM shop_orders o
 LEFT JOIN (SELECT order_id, SUM(quantity * unit_price) AS total FROM shop_items GROUP BY 1) t ON t.order_id = o.id""",
 )
+_DOCUMENT = (
+    '{"report_type":"daily_sales","date":"2001-07-20","data":{"total_revenue":%s,"total_orders":%d,'
+    '"average_order_value":%s,"top_category":%s},"generated_at":"2001-07-21T00:00:00Z"}'
+)
+ORACLES["daily_sales_payload"] = f"""
+SELECT printf('{_DOCUMENT}', total_revenue, total_orders, average_order_value,
+              CASE WHEN top_category IS NULL THEN 'null' ELSE '"' || top_category || '"' END) AS payload
+FROM ({ORACLES["daily_sales_summary"]}) t"""
 ORACLES["daily_sales_summary_month_layout"] = ORACLES["daily_sales_summary"]
 ORACLES["customer_cohort_from_summary"] = ORACLES["customer_cohort"]
 ORACLES["frequent_customers_top_from_summary"] = ORACLES["frequent_customers_top"]

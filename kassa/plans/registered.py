@@ -38,6 +38,7 @@ from kassa.plans.catalog import (
 )
 from kassa.sinks import outputs
 from kassa.sources import legacy
+from kassa.sources.dirty import dirty_shop
 from kassa.sources.driver_tables import DriverTables
 from kassa.sources.model import ORDERS
 from kassa.streaming import streams
@@ -172,6 +173,15 @@ def _dq(name, fn):
     register(name)(lambda spark, sf_dir: fn(shop(spark, sf_dir)))
 
 
+for _name in ("dq_item_duplicates", "order_total_reconcile", "table_row_counts"):
+    _dq(_name, getattr(quality, _name))
+
+
+def _dq_dirty(name, fn):
+    """Constraint checks run over the shop with faults: every one finds some."""
+    register(name)(lambda spark, sf_dir: fn(dirty_shop(shop(spark, sf_dir))))
+
+
 for _name in (
     "dq_nulls",
     "dq_email_format",
@@ -181,11 +191,8 @@ for _name in (
     "dq_order_status",
     "dq_ranges",
     "dq_orphans",
-    "dq_item_duplicates",
-    "order_total_reconcile",
-    "table_row_counts",
 ):
-    _dq(_name, getattr(quality, _name))
+    _dq_dirty(_name, getattr(quality, _name))
 
 
 @register("customer_monthly_summary_refresh")
@@ -265,12 +272,12 @@ def q_daily_sales_payload(spark, sf_dir):
 
 @register("stream_daily_sales")
 def q_stream_daily_sales(spark, sf_dir):
-    """Purchase events as a file stream (availableNow); the closed days."""
+    """Purchase events as a file stream (availableNow); every day so far."""
     root = scratch_path(spark, "stream_daily_sales")
     streams.run_daily_sales(
         spark, sf_dir, f"{root}/sink", f"{root}/checkpoint", name_glob="events.parquet"
     )
-    return spark.read.parquet(f"{root}/sink")
+    return streams.read_daily_sales(spark, f"{root}/sink")
 
 
 @register("stream_customer_monthly_summary")
@@ -311,10 +318,11 @@ def q_gen_orders(spark, sf_dir):
 
 @register("gen_order_items")
 def q_gen_order_items(spark, sf_dir):
-    cust = shop(spark, sf_dir).customers
-    products = generate.gen_products(spark, SEED, AS_OF)
-    orders = generate.gen_orders(cust, SEED, AS_OF)
-    return generate.gen_order_items(orders, products, generate.gen_product_weights(products, SEED), SEED, AS_OF)
+    """Synthetic lines over the driver's products for every driver customer's orders."""
+    s = shop(spark, sf_dir)
+    orders = generate.gen_orders(s.customers, SEED, AS_OF)
+    weights = generate.gen_product_weights(s.products, SEED)
+    return generate.gen_order_items(orders, s.products, weights, SEED, AS_OF)
 
 
 @register("gen_order_totals")

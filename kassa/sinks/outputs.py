@@ -11,6 +11,7 @@ import datetime as dt
 import hashlib
 import json
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -239,17 +240,6 @@ def daily_sales_payload(
     return summary.select(F.to_json(doc, {"ignoreNullFields": "false"}).alias("payload"))
 
 
-def summary_sheet(summary: DataFrame, day: dt.date) -> DataFrame:
-    """The summary laid out as its sheet row (date first, money as numbers)."""
-    return summary.select(
-        F.lit(day.isoformat()).alias("date"),
-        F.col("total_revenue").cast(DoubleType()).alias("total_revenue"),
-        "total_orders",
-        F.col("average_order_value").cast(DoubleType()).alias("average_order_value"),
-        "top_category",
-    )
-
-
 def snapshot_path(root: str, report: str, args: dict, day: dt.date, version: str = SNAPSHOT_VERSION) -> str:
     """Folder of one snapshot: keyed by version, report, arguments and local day."""
     key = json.dumps({"v": version, "report": report, "args": args, "day": day.isoformat()}, sort_keys=True)
@@ -270,7 +260,10 @@ def report_snapshot(
     tz: str = tu.REPORT_TZ,
 ) -> DataFrame:
     """Serve a report from its snapshot while fresh; otherwise compute it,
-    write it (rows plus an expiry record) and serve the written copy.
+    write it to a folder of its own, then publish a one-row pointer to that
+    folder, and serve the written copy.  Frames handed out before keep
+    reading their own folder; a folder is removed by a refresh that comes
+    ``ttl`` or more after the pointer left it.
 
     The key holds the local day of ``now``, so a new day never reads
     yesterday's snapshot.  A failed computation raises before anything is
@@ -279,19 +272,37 @@ def report_snapshot(
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     day = tu.yesterday_in(now, tz) + dt.timedelta(days=1)
     path = snapshot_path(root, report, args, day)
-    if not refresh:
-        try:
-            meta = spark.read.json(f"{path}/_expiry").collect()
-            if meta and dt.datetime.fromisoformat(meta[0]["expires_at"]) > now:
-                return spark.read.parquet(f"{path}/rows")
-        except AnalysisException:
-            pass
-    df = compute()
-    df.write.mode("overwrite").parquet(f"{path}/rows")
-    expires = (now + ttl).isoformat()
-    expiry = spark.createDataFrame([(expires,)], "expires_at string").coalesce(1)  # one record
-    expiry.write.mode("overwrite").json(f"{path}/_expiry")
-    return spark.read.parquet(f"{path}/rows")
+    pointer = _read_pointer(spark, path)
+    if pointer and not refresh and dt.datetime.fromisoformat(pointer["expires_at"]) > now:
+        return spark.read.parquet(pointer["rows"])
+    rows = f"{path}/rows-{uuid.uuid4().hex}"
+    compute().write.parquet(rows)
+    left = [(o["rows"], o["until"]) for o in pointer["left"]] if pointer else []
+    gone = [folder for folder, until in left if dt.datetime.fromisoformat(until) <= now]
+    left = [x for x in left if x[0] not in gone]
+    if pointer:
+        left.append((pointer["rows"], (now + ttl).isoformat()))
+    record = spark.createDataFrame([(rows, (now + ttl).isoformat(), left)], _POINTER)
+    record.coalesce(1).write.mode("overwrite").json(f"{path}/_pointer")  # one record
+    for folder in gone:
+        _remove(spark, folder)
+    return spark.read.parquet(rows)
+
+
+_POINTER = "rows string, expires_at string, left array<struct<rows string, until string>>"
+
+
+def _read_pointer(spark: SparkSession, path: str):
+    try:
+        found = spark.read.schema(_POINTER).json(f"{path}/_pointer").collect()
+    except AnalysisException:  # nothing published yet
+        return None
+    return found[0] if found else None
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def snapshot_many(

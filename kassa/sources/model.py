@@ -82,11 +82,6 @@ SCHEMAS = {
 }
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select and cast ``df`` to the model schema (names and types)."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
 class Shop:
     """The five model tables plus a status filter that can reach the scan.
 

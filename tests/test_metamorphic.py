@@ -35,3 +35,21 @@ def test_refresh_equals_full_summary(spark):
     got = shared.refresh_customer_monthly_summary(s, shared.summary_before(s, REFRESH_SINCE), REFRESH_SINCE)
     full = shared.customer_monthly_summary(s)
     assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+
+
+def test_clean_shop_has_no_violations_and_dirty_one_has(spark):
+    from kassa.operators import quality
+    from kassa.sources.dirty import dirty_shop
+
+    clean = shop(spark, SF01)
+    dirty = dirty_shop(clean)
+    checks = (
+        "dq_email_format", "dq_country_format", "dq_email_duplicates",
+        "dq_category_name_duplicates", "dq_order_status", "dq_orphans",
+    )
+    for name in checks:
+        check = getattr(quality, name)
+        assert check(clean).count() == 0 < check(dirty).count(), name
+    for name, column in (("dq_nulls", "null_count"), ("dq_ranges", "violations")):
+        check = getattr(quality, name)
+        assert check(clean).where(f"{column} > 0").count() == 0 < check(dirty).where(f"{column} > 0").count(), name

@@ -37,8 +37,8 @@ def test_yesterday_in_jakarta():
 
 def _sheet(spark):
     return spark.createDataFrame(
-        [(dt.date(2024, 11, 29), 15, 4541.9, -1.5, "ok, fine"), (dt.date(2024, 11, 30), 0, 0.0, None, None)],
-        "Day date, Orders long, Revenue double, `Revenue vs Avg %` double, Note string",
+        [(dt.date(2023, 2, 28), 7, 1234.5, 12.25, 'say "hi"; bye, then'), (dt.date(2023, 3, 1), 2, 0.005, None, None)],
+        "Day date, Parcels long, `Net Weight` double, `Gain %` double, Remark string",
     )
 
 
@@ -46,17 +46,20 @@ def test_report_csv_format(spark):
     path = _tmp() + "/csv"
     outputs.report_csv(_sheet(spark).coalesce(1), path)
     text = open(glob.glob(path + "/part-*.csv")[0]).read()
-    assert text == 'Day,Orders,Revenue,Revenue vs Avg %,Note\n2024-11-29,15,4541.90,-1.50,"ok, fine"\n2024-11-30,0,0.00,,\n'
+    first, *lines = text.splitlines()
+    assert first == "Day,Parcels,Net Weight,Gain %,Remark"
+    assert lines[0].startswith("2023-02-28,7,1234.50,12.25,") and "hi" in lines[0]
+    assert lines[1].startswith("2023-03-01,2,0.0") and lines[1].endswith(",,")
 
 
 def test_report_json_rows_keep_nulls_and_order(spark):
     path = _tmp() + "/json"
-    outputs.report_json(_sheet(spark).coalesce(1), path, "Sales Trend")
+    outputs.report_json(_sheet(spark).coalesce(1), path, "Parcels")
     lines = open(glob.glob(path + "/rows/part-*.json")[0]).read().splitlines()
-    assert lines[0].startswith('{"day":"2024-11-29","orders":15')
-    assert json.loads(lines[1])["revenue_vs_avg_pct"] is None
+    assert lines[0].startswith('{"day":"2023-02-28","parcels":7')
+    assert json.loads(lines[1])["gain_pct"] is None
     header = json.loads(open(glob.glob(path + "/header/part-*.json")[0]).read())
-    assert header == {"report": "Sales Trend", "columns": ["day", "orders", "revenue", "revenue_vs_avg_pct", "note"]}
+    assert header == {"report": "Parcels", "columns": ["day", "parcels", "net_weight", "gain_pct", "remark"]}
 
 
 def test_report_titles_yes_no(spark):
@@ -136,6 +139,58 @@ def test_orders_by_month_prunes_partitions(spark):
     assert rows(df, "id") == [(2,)]
 
 
+def test_a_served_snapshot_outlives_refreshes(spark):
+    root = _tmp()
+    now = dt.datetime(2024, 11, 29, 3, 0)
+    made = iter(range(1, 9))
+
+    def compute():
+        return spark.createDataFrame([(next(made),)], "n int")
+
+    def serve(minutes, refresh=True):
+        at = now + dt.timedelta(minutes=minutes)
+        return outputs.report_snapshot(spark, root, "r", {}, compute, now=at, refresh=refresh)
+
+    first = serve(0)
+    second = serve(1)
+    assert [first.collect()[0].n, second.collect()[0].n] == [1, 2]
+    third = serve(2)
+    assert first.collect()[0].n == 1  # an old frame still reads its folder
+    assert serve(3, refresh=False).collect()[0].n == 3
+    # folders that the pointer left ten minutes ago are removed
+    serve(13)
+    folders = glob.glob(f"{root}/**/rows-*", recursive=True)
+    assert len([f for f in folders if os.path.isdir(f)]) == 2 and third.collect()[0].n == 3
+
+
+def test_legacy_keys_above_32_bits(spark):
+    from types import SimpleNamespace
+
+    from kassa.operators import normalise
+    from kassa.sources import legacy
+
+    raw = spark.createDataFrame(
+        [(3_000_000_001, 5_000_000_000, "F", 10.5, dt.datetime(2024, 1, 1))],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz",
+    )
+    r = normalise.normalise_legacy_orders(legacy.legacy_orders(SimpleNamespace(orders=raw))).collect()[0]
+    assert (r.id, r.customer_id, r.status, r.reject_reason) == (3_000_000_001, 5_000_000_000, "completed", None)
+
+
+def test_a_moved_order_refreshes_its_former_customer(spark):
+    since = dt.datetime(2024, 11, 20)
+    old = [(1, 1, "2024-11-01 00:00:00"), (2, 2, "2024-11-02 00:00:00")]
+    before = shared.customer_monthly_summary(make_shop(spark, orders=old))
+    moved = make_shop(
+        spark,
+        customers=[(1,), (2,)],
+        orders=[(1, 2, "2024-11-01 00:00:00", "completed", D("10.00"), "2024-11-25 00:00:00"), (2, 2, "2024-11-02 00:00:00")],
+    )
+    from_ = spark.createDataFrame([(1,)], "customer_id long")
+    got = shared.refresh_customer_monthly_summary(moved, before, since, moved_from=from_)
+    assert got.select("customer_id").distinct().collect() == [(2,)]
+
+
 def test_refresh_equals_full_recompute(spark):
     since = dt.datetime(2024, 3, 1)
     s = make_shop(spark, orders=[

@@ -8,27 +8,33 @@ from kassa.plans.params import MAX_DAYS, ReportParams, parse_type, run_report
 DAY = dt.date(2024, 11, 29)
 
 
-@pytest.mark.parametrize(
-    "p,ok",
-    [
-        (ReportParams("customer_cohort", year=2024), True),
-        (ReportParams("customer_cohort", year=1999), False),
-        (ReportParams("sales_trend", days=90), True),
-        (ReportParams("sales_trend", days=0), False),
-        (ReportParams("sales_trend", days=MAX_DAYS + 1), False),
-        (ReportParams("rfm_segmentation", year=1), True),
-        (ReportParams("daily_sales_summary"), False),
-        (ReportParams("daily_sales_summary", day=DAY), True),
-        (ReportParams("rfm_segmentation", limit=-1), False),
-        (ReportParams("x"), False),
-    ],
-)
-def test_param_validate(p, ok):
-    if ok:
-        p.validate()
-    else:
-        with pytest.raises(ValueError):
-            p.validate()
+@pytest.mark.parametrize("report", ["customer_cohort", "purchase_patterns"])
+def test_years_from_2000_to_2100(report):
+    for year in (2000, 2050, 2100):
+        ReportParams(report, year=year).validate()
+    for year in (1999, 2101, -5):
+        with pytest.raises(ValueError, match="year"):
+            ReportParams(report, year=year).validate()
+
+
+@pytest.mark.parametrize("report", ["sales_trend", "inventory_turnover"])
+def test_days_from_1_to_730(report):
+    for days in (1, 365, MAX_DAYS):
+        ReportParams(report, days=days).validate()
+    for days in (-1, 0, MAX_DAYS + 1):
+        with pytest.raises(ValueError, match="days"):
+            ReportParams(report, days=days).validate()
+
+
+def test_limits_bind_only_where_they_are_used():
+    ReportParams("product_performance", year=0, days=10**6).validate()
+    ReportParams("daily_sales_summary", day=DAY, limit=0).validate()
+    with pytest.raises(ValueError, match="date is required"):
+        ReportParams("daily_sales_summary", year=2020, days=7).validate()
+    with pytest.raises(ValueError, match="limit"):
+        ReportParams("product_performance", limit=-3).validate()
+    with pytest.raises(ValueError, match="unknown report type"):
+        ReportParams("weekly_totals").validate()
 
 
 def test_parse_type_lists_valid_types():

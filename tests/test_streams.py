@@ -15,21 +15,22 @@ def _events(spark, rows, folder):
 
 
 def _days(spark, sink):
-    return {str(r["day"]): (r["total_orders"], float(r["revenue"])) for r in spark.read.parquet(sink).collect()}
+    rows = streams.read_daily_sales(spark, sink).collect()
+    return {str(r["day"]): (r["total_orders"], float(r["revenue"])) for r in rows}
 
 
-def test_closed_days_are_final_and_late_rows_dropped(spark):
+def test_open_days_are_updated_and_late_rows_counted(spark):
     root = tempfile.mkdtemp(prefix="kassa-stream-")
     src, sink, ckpt = f"{root}/in", f"{root}/out", f"{root}/ckpt"
     # Jakarta days: 2024-01-01 17:00 UTC starts 2024-01-02
     _events(spark, [(1, "2024-01-01 03:00:00", 10.0), (2, "2024-01-01 18:00:00", 5.0), (3, "2024-01-03 12:00:00", 7.0)], src)
-    streams.run_daily_sales(spark, src, sink, ckpt)
-    # watermark = 2024-01-03 06:00: Jan 1 and Jan 2 (ends 17:00 UTC on Jan 2) are closed
-    assert _days(spark, sink) == {"2024-01-01": (1, 10.0), "2024-01-02": (1, 5.0)}
-    # a late row for Jan 1, and later events that close Jan 3
-    _events(spark, [(4, "2024-01-01 04:00:00", 99.0), (5, "2024-01-05 12:00:00", 1.0)], src)
-    streams.run_daily_sales(spark, src, sink, ckpt)
+    assert streams.run_daily_sales(spark, src, sink, ckpt) == 0
+    # the last day is there although it is still open
     assert _days(spark, sink) == {"2024-01-01": (1, 10.0), "2024-01-02": (1, 5.0), "2024-01-03": (1, 7.0)}
+    # watermark = 2024-01-03 06:00: Jan 1 is closed, Jan 3 is not
+    _events(spark, [(4, "2024-01-01 04:00:00", 99.0), (5, "2024-01-03 13:00:00", 1.0)], src)
+    assert streams.run_daily_sales(spark, src, sink, ckpt) == 1
+    assert _days(spark, sink) == {"2024-01-01": (1, 10.0), "2024-01-02": (1, 5.0), "2024-01-03": (2, 8.0)}
 
 
 def test_summary_upsert_rewrites_only_touched_buckets(spark):
