@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import datetime as dt
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType
 
 from kassa.functions import timeutil as tu
+from kassa.operators.sequence import materialize
 from kassa.sources.model import ORDER_ITEMS, ORDERS, Shop, item_revenue
 
 UNCATEGORIZED = "Uncategorized"
@@ -79,7 +81,11 @@ def product_sales(
     The lines are joined to the completed orders (shuffle on order_id, with
     AQE splitting a hot order) and aggregated per product with a map-side
     partial aggregate, so a hot product is combined before the shuffle.
+    A shop from :func:`with_product_sales` has it computed already.
     """
+    held = getattr(shop, "held_product_sales", {}).get((as_of, window_days, tz))
+    if held is not None:
+        return held
     this_month = tu.month_start(as_of)
     last_month = tu.add_months(this_month, -1)
     prev_month = tu.add_months(this_month, -2)
@@ -108,6 +114,15 @@ def product_sales(
     )
 
 
+def with_product_sales(shop: Shop, *, as_of: dt.date, window_days: int = 90, tz: str = tu.REPORT_TZ) -> Shop:
+    """The same shop with ``product_sales`` written once for several reports:
+    the order lines are then scanned once for all of them."""
+    sales = materialize(product_sales(shop, as_of=as_of, window_days=window_days, tz=tz), "product-sales")
+    out = copy.copy(shop)
+    out.held_product_sales = {(as_of, window_days, tz): sales}
+    return out
+
+
 def customer_monthly_summary(shop: Shop, tz: str = tu.REPORT_TZ) -> DataFrame:
     """One row per (customer, local month) of completed orders: count, revenue."""
     o = shop.completed_orders()

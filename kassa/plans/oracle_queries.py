@@ -593,3 +593,16 @@ FROM ({ORACLES["daily_sales_summary"]}) t"""
 ORACLES["daily_sales_summary_month_layout"] = ORACLES["daily_sales_summary"]
 ORACLES["customer_cohort_from_summary"] = ORACLES["customer_cohort"]
 ORACLES["frequent_customers_top_from_summary"] = ORACLES["frequent_customers_top"]
+ORACLES["report_run_all"] = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS report, count(*) AS row_count, CAST(NULL AS VARCHAR) AS error FROM ({ORACLES[name]}) t"
+    for name in (
+        "customer_cohort",
+        "product_performance",
+        "rfm_segmentation",
+        "sales_trend",
+        "inventory_turnover",
+        "purchase_patterns",
+        "daily_sales_summary",
+        "monthly_revenue_breakdown",
+    )
+)

@@ -264,6 +264,26 @@ def q_report_snapshot(spark, sf_dir):
     )
 
 
+@register("report_run_all")
+def q_report_run_all(spark, sf_dir):
+    """The seven reports and the monthly breakdown in one run over one pass of
+    product sales; a report that fails is listed with its error."""
+    s = shared.with_product_sales(shop(spark, sf_dir), as_of=AS_OF, window_days=DAYS)
+    jobs = {
+        "customer_cohort": lambda: cohort.customer_cohort(s, YEAR),
+        "product_performance": lambda: product.product_performance(s, as_of=AS_OF),
+        "rfm_segmentation": lambda: rfm.rfm_segmentation(s, as_of=AS_OF),
+        "sales_trend": lambda: trend.sales_trend(s, DAYS, as_of=AS_OF),
+        "inventory_turnover": lambda: inventory.inventory_turnover(s, DAYS, as_of=AS_OF),
+        "purchase_patterns": lambda: patterns.purchase_patterns(s, YEAR),
+        "daily_sales_summary": lambda: daily_summary.daily_sales_summary(s, SUMMARY_DAY),
+        "monthly_revenue_breakdown": lambda: product.monthly_revenue_breakdown(s, as_of=AS_OF),
+    }
+    root = scratch_path(spark, "all_reports")
+    done = outputs.snapshot_many(spark, root, [(name, {}, job) for name, job in jobs.items()])
+    return outputs.run_summary(spark, done)
+
+
 @register("daily_sales_payload")
 def q_daily_sales_payload(spark, sf_dir):
     summary = daily_summary.daily_sales_summary(shop(spark, sf_dir), SUMMARY_DAY)

@@ -320,3 +320,18 @@ def snapshot_many(
         except Exception as exc:  # isolate one report's failure
             results.append((report, None, exc))
     return results
+
+
+def run_summary(spark: SparkSession, results) -> DataFrame:
+    """(report, row_count, error) of a run, one row per report."""
+    schema = "report string, row_count long, error string"
+    out = spark.createDataFrame([], schema)
+    for report, df, error in results:
+        if df is None:
+            row = spark.createDataFrame([(report, None, str(error)[:500])], schema)
+        else:
+            row = df.agg(F.count("*").alias("row_count")).select(
+                F.lit(report).alias("report"), "row_count", F.lit(None).cast("string").alias("error")
+            )
+        out = out.unionByName(row)
+    return out
