@@ -240,7 +240,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         keys.join(centres, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "star"
     )
     ids = star.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = source.join(ids, "id", "left_semi").mapInArrow(_squeeze, "id long, packed binary")
+    # the same join at every size: these ids are not broadcast where they happen to be few
+    texts = source.join(ids.hint("merge"), "id", "left_semi").mapInArrow(_squeeze, "id long, packed binary")
     texts = save(texts.dropDuplicates(["id"]), "texts")  # repeated rows with one doc_id
     rows = star.join(texts.toDF("b", "pb"), "b").join(texts.toDF("a", "pa"), "a")
     compared = save(rows.select("a", "b", "pa", "pb").mapInArrow(_compare, _COMPARED), "compared")
