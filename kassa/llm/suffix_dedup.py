@@ -101,7 +101,7 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
         padded[SPAN - 1 : SPAN - 1 + len(low)] = low
         chosen = np.flatnonzero(_slide(padded, np.maximum) == rank)
         places.append(chosen + at)
-        hashes.append(h[chosen])
+        hashes.append(T.mix(h[chosen]))  # minima are small numbers: spread them again
     if not places:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     place, at = np.unique(np.concatenate(places), return_index=True)  # slices overlap
