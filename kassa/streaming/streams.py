@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from kassa.functions import timeutil as tu
+from kassa.operators.sequence import materialize
 from kassa.operators.shared import customer_monthly_summary
 from kassa.sources.driver_tables import DRIVER_SCHEMAS
 from kassa.sources.model import Shop
@@ -118,22 +119,29 @@ def run_daily_sales(
     return late
 
 
-SUMMARY_BUCKETS = 64
+ROWS_PER_BUCKET = 500_000
 
 
-def customer_bucket(col: str = "customer_id", buckets: int = SUMMARY_BUCKETS):
+def customer_bucket(buckets: int, col: str = "customer_id"):
     return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
 
 
-def write_summary_table(summary: DataFrame, table_path: str, buckets: int = SUMMARY_BUCKETS) -> None:
-    """The summary table, one folder per customer bucket."""
+def write_summary_table(summary: DataFrame, table_path: str, buckets: int | None = None) -> None:
+    """The summary table, one folder per customer bucket.  The number of
+    buckets follows the rows (``ROWS_PER_BUCKET``) unless given; it is kept
+    with the table, as later batches must use the same."""
+    if buckets is None:
+        summary = materialize(summary, "summary")
+        buckets = 1 + summary.count() // ROWS_PER_BUCKET
     (
-        summary.withColumn("bucket", customer_bucket(buckets=buckets))
+        summary.withColumn("bucket", customer_bucket(buckets))
         .hint("rebalance", "bucket")  # few files a bucket; adaptive execution splits a large one
         .write.mode("overwrite")
         .partitionBy("bucket")
         .parquet(table_path)
     )
+    record = summary.sparkSession.createDataFrame([(buckets,)], "buckets int").coalesce(1)
+    record.write.mode("overwrite").json(f"{table_path}/_buckets")
 
 
 def read_summary_table(spark: SparkSession, table_path: str) -> DataFrame:
@@ -142,7 +150,7 @@ def read_summary_table(spark: SparkSession, table_path: str) -> DataFrame:
 
 
 def upsert_touched(
-    spark: SparkSession, shop: Shop, touched: DataFrame, table_path: str, buckets: int = SUMMARY_BUCKETS
+    spark: SparkSession, shop: Shop, touched: DataFrame, table_path: str
 ) -> None:
     """Rewrite the summary rows of ``touched`` customers.
 
@@ -151,16 +159,15 @@ def upsert_touched(
     are carried over.  The new bucket contents are checkpointed first, so the
     write does not read the folders it replaces.
     """
-    from kassa.operators.sequence import materialize
-
-    touched = touched.select("customer_id").distinct().withColumn("bucket", customer_bucket(buckets=buckets))
+    buckets = spark.read.schema("buckets int").json(f"{table_path}/_buckets").first()["buckets"]
+    touched = touched.select("customer_id").distinct().withColumn("bucket", customer_bucket(buckets))
     hit = [r["bucket"] for r in touched.select("bucket").distinct().collect()]  # at most `buckets` values
     if not hit:
         return
     existing = spark.read.parquet(table_path).filter(F.col("bucket").isin(hit) & F.col("customer_id").isNotNull())
     keep = existing.join(touched.select("customer_id"), "customer_id", "left_anti")
     fresh = customer_monthly_summary(_restricted(shop, touched.select("customer_id"))).withColumn(
-        "bucket", customer_bucket(buckets=buckets)
+        "bucket", customer_bucket(buckets)
     )
     # one marker row per touched bucket, so a bucket left without rows is
     # still replaced (dynamic overwrite only replaces folders it writes)

@@ -51,6 +51,6 @@ def test_summary_upsert_rewrites_only_touched_buckets(spark):
         (2, 2, "2024-01-11 00:00:00", "completed", D("7.00")),
         (3, 2, "2024-02-11 00:00:00", "completed", D("1.00")),
     ])
-    streams.upsert_touched(spark, after, spark.createDataFrame([(1,), (2,)], "customer_id long"), table, buckets=4)
+    streams.upsert_touched(spark, after, spark.createDataFrame([(1,), (2,)], "customer_id long"), table)
     got = sorted((r["customer_id"], str(r["order_month"]), r["order_count"]) for r in streams.read_summary_table(spark, table).collect())
     assert got == [(2, "2024-01-01", 1), (2, "2024-02-01", 1)]
