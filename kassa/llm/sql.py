@@ -108,8 +108,86 @@ SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remove
 FROM doc LEFT JOIN sums USING (doc_id) LEFT JOIN left_over USING (doc_id)
 """
 
+# The templates of the notices, as patterns over the words joined by blanks.
+# Regions that may be absent at a template's end or start add nothing.
+_NOTICES = (
+    ("mit-notice", " (released|licensed) under the mit license "),
+    (
+        "mit-notice",
+        " permission is hereby granted free of charge to any person obtaining a copy of this software and associated"
+        " documentation files (the software )?to deal in the software without restriction ",
+    ),
+    ("apache-2.0-notice", " licensed under the apache license version 2 0 "),
+    ("gpl-notice", " licensed under the (terms of the )?gnu (lesser )?general public license version [^ ]+ "),
+    (
+        "gpl-notice",
+        " under the terms of the gnu (lesser )?general public license as published by the free software foundation ",
+    ),
+    ("cc-by-nc-notice", " licensed under (a )?(creative commons )?cc by nc 4 0 "),
+    (
+        "cc-by-notice",
+        " licensed under (a )?creative commons attribution (sharealike )?[^ ]+ 0 (international )?license ",
+    ),
+    (
+        "bsd-notice",
+        " redistribution and use in source and binary forms with or without modification are permitted provided"
+        " that the following conditions are met ",
+    ),
+    ("mpl-2.0-notice", " subject to the terms of the mozilla public license v 2 0 "),
+)
+_NOTICE_ROWS = " UNION ALL ".join(f"SELECT doc_id, '{label}' AS l FROM doc WHERE regexp_matches(j, '{p}')" for label, p in _NOTICES)
+
+_OP6 = rf"""
+WITH cut AS (
+  SELECT doc_id, regexp_extract_all({_FOLD.format(t="text")}, {_ALNUM}) AS w FROM documents
+), doc AS (SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS j FROM cut),
+phrase(words, l) AS (VALUES (['mit', 'license'], 'mit'), (['apache', 'license'], 'apache'),
+                            (['general', 'public', 'license'], 'gpl')),
+spot AS (
+  SELECT doc_id, i - 1 AS place, l
+  FROM doc, phrase, unnest(range(1, len(w) - len(words) + 2)) AS u(i) WHERE w[i:i + len(words) - 1] = words
+), base AS (
+  SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+         string_agg(DISTINCT l, ',' ORDER BY l) AS base_labels
+  FROM spot GROUP BY doc_id
+), notice AS ({_NOTICE_ROWS}),
+every AS (
+  SELECT doc_id, string_agg(DISTINCT l, ',' ORDER BY l) AS labels, bool_or(l LIKE '%-notice') AS whole
+  FROM (SELECT doc_id, l FROM spot UNION ALL SELECT doc_id, l FROM notice) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CAST(CASE WHEN whole THEN 1 WHEN n_base > 0 THEN 0.5 ELSE 0 END AS DOUBLE) AS score
+FROM doc LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id)
+"""
+
+_OP7 = rf"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all({_FOLD.format(t="text")}, {_NOT_SPACE}) AS w FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM doc, unnest(range(1, greatest(len(w) - 1, 2))) AS u(i) WHERE len(w) > 0
+), size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+both_have AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM both_have JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b
+  WHERE 100 * c >= 85 * (p.n + q.n - c)
+), reach(doc_id, seen) AS (
+  SELECT doc_id, doc_id FROM doc
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.seen
+), part AS (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM part LEFT JOIN size USING (doc_id)
+"""
+
 SQL: dict[str, str] = {
     "op2_decontamination": _OP2,
     "op4_quality_rules": _OP4,
     "op5_suffix_dedup": _OP5,
+    "op6_license_scan": _OP6,
+    "op7_minhash_dedup": _OP7,
 }
