@@ -4,7 +4,7 @@ a reject reason instead of being dropped."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType, LongType
 
@@ -42,13 +42,17 @@ def normalise_legacy_orders(legacy: DataFrame, tz: str = tu.REPORT_TZ) -> DataFr
 
 def normalise_legacy_products(legacy: DataFrame, categories: DataFrame) -> DataFrame:
     """Category text resolved to the category key by trimmed, case-blind
-    name; a name that does not resolve is a reject, a missing one is NULL.
-    The categories side is the catalogue dimension (broadcast by size)."""
-    names = categories.select(
-        F.lower(F.trim("name")).alias("_cat_key"), F.col("id").alias("category_id")
+    name; a name that does not resolve, or that several categories share when
+    case is ignored, is a reject; a missing one is NULL.  Every row comes out
+    once.  The categories side is the catalogue dimension (broadcast by size)."""
+    names = categories.groupBy(F.lower(F.trim("name")).alias("_cat_key")).agg(
+        F.count("*").alias("_n"), F.min("id").alias("_id")
     )
+    names = names.select("_cat_key", F.when(F.col("_n") == 1, F.col("_id")).alias("category_id"), "_n")
     j = legacy.join(names, F.lower(F.trim(F.col("category"))) == F.col("_cat_key"), "left")
-    reason = F.when(F.col("category").isNotNull() & F.col("category_id").isNull(), F.lit("unknown category"))
+    reason = F.when(F.col("_n") > 1, F.lit("ambiguous category")).when(
+        F.col("category").isNotNull() & F.col("category_id").isNull(), F.lit("unknown category")
+    )
     return j.select(
         F.col("id").cast(LongType()).alias("id"),
         "name",
@@ -57,3 +61,18 @@ def normalise_legacy_products(legacy: DataFrame, categories: DataFrame) -> DataF
         F.coalesce(F.col("stock_quantity"), F.lit(0)).cast(IntegerType()).alias("stock_quantity"),
         reason.alias("reject_reason"),
     )
+
+
+def set_aside(normalised: DataFrame, path: str) -> None:
+    """Write the result in one pass: accepted rows under ``accepted=true``,
+    rejects with their reason under ``accepted=false``."""
+    rows = normalised.withColumn("accepted", F.col("reject_reason").isNull())
+    rows.write.mode("overwrite").partitionBy("accepted").parquet(path)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).where("accepted = 'false'").drop("accepted")
+
+
+def read_accepted(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).where("accepted = 'true'").drop("accepted", "reject_reason")

@@ -536,10 +536,10 @@ _alias_case = """CASE WHEN lower(trim(status)) IN ('complete', 'completed') THEN
        WHEN lower(trim(status)) IN ('canceled', 'cancelled') THEN 'cancelled' END"""
 ORACLES["normalise_legacy_orders"] = f"""
 WITH lo AS (
-  SELECT o_orderkey AS id, o_custkey AS customer_id,
-         o_orderdate + INTERVAL 7 HOUR AS order_date,
+  SELECT o_orderkey AS id, CASE WHEN o_orderkey % 89 <> 0 THEN o_custkey END AS customer_id,
+         CASE WHEN o_orderkey % 101 <> 0 THEN o_orderdate + INTERVAL 7 HOUR END AS order_date,
          {_legacy_status} AS status,
-         CAST(o_totalprice AS DECIMAL(10,2)) AS total_amount
+         CAST(CASE WHEN o_orderkey % 113 = 0 THEN -o_totalprice ELSE o_totalprice END AS DECIMAL(10,2)) AS total_amount
   FROM orders
 ), n AS (
   SELECT *, {_alias_case} AS st FROM lo
@@ -553,11 +553,15 @@ SELECT CAST(id AS BIGINT) AS id, CAST(customer_id AS BIGINT) AS customer_id,
             WHEN st IS NULL THEN 'unknown status'
             WHEN total_amount IS NULL OR total_amount < 0 THEN 'bad total_amount' END AS reject_reason
 FROM n"""
+ORACLES["normalise_legacy_rejects"] = (
+    f"SELECT * FROM ({ORACLES['normalise_legacy_orders']}) t WHERE reject_reason IS NOT NULL"
+)
 ORACLES["normalise_legacy_products"] = _report(
     """
 lp AS (
   SELECT p_partkey AS id, p_name AS name,
          CASE WHEN p_partkey % 50 = 0 THEN NULL
+              WHEN p_partkey % 41 = 0 THEN 'no such category'
               WHEN p_partkey % 3 = 0 THEN lower(p_type || ' ' || p_brand)
               WHEN p_partkey % 3 = 1 THEN ' ' || p_type || ' ' || p_brand || ' '
               ELSE p_type || ' ' || p_brand END AS category,

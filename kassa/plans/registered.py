@@ -321,6 +321,14 @@ def q_normalise_legacy_orders(spark, sf_dir):
     return normalise.normalise_legacy_orders(legacy.legacy_orders(DriverTables(spark, sf_dir)))
 
 
+@register("normalise_legacy_rejects")
+def q_normalise_legacy_rejects(spark, sf_dir):
+    """The rejected orders, set aside in a folder of their own."""
+    path = scratch_path(spark, "legacy_orders")
+    normalise.set_aside(normalise.normalise_legacy_orders(legacy.legacy_orders(DriverTables(spark, sf_dir))), path)
+    return normalise.read_rejects(spark, path)
+
+
 @register("normalise_legacy_products")
 def q_normalise_legacy_products(spark, sf_dir):
     s = shop(spark, sf_dir)

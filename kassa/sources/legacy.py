@@ -22,6 +22,9 @@ LEGACY_SPELLINGS = {
     "P": ["cancelled", "canceled", "Cancelled", " CANCELED"],
 }
 MISSING_STATUS_EVERY = 97
+# Rows without a customer, without a date, with a negative total
+# (order keys), and with a category that does not exist (part keys).
+NO_CUSTOMER_EVERY, NO_DATE_EVERY, BAD_TOTAL_EVERY, BAD_CATEGORY_EVERY = 89, 101, 113, 41
 
 
 def legacy_orders(t: DriverTables) -> DataFrame:
@@ -34,10 +37,13 @@ def legacy_orders(t: DriverTables) -> DataFrame:
     status = F.when(k % MISSING_STATUS_EVERY == 0, F.lit(None).cast("string")).otherwise(status)
     return o.select(
         k.cast("long").alias("id"),
-        F.col("o_custkey").cast("long").alias("customer_id"),
-        tu.local_time("o_orderdate").alias("order_date"),
+        F.when(k % NO_CUSTOMER_EVERY != 0, F.col("o_custkey")).cast("long").alias("customer_id"),
+        F.when(k % NO_DATE_EVERY != 0, tu.local_time("o_orderdate")).alias("order_date"),
         status.alias("status"),
-        F.col("o_totalprice").cast("decimal(10,2)").alias("total_amount"),
+        F.when(k % BAD_TOTAL_EVERY == 0, -F.col("o_totalprice"))
+        .otherwise(F.col("o_totalprice"))
+        .cast("decimal(10,2)")
+        .alias("total_amount"),
     )
 
 
@@ -47,6 +53,7 @@ def legacy_products(t: DriverTables) -> DataFrame:
     name = F.concat_ws(" ", "p_type", "p_brand")
     text = (
         F.when(k % 50 == 0, F.lit(None).cast("string"))
+        .when(k % BAD_CATEGORY_EVERY == 0, F.lit("no such category"))
         .when(k % 3 == 0, F.lower(name))
         .when(k % 3 == 1, F.concat(F.lit(" "), name, F.lit(" ")))
         .otherwise(name)

@@ -170,11 +170,26 @@ def test_legacy_keys_above_32_bits(spark):
     from kassa.sources import legacy
 
     raw = spark.createDataFrame(
-        [(3_000_000_001, 5_000_000_000, "F", 10.5, dt.datetime(2024, 1, 1))],
+        [(3_000_000_011, 5_000_000_000, "F", 10.5, dt.datetime(2024, 1, 1))],
         "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz",
     )
     r = normalise.normalise_legacy_orders(legacy.legacy_orders(SimpleNamespace(orders=raw))).collect()[0]
-    assert (r.id, r.customer_id, r.status, r.reject_reason) == (3_000_000_001, 5_000_000_000, "completed", None)
+    assert (r.id, r.customer_id, r.status, r.reject_reason) == (3_000_000_011, 5_000_000_000, "completed", None)
+
+
+def test_rejects_are_set_aside_and_ambiguous_names_rejected(spark):
+    from kassa.operators import normalise
+
+    cats = spark.createDataFrame([(1, "Toys"), (2, "TOYS "), (3, "Books")], "id long, name string")
+    rows = [(1, "a", "toys", 1.0, 1), (2, "b", " books", 2.0, None), (3, "c", "none", 3.0, 3), (4, "d", None, 4.0, 4)]
+    legacy = spark.createDataFrame(rows, "id long, name string, category string, price double, stock_quantity int")
+    done = normalise.normalise_legacy_products(legacy, cats)
+    got = {r.id: (r.category_id, r.reject_reason) for r in done.collect()}
+    assert got == {1: (None, "ambiguous category"), 2: (3, None), 3: (None, "unknown category"), 4: (None, None)}
+    path = _tmp() + "/out"
+    normalise.set_aside(done, path)
+    assert sorted(r.id for r in normalise.read_rejects(spark, path).collect()) == [1, 3]
+    assert sorted(r.id for r in normalise.read_accepted(spark, path).collect()) == [2, 4]
 
 
 def test_a_moved_order_refreshes_its_former_customer(spark):
