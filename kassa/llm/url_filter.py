@@ -9,7 +9,7 @@ rule wins.  Without a rule the method decides:
   all hosts in the table, plus ``SEED_WORDS``.  Unknown stretches cost more by the
   letter than any word.  Path tokens are taken as they are.
 * A multinomial naive Bayes over these words says allow or block.  It is trained
-  on the urls that a rule decides, leaving out words that the rules themselves
+  on the distinct hosts and digit-free paths that a rule decides, leaving out words that the rules themselves
   name (they would only repeat the rules), with ``SEED_WORDS`` as block words that
   weigh ``SEED_WEIGHT`` times what allowed urls say of them.
 
@@ -42,10 +42,12 @@ RULES = (
 )
 #: Words of host names that stand for sites to block.
 SEED_WORDS = (
+    "ads",
     "adult",
     "bet",
     "bets",
     "casino",
+    "cheap",
     "escort",
     "farm",
     "gambling",
@@ -65,6 +67,9 @@ MAX_WORDS = 200_000
 SEED_WEIGHT = 20
 SEED_COUNT = 50  # of each seed word in the dictionary
 LONGEST = 24
+#: Prior log-odds: the rules' own shares say nothing of the urls beyond them, and
+#: a host is blocked only on more than weak evidence.
+CAUTION = -0.5
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -159,7 +164,9 @@ def fit(urls: DataFrame, rules: tuple = RULES, max_words: int = MAX_WORDS) -> tu
     for word in SEED_WORDS:
         counts[word] = counts.get(word, 0) + SEED_COUNT
     held = urls.sparkSession.sparkContext.broadcast(counts)
-    labelled = urls.where("verdict IS NOT NULL").select("host", "path", "verdict")
+    # many pages of one host say no more than one
+    plain = F.regexp_replace("path", r"\d+", "").alias("path")
+    labelled = urls.where("verdict IS NOT NULL").select("host", plain, "verdict").distinct()
     words = labelled.mapInArrow(_token_rows(held), "word string, verdict string")
     is_block = F.when(F.col("verdict") == "block", 1).otherwise(0)
     sums = words.groupBy("word").agg(F.sum(is_block).alias("block"), F.sum(1 - is_block).alias("allow"))
@@ -172,8 +179,7 @@ def fit(urls: DataFrame, rules: tuple = RULES, max_words: int = MAX_WORDS) -> tu
         good.setdefault(word, 0)
     n_bad, n_good = sum(bad.values()) + len(bad), sum(good.values()) + len(bad)
     weights = {w: math.log((bad[w] + 1) / n_bad) - math.log((good[w] + 1) / n_good) for w in bad}
-    # equal priors: the rules' own shares say nothing of the urls beyond them
-    return counts, weights, 0.0
+    return counts, weights, CAUTION
 
 
 def _judge(held):

@@ -66,7 +66,7 @@ def test_odd_urls(spark):
 
 
 def test_words_of_hosts_decide(spark):
-    names = ["casinowin", "freebets", "garden", "gardenfree", "booksgarden"]
+    names = ["casinowin", "pokerbets", "garden", "gardenfree", "booksgarden"]
     rows = [(i, f"http://{n}.example.net/x") for i, n in enumerate(names)]
     rows += [(100 + i, f"http://{w}-site.example.org/en/7") for i, w in enumerate(["free", "garden", "books", "site"] * 5)]
     pages = spark.createDataFrame(rows, "page_id long, url string")
