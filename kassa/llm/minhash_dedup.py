@@ -17,8 +17,8 @@ centre.  Classes of one centre that are then in different components are compare
 with each other from these differences, in blocks of ``BLOCK`` against ``BLOCK``,
 so no link between different sets is skipped, and only links leave a task.
 
-Rows: one per input row.  Repeated rows get equal results; a null doc_id keeps
-its row, with ``kept`` false unless it is alone in its component.  Other columns
+Rows: one per input row.  Repeated rows get equal results; a row with a null
+doc_id is linked with nothing: component_id null, ``kept`` true.  Other columns
 are ignored; an empty table gives an empty result.
 """
 
@@ -38,7 +38,7 @@ SHINGLE = 3
 PERCENT = 85
 HALVES = 12
 ROWS = 3
-BLOCK = 256
+BLOCK = 512
 N_HASHES = 2 * HALVES * ROWS
 _MULT = T.mix(np.arange(1001, 1001 + N_HASHES, dtype=np.uint64)) | np.uint64(1)
 _SALT = T.mix(np.arange(5001, 5001 + N_HASHES, dtype=np.uint64))
@@ -257,24 +257,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")
     )
     mixed = spread.where("lo < hi").join(home, "a").select("a", "home", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    mixed = save(mixed, "mixed")  # so that the next join, with its hot centres, can be split
     near = near.join(mixed, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")))
+    near = near.repartition("a", "block")  # a large group's blocks go to many tasks
     member = F.struct("b", "component", "n_a", "n_b", "gone", "added")
-    every = near.groupBy("a", "block").agg(F.collect_list(member).alias("y")).drop("block")
-    apart = near.where("component <> home").groupBy("a", "block").agg(F.collect_list(member).alias("x")).drop("block")
-    more = apart.join(every, "a").select("x", "y").mapInArrow(_cross, "a long, b long")
+    every = near.groupBy("a", "block").agg(F.collect_list(member).alias("y"))
+    apart = near.where("component <> home").groupBy("a", "block", "blocks").agg(F.collect_list(member).alias("x"))
+    apart = apart.select("a", "x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    more = apart.join(every, ["a", "block"]).select("x", "y").mapInArrow(_cross, "a long, b long")
     groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     labels = classes.select("d1", "d2", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
     labels = labels.select("d1", "d2", F.coalesce("component", "rep").alias("label"))
     out = sketch.drop("minima").join(labels, ["d1", "d2"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("label", "doc_id")).otherwise(F.col("doc_id"))
+    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    component = F.when(linked, F.coalesce("label", "doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows of a component other than its smallest doc_id;
-    of repeated rows with that doc_id all stay, as they share it."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    of repeated rows with that doc_id all stay, as they share it; so do rows with a
+    null doc_id."""
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*docs.columns)
