@@ -82,10 +82,10 @@ FROM base
 """
 
 _OP5 = r"""
-WITH doc AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
-spot AS (
-  SELECT doc_id, p, substr(h, CAST(2 * p + 1 AS BIGINT), 100) AS s
-  FROM doc, unnest(range(0, length(h) // 2 - 49)) AS u(p)
+WITH doc AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS raw, lower(hex(encode(coalesce(text, '')))) AS h FROM documents
+), spot AS (
+  SELECT doc_id, p, raw[p + 1:p + 50] AS s FROM doc, unnest(range(0, octet_length(raw) - 49)) AS u(p)
 ), low AS (SELECT s, min(doc_id) AS first FROM spot GROUP BY s HAVING min(doc_id) < max(doc_id)),
 hit AS (SELECT doc_id, p FROM spot JOIN low USING (s) WHERE first < doc_id),
 gaps AS (
