@@ -164,6 +164,7 @@ def _rows(batches, *columns):
         cols = [batch.column(batch.schema.get_field_index(c)) for c in columns]
         for i in range(batch.num_rows):
             yield {c: col[i].as_py() for c, col in zip(columns, cols, strict=True)}
+    T.give_back()
 
 
 def _pack_sorted(values: np.ndarray) -> bytes:

@@ -8,6 +8,7 @@ a few numpy passes, without a Python object per word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -16,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 HASH_SLICE = 1 << 19
 U64 = np.uint64
 
@@ -64,6 +65,16 @@ def blocks(
                 batch.slice(i, j - i), raw[base : off[j]], off[i:j] - base, off[i + 1 : j + 1] - base
             )
             i = j
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker outlives its tasks, and the
+    arrays of one operator should not add to those of the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
 
 
 def byte_class(pattern_bytes) -> np.ndarray:
