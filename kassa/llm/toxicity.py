@@ -36,7 +36,7 @@ GRAMS = (3, 4, 5, 6)
 BITS = 18
 SHRINK = 4.0
 MAX_TOXIC = 3000
-MAX_CLEAN = 9000
+MAX_CLEAN = 6000
 THRESHOLD = 0.7
 INPUTS = 4
 _SPACE = np.uint8(0x20)
@@ -241,7 +241,7 @@ def window_scores(p: dict, x: np.ndarray, bounds: np.ndarray, part: int = 8192)
     return out, first, doc
 
 
-def train(texts: list[bytes], toxic: np.ndarray, rounds: int = 4, epochs: int = 6, seed: int = 7) -> dict | None:
+def train(texts: list[bytes], toxic: np.ndarray, rounds: int = 4, steps: int = 400, seed: int = 7) -> dict | None:
     """Model from documents and their labels; None without both kinds."""
     toxic = np.asarray(toxic, bool)
     if toxic.all() or not toxic.any():
@@ -255,11 +255,13 @@ def train(texts: list[bytes], toxic: np.ndarray, rounds: int = 4, epochs: int =
     for mine in (half, ~half):
         odds = _odds([t for t, m in zip(texts, mine, strict=True) if not m], toxic[~mine])
         own = [t for t, m in zip(texts, mine, strict=True) if m]
-        data, first, last, b = _parted(own)
-        x.append(features(data, first, last, odds))
-        bounds.extend((b[1:] + bounds[-1]).tolist())
+        for at in range(0, len(own), 200):  # a few texts at a time, to keep the driver small
+            data, first, last, b = _parted(own[at : at + 200])
+            x.append(features(data, first, last, odds))
+            bounds.extend((b[1:] + bounds[-1]).tolist())
         labels.append(toxic[mine])
     inputs, ends, label = np.concatenate(x, axis=1), np.array(bounds), np.concatenate(labels)
+    del x
     p = new_parameters(seed)
     moment = {k: np.zeros_like(v) for k, v in p.items()}
     square = {k: np.zeros_like(v) for k, v in p.items()}
@@ -274,20 +276,18 @@ def train(texts: list[bytes], toxic: np.ndarray, rounds: int = 4, epochs: int =
         # a clean document's every window is clean: some of its others too
         others = rng.permutation(np.flatnonzero(~label[doc]))[: len(top)]
         chosen = np.concatenate([top, others])
-        for _ in range(epochs):
-            chosen = rng.permutation(chosen)
-            for a in range(0, len(chosen), 256):
-                own = chosen[a : a + 256]
-                xs, live = _gather(inputs, first[own], ends[1:][doc[own]])
-                y = label[doc[own]].astype(np.float32)
-                logit, held = forward(p, xs, live, keep=True)
-                g = backward(p, xs, live, held, ((_sigmoid(logit) - y) / len(own)).astype(np.float32))
-                step += 1
-                for k in p:
-                    moment[k] = 0.9 * moment[k] + 0.1 * g[k]
-                    square[k] = 0.999 * square[k] + 0.001 * g[k] ** 2
-                    rate = 0.01 * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-                    p[k] = (p[k] - rate * moment[k] / (np.sqrt(square[k]) + 1e-8)).astype(np.float32)
+        for _ in range(steps):  # the same work for a sample of any size
+            own = rng.choice(chosen, 256)
+            xs, live = _gather(inputs, first[own], ends[1:][doc[own]])
+            y = label[doc[own]].astype(np.float32)
+            logit, held = forward(p, xs, live, keep=True)
+            g = backward(p, xs, live, held, ((_sigmoid(logit) - y) / len(own)).astype(np.float32))
+            step += 1
+            for k in p:
+                moment[k] = 0.9 * moment[k] + 0.1 * g[k]
+                square[k] = 0.999 * square[k] + 0.001 * g[k] ** 2
+                rate = 0.01 * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+                p[k] = (p[k] - rate * moment[k] / (np.sqrt(square[k]) + 1e-8)).astype(np.float32)
         rank = window_scores(p, inputs, ends)[0]
     return {"network": p, "odds": _odds(texts, toxic)}
 
@@ -315,8 +315,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clea
     ]
     # at most max_toxic + max_clean rows of two numbers: a proven bound
     rows = docs.select("doc_id", "text").join(F.broadcast(picked[0].union(picked[1])), "doc_id")
-    rows = sorted((r.doc_id, r.toxic, r.text or "") for r in rows.distinct().collect())
-    return [r[2].encode() for r in rows], np.array([r[1] for r in rows], bool)
+    rows = sorted((r.doc_id, r.toxic, (r.text or "").encode()) for r in rows.distinct().toLocalIterator())
+    return [r[2] for r in rows], np.array([r[1] for r in rows], bool)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> dict | None:
