@@ -5,15 +5,19 @@ fits a host and its subdomains if the path starts with the rule's; the longest
 rule wins.  Without a rule the method decides:
 
 * Each part of the host (between dots and other signs) is split into words by a
-  unigram Viterbi pass over a dictionary: counts of the letters-only tokens of
-  all hosts in the table, plus ``SEED_WORDS``.  Unknown stretches cost more by the
-  letter than any word.  Path tokens are taken as they are.
+  unigram Viterbi pass over a dictionary: on how many distinct hosts a
+  letters-only token stands in host or path, plus ``SEED_WORDS`` with a share of
+  the total.  A part as a whole is a word by its uses elsewhere only: in the path,
+  or next to other tokens of a label, of hosts with no label of that name.  A name
+  without such uses costs as a new word, by the letter, so its own pages never
+  keep it from being split.  Unknown stretches cost more by the letter than any
+  word.  Path tokens are taken as they are.
 * A multinomial naive Bayes over these words says allow or block.  It is trained
   on the distinct hosts and digit-free paths that a rule decides, leaving out words that the rules themselves
   name (they would only repeat the rules), with ``SEED_WORDS`` as block words that
   weigh ``SEED_WEIGHT`` times what allowed urls say of them.
 
-The dictionary counts every host; the ``MAX_WORDS`` most frequent tokens are
+The dictionary counts every distinct host; the ``MAX_WORDS`` most frequent tokens are
 kept, which bounds what is broadcast, and so are the classifier's words.
 
 Null urls and urls without ``://`` have empty host and path and are judged like
@@ -65,7 +69,8 @@ SEED_WORDS = (
 )
 MAX_WORDS = 200_000
 SEED_WEIGHT = 20
-SEED_COUNT = 50  # of each seed word in the dictionary
+SEED_COUNT = 50  # of each seed word in the dictionary, at least
+SEED_SHARE = 1000  # and one in so many of all its counts
 LONGEST = 24
 #: Prior log-odds: the rules' own shares say nothing of the urls beyond them, and
 #: a host is blocked only on more than weak evidence.
@@ -96,14 +101,24 @@ def longest_rule(host: Column, path: Column, rules: tuple) -> tuple[Column, Colu
 
 
 class Splitter:
-    """Unigram Viterbi segmentation."""
+    """Unigram Viterbi segmentation; ``alone``: counts of the words as whole parts,
+    where they are not ``counts``."""
 
-    def __init__(self, counts: dict[str, int]):
+    def __init__(self, counts: dict[str, int], alone: dict[str, int] | None = None):
         total = sum(counts.values()) + 1
+        self.total = total
+        self.alone = alone
         self.cost = {w: math.log(total / n) for w, n in counts.items() if len(w) <= LONGEST}
         self.letter = math.log(total) + 2.0  # a letter outside of words
         self.held: dict[str, list[str]] = {}
 
+    def whole(self, text: str) -> float:
+        """Cost of a known word that is a part of its own."""
+        if self.alone is None:
+            return self.cost[text]
+        uses = self.alone.get(text, 0)
+        return math.log(self.total / uses) if uses else math.log(self.total) + len(text) * math.log(26)
+
     def split(self, text: str) -> list[str]:
         """Words of one part, unknown stretches kept together."""
         if text in self.held:
@@ -114,6 +129,8 @@ class Splitter:
             cost, start = best[j - 1] + self.letter, j - 1
             for i in range(max(0, j - LONGEST), j):
                 own = self.cost.get(text[i:j])
+                if own is not None and j - i == len(text):
+                    own = self.whole(text)
                 if own is not None and best[i] + own < cost:
                     cost, start = best[i] + own, i
             best.append(cost)
@@ -143,7 +160,7 @@ class Splitter:
 
 def _token_rows(held):
     def rows(batches):
-        splitter = Splitter(held.value)
+        splitter = Splitter(*held.value)
         for batch in batches:
             host, path, verdict = (batch.column(k).to_pylist() for k in range(3))
             out = [(w, v) for h, p, v in zip(host, path, verdict, strict=True) for w in splitter.tokens(h, p)]
@@ -154,16 +171,31 @@ def _token_rows(held):
     return rows
 
 
-def fit(urls: DataFrame, rules: tuple = RULES, max_words: int = MAX_WORDS) -> tuple[dict, dict, float]:
+def _tokens(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(r"(\p{L}+)"), 1)
+
+
+def word_counts(urls: DataFrame) -> DataFrame:
+    """word, n, alone: distinct hosts that use a word, and those of them that use
+    it in the path or next to other tokens of a label and have no label of that name."""
+    labels = urls.select("host").distinct().select("host", F.explode(F.split("host", "[.]")).alias("label"))
+    labels = labels.select("host", _tokens(F.col("label")).alias("own"))
+    named = labels.select("host", F.explode("own").alias("word"), (F.size("own") == 1).alias("named"))
+    paths = urls.select("host", F.explode(_tokens(F.lower("path"))).alias("word"), F.lit(False).alias("named"))
+    uses = named.union(paths).groupBy("host", "word").agg(F.max("named").alias("named"))
+    return uses.groupBy("word").agg(F.count("*").alias("n"), F.sum((~F.col("named")).cast("long")).alias("alone"))
+
+
+def fit(urls: DataFrame, rules: tuple = RULES, max_words: int = MAX_WORDS) -> tuple[tuple, dict, float]:
     """Dictionary, weights of words (positive: block), and the constant, from
     ``urls(host, path, verdict)``."""
-    part = F.explode(F.regexp_extract_all("host", F.lit(r"(\p{L}+)"), 1)).alias("word")
-    counted = urls.select(part).groupBy("word").agg(F.count("*").alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(max_words).collect()
-    counts = {r.word: r.n for r in top}
+    top = word_counts(urls).orderBy(F.desc("n"), "word").limit(max_words).collect()
+    counts, alone = {r.word: r.n for r in top}, {r.word: r.alone for r in top}
+    seeds = max(SEED_COUNT, sum(counts.values()) // SEED_SHARE)
     for word in SEED_WORDS:
-        counts[word] = counts.get(word, 0) + SEED_COUNT
-    held = urls.sparkSession.sparkContext.broadcast(counts)
+        counts[word] = counts.get(word, 0) + seeds
+        alone[word] = alone.get(word, 0) + seeds
+    held = urls.sparkSession.sparkContext.broadcast((counts, alone))
     # many pages of one host say no more than one
     plain = F.regexp_replace("path", r"\d+", "").alias("path")
     labelled = urls.where("verdict IS NOT NULL").select("host", plain, "verdict").distinct()
@@ -179,13 +211,13 @@ def fit(urls: DataFrame, rules: tuple = RULES, max_words: int = MAX_WORDS) -> tu
         good.setdefault(word, 0)
     n_bad, n_good = sum(bad.values()) + len(bad), sum(good.values()) + len(bad)
     weights = {w: math.log((bad[w] + 1) / n_bad) - math.log((good[w] + 1) / n_good) for w in bad}
-    return counts, weights, CAUTION
+    return (counts, alone), weights, CAUTION
 
 
 def _judge(held):
     def judge(batches):
         counts, weights, constant = held.value
-        splitter = Splitter(counts)
+        splitter = Splitter(*counts)
         for batch in batches:
             host, path = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             score = [constant + sum(weights.get(w, 0.0) for w in splitter.tokens(h, p)) for h, p in zip(host, path, strict=True)]

@@ -1,3 +1,6 @@
+import itertools
+import random
+
 import duckdb
 
 from kassa.llm import url_filter as U
@@ -80,3 +83,39 @@ def test_viterbi():
     assert s.split("freebets") == ["free", "bets"]
     assert s.split("qqfreezz") == ["qq", "free", "zz"]
     assert s.split("") == []
+
+
+def planted(sites=8000):
+    """Urls of many hosts with rare names, half of them ruled, and planted names."""
+    rng = random.Random(5)
+    sound = ["".join(p) for p in itertools.product("bdfgklmnrt", "aeiou")]
+    urls = []
+    for i in range(sites):
+        name = "".join(rng.choice(sound) for _ in range(4))
+        if i % 2:
+            urls += [f"http://{name}.example.org/{rng.choice(('es', 'fr'))}/{rng.choice(sound) * 2}/{k}" for k in range(3)]
+        else:
+            urls += [f"http://{name}.example.net/{rng.choice(sound) * 2}/{k}" for k in range(3)]
+    names = {"cheappills": "block", "pokerbets": "block", "casinowin": "block", "darwin": "allow", "garden": "allow"}
+    for name in names:
+        urls += [f"http://{sub}{name}.example.net/{k}.html" for sub in ("", "www.", "m.") for k in range(40)]
+    # a word of its own elsewhere, though it could be split as well
+    urls += [f"http://dar-{k}.example.net/dar/darwin" for k in range(20)]
+    return list(enumerate(urls)), names
+
+
+def test_planted_names_in_a_large_table(spark):
+    rows, names = planted()
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    by_id = dict(rows)
+    got = U.filter_urls(pages).collect()
+    check(rows, got)
+    for name, verdict in names.items():
+        own = {r.verdict for r in got if f"{name}.example.net" in by_id[r.page_id]}
+        assert own == {verdict}, name
+
+
+def test_own_pages_of_a_name_do_not_count(spark):
+    rows = [("www.cheappills.com", "/cheappills/1"), ("m.cheappills.net", "/2"), ("a.org", "/garden"), ("my-garden.org", "/")]
+    got = {r.word: (r.n, r.alone) for r in U.word_counts(spark.createDataFrame(rows * 3, "host string, path string")).collect()}
+    assert (got["cheappills"], got["garden"], got["org"], got["my"]) == ((2, 0), (2, 2), (2, 0), (1, 1))
