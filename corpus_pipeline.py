@@ -19,6 +19,12 @@ from kassa.llm.suffix_dedup import remove_repeats
 from kassa.session import ensure_checkpoint_dir
 
 
+#: Of the near_duplicates stage: words a shingle, and similarity in hundredths.
+#: tests/llm/test_pipeline.py holds the stage to these; REPLY_r02.md has more.
+SHINGLE = 3
+PERCENT = 85
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass, without the lines that fail."""
     session(spark)
@@ -28,7 +34,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of each group of near-duplicates."""
     session(spark)
-    return keep_one(docs)
+    return keep_one(docs, SHINGLE, PERCENT)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

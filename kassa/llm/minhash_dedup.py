@@ -1,14 +1,18 @@
 """MinHash near-duplicates with tensored tables, links confirmed on full sets.
 
-A document's set: its distinct 3-word shingles (words ``[^\\x20\\x09-\\x0D]+``,
-A-Z lower-cased); fewer words: the whole sequence as one shingle; no words or
-null text: the empty set, linked with nothing.
+A document's set: its distinct shingles of ``width`` words (words
+``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased); fewer words: the whole sequence as one
+shingle; no words or null text: the empty set, linked with nothing.
 
-Two collections of ``HALVES`` small keys each (``ROWS`` minima a key) are drawn
-from ``2 * HALVES * ROWS`` hash functions; a table key is a pair of one key of
-either collection.  ``HALVES ** 2`` tables of ``2 * ROWS`` minima thus cost 72
-minima instead of 864.  A pair at the limit of 0.85 misses all tables with
-probability 2 * (1 - 0.85 ** 3) ** 12, about 2e-5, and closer pairs with less.
+Documents are linked from a Jaccard similarity of ``percent`` hundredths on.  The
+registered query takes ``SHINGLE`` words and ``PERCENT``; callers may name others.
+
+Two collections of H small keys each (``ROWS`` minima a key) are drawn from
+``2 * H * ROWS`` hash functions; a table key is a pair of one key of either
+collection.  ``H ** 2`` tables of ``2 * ROWS`` minima thus cost 72 minima instead of
+864 for 12 keys.  A pair at the limit s misses all tables with probability
+2 * (1 - s ** 3) ** H, and closer pairs with less; ``keys_a_side`` takes the least
+H that keeps it at ``MISS`` or below: 12 at 0.85, 16 at 0.8.
 
 Documents with equal sets form one class, so copies cost one row each.  Within
 a table key every class is compared, on full shingle sets, with the key's centre,
@@ -24,6 +28,8 @@ are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -36,12 +42,23 @@ from kassa.llm.store import save
 
 SHINGLE = 3
 PERCENT = 85
-HALVES = 12
 ROWS = 3
+MISS = 2.2e-5
 BLOCK = 512
-N_HASHES = 2 * HALVES * ROWS
-_MULT = T.mix(np.arange(1001, 1001 + N_HASHES, dtype=np.uint64)) | np.uint64(1)
-_SALT = T.mix(np.arange(5001, 5001 + N_HASHES, dtype=np.uint64))
+
+
+def keys_a_side(percent: int) -> int:
+    """Keys in each of the two collections for a limit of ``percent``."""
+    if not 1 <= percent <= 100:
+        raise ValueError(f"percent must be 1 to 100: {percent}")
+    apart = 1 - (percent / 100) ** ROWS
+    return max(1, math.ceil(math.log(MISS / 2) / math.log(apart))) if apart > 0 else 1
+
+
+def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and salts of the first ``n`` hash functions."""
+    steps = np.arange(n, dtype=np.uint64)
+    return T.mix(steps + np.uint64(1001)) | np.uint64(1), T.mix(steps + np.uint64(5001))
 
 
 def shingle_sets(block: T.Block, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -71,30 +88,35 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def _sketch(batches):
-    for block in T.blocks(batches):
-        hashes, bounds = shingle_sets(block)
-        sizes = np.diff(bounds)
-        some = np.flatnonzero(sizes)
-        minima = np.zeros((len(block), N_HASHES), np.int32)
-        if len(some):
-            # only starts of non-empty sets: reduceat then ends each at the next start
-            at = bounds[:-1][some]
-            for k in range(N_HASHES):
-                low = np.minimum.reduceat((hashes ^ _SALT[k]) * _MULT[k], at)
-                minima[some, k] = (low >> np.uint64(32)).astype(np.uint32).view(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [
-                block.batch.column(0).cast(pa.int64()),
-                pa.array(sizes.astype(np.int64)),
-                pa.array(_sums(T.mix(hashes), bounds).view(np.int64)),
-                pa.array(_sums(T.mix(hashes ^ np.uint64(0xABCDEF12345)), bounds).view(np.int64)),
-                pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(block) + 1, dtype=np.int32) * N_HASHES), pa.array(minima.ravel())
-                ),
-            ],
-            names=["doc_id", "n_shingles", "d1", "d2", "minima"],
-        )
+def _sketch(width: int, n_hashes: int):
+    mult, salt = _functions(n_hashes)
+
+    def sketch(batches):
+        for block in T.blocks(batches):
+            hashes, bounds = shingle_sets(block, width)
+            sizes = np.diff(bounds)
+            some = np.flatnonzero(sizes)
+            minima = np.zeros((len(block), n_hashes), np.int32)
+            if len(some):
+                # only starts of non-empty sets: reduceat then ends each at the next start
+                at = bounds[:-1][some]
+                for k in range(n_hashes):
+                    low = np.minimum.reduceat((hashes ^ salt[k]) * mult[k], at)
+                    minima[some, k] = (low >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    block.batch.column(0).cast(pa.int64()),
+                    pa.array(sizes.astype(np.int64)),
+                    pa.array(_sums(T.mix(hashes), bounds).view(np.int64)),
+                    pa.array(_sums(T.mix(hashes ^ np.uint64(0xABCDEF12345)), bounds).view(np.int64)),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.arange(len(block) + 1, dtype=np.int32) * n_hashes), pa.array(minima.ravel())
+                    ),
+                ],
+                names=["doc_id", "n_shingles", "d1", "d2", "minima"],
+            )
+
+    return sketch
 
 
 _SKETCH = "doc_id long, n_shingles long, d1 long, d2 long, minima array<int>"
@@ -110,35 +132,39 @@ def _squeeze(batches):
         )
 
 
-def _compare(batches):
+def _compare(width: int, percent: int):
     """Rows (a, b, packed texts of both) -> how ``b``'s set differs from ``a``'s:
     which of a's sorted shingles it lacks (bits) and which it adds."""
-    unpack = zstandard.ZstdDecompressor()
-
-    def own(packed: bytes) -> np.ndarray:
-        data = np.frombuffer(unpack.decompress(packed), np.uint8)
-        ends = np.array([len(data)])
-        return shingle_sets(T.Block(None, data, np.zeros(1, int), ends))[0]
-
-    centre, held = None, None
-    for batch in batches:
-        a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        rows: list[tuple] = []
-        for i in range(len(a)):
-            if centre != a[i]:
-                centre, held = a[i], own(batch.column(2)[i].as_py())
-            other = own(batch.column(3)[i].as_py())
-            there = other[np.minimum(np.searchsorted(other, held), len(other) - 1)] == held
-            both = int(np.count_nonzero(there))
-            new = held[np.minimum(np.searchsorted(held, other), len(held) - 1)] != other
-            linked = 100 * both >= PERCENT * (len(held) + len(other) - both)
-            rows.append((linked, len(held), len(other), np.packbits(~there).tobytes(), other[new].tobytes()))
-        columns = list(zip(*rows, strict=True)) or [[], [], [], [], []]
-        kinds = (pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
-            names=["a", "b", "linked", "n_a", "n_b", "gone", "added"],
-        )
+
+    def compare(batches):
+        unpack = zstandard.ZstdDecompressor()
+
+        def own(packed: bytes) -> np.ndarray:
+            data = np.frombuffer(unpack.decompress(packed), np.uint8)
+            ends = np.array([len(data)])
+            return shingle_sets(T.Block(None, data, np.zeros(1, int), ends), width)[0]
+
+        centre, held = None, None
+        for batch in batches:
+            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            rows: list[tuple] = []
+            for i in range(len(a)):
+                if centre != a[i]:
+                    centre, held = a[i], own(batch.column(2)[i].as_py())
+                other = own(batch.column(3)[i].as_py())
+                there = other[np.minimum(np.searchsorted(other, held), len(other) - 1)] == held
+                both = int(np.count_nonzero(there))
+                new = held[np.minimum(np.searchsorted(held, other), len(held) - 1)] != other
+                linked = 100 * both >= percent * (len(held) + len(other) - both)
+                rows.append((linked, len(held), len(other), np.packbits(~there).tobytes(), other[new].tobytes()))
+            columns = list(zip(*rows, strict=True)) or [[], [], [], [], []]
+            kinds = (pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+                names=["a", "b", "linked", "n_a", "n_b", "gone", "added"],
+            )
+
+    return compare
 
 
 _COMPARED = "a long, b long, linked boolean, n_a long, n_b long, gone binary, added binary"
@@ -164,40 +190,51 @@ def _shared_additions(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _cross(batches):
+def _cross(percent: int):
     """Rows of two blocks of sets that were compared with one centre -> links
     between them.  With R what a set lacks of the centre and A what it adds, two
     sets have n - |R1| - |R2| + |R1 & R2| + |A1 & A2| shingles in common."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            sides = []
-            for k in (0, 1):
-                rows = batch.column(k)[i].as_py()
-                n = rows[0]["n_a"]
-                gone = np.stack([np.unpackbits(np.frombuffer(r["gone"], np.uint8), count=n) for r in rows])
-                sides.append(
-                    (
-                        np.array([r["b"] for r in rows], np.int64),
-                        np.array([r["component"] for r in rows], np.int64),
-                        np.array([r["n_b"] for r in rows], np.float64),
-                        gone.astype(np.float32),
-                        [np.frombuffer(r["added"], np.uint64) for r in rows],
+
+    def cross(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                sides = []
+                for k in (0, 1):
+                    rows = batch.column(k)[i].as_py()
+                    n = rows[0]["n_a"]
+                    gone = np.stack([np.unpackbits(np.frombuffer(r["gone"], np.uint8), count=n) for r in rows])
+                    sides.append(
+                        (
+                            np.array([r["b"] for r in rows], np.int64),
+                            np.array([r["component"] for r in rows], np.int64),
+                            np.array([r["n_b"] for r in rows], np.float64),
+                            gone.astype(np.float32),
+                            [np.frombuffer(r["added"], np.uint64) for r in rows],
+                        )
                     )
-                )
-            (b1, c1, n1, g1, a1), (b2, c2, n2, g2, a2) = sides
-            both = n - g1.sum(axis=1)[:, None] - g2.sum(axis=1)[None, :] + g1 @ g2.T + _shared_additions(a1, a2)
-            linked = (100 * both >= PERCENT * (n1[:, None] + n2[None, :] - both)) & (c1[:, None] != c2[None, :])
-            x, y = np.nonzero(linked)
-            # one link for each pair of components is enough
-            _, once = np.unique(np.stack([c1[x], c2[y]], axis=1), axis=0, return_index=True)
-            x, y = x[once], y[once]
-            yield pa.RecordBatch.from_arrays([pa.array(b1[x]), pa.array(b2[y])], names=["a", "b"])
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                (b1, c1, n1, g1, a1), (b2, c2, n2, g2, a2) = sides
+                both = n - g1.sum(axis=1)[:, None] - g2.sum(axis=1)[None, :] + g1 @ g2.T + _shared_additions(a1, a2)
+                linked = (100 * both >= percent * (n1[:, None] + n2[None, :] - both)) & (c1[:, None] != c2[None, :])
+                x, y = np.nonzero(linked)
+                # one link for each pair of components is enough
+                _, once = np.unique(np.stack([c1[x], c2[y]], axis=1), axis=0, return_index=True)
+                x, y = x[once], y[once]
+                yield pa.RecordBatch.from_arrays([pa.array(b1[x]), pa.array(b2[y])], names=["a", "b"])
+
+    return cross
+
+
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = SHINGLE,
+    percent: int = PERCENT,
+) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs``."""
+    n_halves = keys_a_side(percent)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sketch = save(source.mapInArrow(_sketch, _SKETCH), "sketch")
+    sketch = save(source.mapInArrow(_sketch(width, 2 * n_halves * ROWS), _SKETCH), "sketch")
     classes = save(
         sketch.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("d1", "d2")
@@ -210,7 +247,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             F.array(
                 *[
                     F.xxhash64(F.lit(k), *[F.col("minima")[k * ROWS + r] for r in range(ROWS)])
-                    for k in range(2 * HALVES)
+                    for k in range(2 * n_halves)
                 ]
             )
         ).alias("k", "half"),
@@ -221,8 +258,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         halves.join(shared, "half")
         .groupBy("rep")
         .agg(
-            F.collect_list(F.when(F.col("k") < HALVES, F.col("half"))).alias("left"),
-            F.collect_list(F.when(F.col("k") >= HALVES, F.col("half"))).alias("right"),
+            F.collect_list(F.when(F.col("k") < n_halves, F.col("half"))).alias("left"),
+            F.collect_list(F.when(F.col("k") >= n_halves, F.col("half"))).alias("right"),
             F.sum("n").alias("company"),
         )
     )
@@ -244,7 +281,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = source.join(ids.hint("merge"), "id", "left_semi").mapInArrow(_squeeze, "id long, packed binary")
     texts = save(texts.dropDuplicates(["id"]), "texts")  # repeated rows with one doc_id
     rows = star.join(texts.toDF("b", "pb"), "b").join(texts.toDF("a", "pa"), "a")
-    compared = save(rows.select("a", "b", "pa", "pb").mapInArrow(_compare, _COMPARED), "compared")
+    compared = save(rows.select("a", "b", "pa", "pb").mapInArrow(_compare(width, percent), _COMPARED), "compared")
     groups = components(compared.where("linked").select("a", "b"))
 
     # sets compared with one centre, but not in one component: compared with each other
@@ -264,7 +301,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     every = near.groupBy("a", "block").agg(F.collect_list(member).alias("y"))
     apart = near.where("component <> home").groupBy("a", "block", "blocks").agg(F.collect_list(member).alias("x"))
     apart = apart.select("a", "x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    more = apart.join(every, ["a", "block"]).select("x", "y").mapInArrow(_cross, "a long, b long")
+    more = apart.join(every, ["a", "block"]).select("x", "y").mapInArrow(_cross(percent), "a long, b long")
     groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     labels = classes.select("d1", "d2", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
@@ -277,9 +314,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the rows of a component other than its smallest doc_id;
     of repeated rows with that doc_id all stay, as they share it; so do rows with a
     null doc_id."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = near_duplicates(docs, width=width, percent=percent).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*docs.columns)

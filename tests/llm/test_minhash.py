@@ -72,3 +72,21 @@ def test_empty_table_and_one_of_each_group(spark):
     kept = keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 8, 10]
+
+
+def test_tables_for_a_limit():
+    assert (minhash_dedup.keys_a_side(85), minhash_dedup.keys_a_side(80), minhash_dedup.keys_a_side(100)) == (12, 16, 1)
+
+
+def test_five_words_and_four_fifths(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(40):
+        text = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        footer = [f"f{rng.randrange(10**6)}" for _ in range(55 + i)]  # similarity 0.84 to 0.76
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(text + footer))]
+    docs = frame(spark, rows)
+    kept = {r.doc_id for r in keep_one(docs, width=5, percent=80).collect()}
+    # 296 five-word shingles and one more for each added word
+    want = {2 * i for i in range(40)} | {2 * i + 1 for i in range(40) if 100 * 296 < 80 * (296 + 55 + i)}
+    assert kept == want and 40 < len(want) < 80
