@@ -17,8 +17,10 @@ rule wins.  Without a rule the method decides:
   name (they would only repeat the rules), with ``SEED_WORDS`` as block words that
   weigh ``SEED_WEIGHT`` times what allowed urls say of them.
 
-The dictionary counts every distinct host; the ``MAX_WORDS`` most frequent tokens are
-kept, which bounds what is broadcast, and so are the classifier's words.
+Dictionary, segments and weights are Spark tables without a limit.  Distinct parts
+meet the dictionary rows of their substrings (at most ``LONGEST`` a position) and are
+split one by one; weights are summed for distinct hosts and for distinct words of
+paths, exactly, as decimals, and joined to the urls.
 
 Null urls and urls without ``://`` have empty host and path and are judged like
 any other.  Rows, also repeated ones, are judged one by one; an empty table
@@ -31,7 +33,7 @@ import math
 import re
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kassa.llm.store import save
@@ -67,7 +69,6 @@ SEED_WORDS = (
     "win",
     "xxx",
 )
-MAX_WORDS = 200_000
 SEED_WEIGHT = 20
 SEED_COUNT = 50  # of each seed word in the dictionary, at least
 SEED_SHARE = 1000  # and one in so many of all its counts
@@ -102,15 +103,14 @@ def longest_rule(host: Column, path: Column, rules: tuple) -> tuple[Column, Colu
 
 class Splitter:
     """Unigram Viterbi segmentation; ``alone``: counts of the words as whole parts,
-    where they are not ``counts``."""
+    where they are not ``counts``; ``total``: that of a dictionary of which
+    ``counts`` are a part."""
 
-    def __init__(self, counts: dict[str, int], alone: dict[str, int] | None = None):
-        total = sum(counts.values()) + 1
-        self.total = total
+    def __init__(self, counts: dict[str, int], alone: dict[str, int] | None = None, total: int | None = None):
+        self.total = total or sum(counts.values()) + 1
         self.alone = alone
-        self.cost = {w: math.log(total / n) for w, n in counts.items() if len(w) <= LONGEST}
-        self.letter = math.log(total) + 2.0  # a letter outside of words
-        self.held: dict[str, list[str]] = {}
+        self.cost = {w: math.log(self.total / n) for w, n in counts.items() if len(w) <= LONGEST}
+        self.letter = math.log(self.total) + 2.0  # a letter outside of words
 
     def whole(self, text: str) -> float:
         """Cost of a known word that is a part of its own."""
@@ -121,8 +121,6 @@ class Splitter:
 
     def split(self, text: str) -> list[str]:
         """Words of one part, unknown stretches kept together."""
-        if text in self.held:
-            return self.held[text]
         best = [0.0]
         back = [0]
         for j in range(1, len(text) + 1):
@@ -148,27 +146,32 @@ class Splitter:
             loose = not known
             j = back[j]
         words.reverse()
-        if len(self.held) < 100_000:
-            self.held[text] = words
         return words
 
-    def tokens(self, host: str, path: str) -> list[str]:
-        parts = re.findall(r"[^\W\d_]+", host)
-        words = [w for part in parts for w in self.split(part)]
-        return words + [p.lower() for p in re.findall(r"[^\W\d_]+", path)]
 
-
-def _token_rows(held):
-    def rows(batches):
-        splitter = Splitter(*held.value)
-        for batch in batches:
-            host, path, verdict = (batch.column(k).to_pylist() for k in range(3))
-            out = [(w, v) for h, p, v in zip(host, path, verdict, strict=True) for w in splitter.tokens(h, p)]
+def _pieces(batches):
+    """Distinct substrings of each part, none longer than ``LONGEST``."""
+    for batch in batches:
+        for number, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            n = len(text)
+            own = {text[i:j] for i in range(n) for j in range(i + 1, min(n, i + LONGEST) + 1)}
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[k] for x in out], pa.string()) for k in (0, 1)], names=["word", "verdict"]
+                [pa.array([number] * len(own), pa.int64()), pa.array(list(own), pa.string())], names=["id", "word"]
             )
 
-    return rows
+
+def _split(total: int):
+    def split(batches):
+        for batch in batches:
+            texts, known = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            out = []
+            for text, rows in zip(texts, known, strict=True):
+                rows = rows or []
+                counts, alone = {x["word"]: x["n"] for x in rows}, {x["word"]: x["alone"] for x in rows}
+                out.append(Splitter(counts, alone, total).split(text))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string()))], names=["part", "words"])
+
+    return split
 
 
 def _tokens(text: Column) -> Column:
@@ -186,49 +189,57 @@ def word_counts(urls: DataFrame) -> DataFrame:
     return uses.groupBy("word").agg(F.count("*").alias("n"), F.sum((~F.col("named")).cast("long")).alias("alone"))
 
 
-def fit(urls: DataFrame, rules: tuple = RULES, max_words: int = MAX_WORDS) -> tuple[tuple, dict, float]:
-    """Dictionary, weights of words (positive: block), and the constant, from
-    ``urls(host, path, verdict)``."""
-    top = word_counts(urls).orderBy(F.desc("n"), "word").limit(max_words).collect()
-    counts, alone = {r.word: r.n for r in top}, {r.word: r.alone for r in top}
-    seeds = max(SEED_COUNT, sum(counts.values()) // SEED_SHARE)
-    for word in SEED_WORDS:
-        counts[word] = counts.get(word, 0) + seeds
-        alone[word] = alone.get(word, 0) + seeds
-    held = urls.sparkSession.sparkContext.broadcast((counts, alone))
+def _seeds(spark: SparkSession, x: int, y: int) -> DataFrame:
+    rows = [(w, x, y) for w in SEED_WORDS]
+    return spark.createDataFrame(rows, "word string, x long, y long")
+
+
+def host_words(urls: DataFrame) -> DataFrame:
+    """host, word, times: the words that the parts of each distinct host are split into."""
+    counts = save(word_counts(urls), "words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    seeds = max(SEED_COUNT, total // SEED_SHARE)
+    total += seeds * len(SEED_WORDS) + 1
+    words = counts.union(_seeds(urls.sparkSession, seeds, seeds)).where(F.length("word") <= LONGEST)
+    words = words.groupBy("word").agg(F.sum("n").alias("n"), F.sum("alone").alias("alone"))
+    hosts = urls.select("host").distinct().select("host", F.explode(_tokens(F.col("host"))).alias("part"))
+    hosts = save(hosts, "parts")
+    parts = hosts.select("part").distinct().select(F.monotonically_increasing_id().alias("id"), "part")
+    parts = save(parts, "ids")  # written once, so that the numbers hold
+    known = parts.mapInArrow(_pieces, "id long, word string").join(words, "word")
+    known = known.groupBy("id").agg(F.collect_list(F.struct("word", "n", "alone")).alias("known"))
+    split = parts.join(known, "id", "left").select("part", "known")
+    split = save(split.mapInArrow(_split(total), "part string, words array<string>"), "split")
+    out = hosts.join(split, "part").select("host", F.explode("words").alias("word"))
+    return out.groupBy("host", "word").agg(F.count("*").alias("times"))
+
+
+def word_weights(urls: DataFrame, words: DataFrame, rules: tuple = RULES) -> DataFrame:
+    """word, weight (positive: block) from ``urls(host, path, verdict)`` and
+    ``words(host, word, times)``."""
     # many pages of one host say no more than one
     plain = F.regexp_replace("path", r"\d+", "").alias("path")
-    labelled = urls.where("verdict IS NOT NULL").select("host", plain, "verdict").distinct()
-    words = labelled.mapInArrow(_token_rows(held), "word string, verdict string")
+    labelled = save(urls.where("verdict IS NOT NULL").select("host", plain, "verdict").distinct(), "labelled")
     is_block = F.when(F.col("verdict") == "block", 1).otherwise(0)
-    sums = words.groupBy("word").agg(F.sum(is_block).alias("block"), F.sum(1 - is_block).alias("allow"))
-    rows = sums.orderBy(F.desc(F.col("block") + F.col("allow")), "word").limit(max_words).collect()
-    named = {w for _, text in rules for w in re.findall(r"[^\W\d_]+", text)}
-    bad = {r.word: r.block for r in rows if r.word not in named}
-    good = {r.word: r.allow for r in rows if r.word not in named}
-    for word in SEED_WORDS:
-        bad[word] = bad.get(word, 0) + SEED_WEIGHT * (good.get(word, 0) + 1)
-        good.setdefault(word, 0)
-    n_bad, n_good = sum(bad.values()) + len(bad), sum(good.values()) + len(bad)
-    weights = {w: math.log((bad[w] + 1) / n_bad) - math.log((good[w] + 1) / n_good) for w in bad}
-    return (counts, alone), weights, CAUTION
-
-
-def _judge(held):
-    def judge(batches):
-        counts, weights, constant = held.value
-        splitter = Splitter(*counts)
-        for batch in batches:
-            host, path = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            score = [constant + sum(weights.get(w, 0.0) for w in splitter.tokens(h, p)) for h, p in zip(host, path, strict=True)]
-            ruled = batch.column(4).to_pylist()
-            verdict = [r or ("block" if s > 0 else "allow") for r, s in zip(ruled, score, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array(verdict, pa.string()), pa.array(score, pa.float64())],
-                names=["page_id", "host", "path", "rule", "verdict", "score"],
-            )
-
-    return judge
+    sums = (F.sum(is_block).alias("block"), F.sum(1 - is_block).alias("allow"))
+    of_hosts = labelled.groupBy("host").agg(*sums).join(words, "host")
+    of_hosts = of_hosts.select("word", *[(F.col("times") * F.col(c)).alias(c) for c in ("block", "allow")])
+    of_paths = labelled.select(F.explode(_tokens(F.lower("path"))).alias("word"), "verdict").groupBy("word").agg(*sums)
+    named = sorted({w for _, text in rules for w in re.findall(r"[^\W\d_]+", text)})
+    every = of_hosts.union(of_paths).where(~F.col("word").isin(named)).union(_seeds(urls.sparkSession, 0, 0))
+    every = every.groupBy("word").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"))
+    seeded = F.col("block") + SEED_WEIGHT * (F.col("allow") + 1)
+    block = F.when(F.col("word").isin(list(SEED_WORDS)), seeded).otherwise(F.col("block"))
+    every = save(every.select("word", block.alias("block"), "allow"), "sums")
+    n_bad, n_good = every.agg(F.sum("block") + F.count("*"), F.sum("allow") + F.count("*")).first()
+    weight = F.log((F.col("block") + 1) / n_bad) - F.log((F.col("allow") + 1) / n_good)
+    return save(every.select("word", weight.cast("decimal(18,12)").alias("weight")), "weights")
+
+
+def _scores(rows: DataFrame, weights: DataFrame, key: str, name: str) -> DataFrame:
+    """Sum of the weights of the words of each key, from ``rows(key, word, times)``."""
+    total = F.sum(F.col("weight") * F.col("times")).alias(name)
+    return save(rows.join(weights, "word").groupBy(key).agg(total), name)
 
 
 def filter_urls(pages: DataFrame, rules: tuple = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -237,8 +248,19 @@ def filter_urls(pages: DataFrame, rules: tuple = RULES, id_col: str = "page_id",
     urls = pages.select(F.col(id_col).cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
     urls = save(urls.select("*", rule.alias("rule"), verdict.alias("ruled")), "urls")
-    model = fit(urls.select("host", "path", F.col("ruled").alias("verdict")), rules)
-    held = pages.sparkSession.sparkContext.broadcast(model)
-    return urls.mapInArrow(
-        _judge(held), "page_id long, host string, path string, rule string, verdict string, score double"
-    )
+    words = save(host_words(urls), "host_words")
+    weights = word_weights(urls.select("host", "path", F.col("ruled").alias("verdict")), words, rules)
+    said = F.array_join(_tokens(F.lower("path")), " ")
+    paths = urls.select(said.alias("said")).distinct()
+    # a number stands for the words of a path, which may be long, where each is a row
+    paths = save(paths.select(F.monotonically_increasing_id().alias("id"), "said"), "paths")
+    each = paths.select("id", F.explode(F.split("said", " ")).alias("word")).groupBy("id", "word")
+    of_hosts = _scores(words, weights, "host", "of_host")
+    of_paths = _scores(each.agg(F.count("*").alias("times")), weights, "id", "of_path")
+    of_paths = save(paths.join(of_paths, "id").select("said", "of_path"), "said")
+    out = urls.withColumn("said", said).join(of_hosts, "host", "left").join(of_paths, "said", "left")
+    zero = F.lit(0)
+    score = F.lit(CAUTION) + (F.coalesce("of_host", zero) + F.coalesce("of_path", zero)).cast("double")
+    out = out.withColumn("score", score)
+    verdict = F.coalesce("ruled", F.when(F.col("score") > 0, "block").otherwise("allow"))
+    return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")

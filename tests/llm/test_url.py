@@ -119,3 +119,14 @@ def test_own_pages_of_a_name_do_not_count(spark):
     rows = [("www.cheappills.com", "/cheappills/1"), ("m.cheappills.net", "/2"), ("a.org", "/garden"), ("my-garden.org", "/")]
     got = {r.word: (r.n, r.alone) for r in U.word_counts(spark.createDataFrame(rows * 3, "host string, path string")).collect()}
     assert (got["cheappills"], got["garden"], got["org"], got["my"]) == ((2, 0), (2, 2), (2, 0), (1, 1))
+
+
+def test_rare_words_count_however_many_there_are(spark):
+    many = itertools.islice(itertools.product("abcdefghijklmnopqrstuvw", repeat=4), 210_000)
+    urls = [
+        "http://filler.example.org/" + "/".join(map("".join, many)),
+        "http://first.example.org/es/zebra/zoo",
+        "http://zebrazoo.example.net/1",
+    ]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    assert {r.page_id: r.verdict for r in U.filter_urls(pages).collect()}[2] == "block"
