@@ -13,6 +13,7 @@ DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 PAGES = "page_id long, url string, html string"
+EMBEDDINGS = "vec_id long, embedding array<float>"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,6 +109,25 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages(spark, sf_dir))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kassa.llm.whitening import whiten
+
+    rows = session(spark).read.schema(EMBEDDINGS).parquet(f"{sf_dir}/embeddings.parquet")
+    return whiten(rows)
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kassa.llm.substring_dedup import remove_repeated_windows
+
+    return remove_repeated_windows(documents(spark, sf_dir).select("doc_id", "text"), with_text=False)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kassa.llm.filter_audit import audit_filters
+
+    return audit_filters(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_decontamination": op2_decontamination,
@@ -119,6 +139,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 

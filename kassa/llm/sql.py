@@ -184,10 +184,75 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_i
 FROM part LEFT JOIN size USING (doc_id)
 """
 
+_OP12 = rf"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_NOT_SPACE}) AS w FROM documents
+), spot AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS win FROM doc, unnest(range(1, len(w) - 33)) AS u(i)
+), twice AS (SELECT win FROM spot GROUP BY win HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM spot JOIN twice USING (win)
+), word AS (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM doc
+), kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS k FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+), lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+"""
+
+_OP13 = rf"""
+WITH RECURSIVE letter(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders(o) AS (
+  SELECT x FROM letter UNION ALL SELECT o || x FROM orders, letter WHERE NOT contains(o, x)
+), step AS (
+  SELECT o AS filter_order, CAST(i AS INT) AS step, o[i] AS f, o[1:i - 1] AS earlier
+  FROM orders, unnest([1, 2, 3, 4, 5]) AS u(i) WHERE length(o) = 5
+), doc AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), {_NOT_SPACE}) AS w
+  FROM documents
+), judged AS (
+  SELECT doc_id, part,
+         CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS failed
+  FROM doc
+), mark AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), grouped AS (
+  SELECT part, failed, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n
+  FROM judged LEFT JOIN mark USING (doc_id) GROUP BY ALL
+), told AS (
+  SELECT part, filter_order, step, f, n, good, toxic, contains(failed, f) AS fails, failed = f AS alone,
+         len(list_filter(string_split(earlier, ''), lambda x: x <> '' AND contains(failed, x))) > 0 AS went
+  FROM grouped, step
+), counts AS (
+  SELECT part, filter_order, step, f,
+         sum(CASE WHEN NOT fails AND NOT went THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN fails AND NOT went THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN fails AND went THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN alone THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN fails AND NOT went AND good THEN n ELSE 0 END) AS good_lost,
+         sum(CASE WHEN fails AND NOT went AND toxic THEN n ELSE 0 END) AS toxic_lost
+  FROM told GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counts
+"""
+
 SQL: dict[str, str] = {
     "op2_decontamination": _OP2,
     "op4_quality_rules": _OP4,
     "op5_suffix_dedup": _OP5,
     "op6_license_scan": _OP6,
     "op7_minhash_dedup": _OP7,
+    "op12_substring_dedup": _OP12,
+    "op13_filter_audit": _OP13,
 }
