@@ -95,13 +95,11 @@ def secular_roots(d: np.ndarray, z: np.ndarray, rho: float) -> tuple[np.ndarray,
             root = np.sqrt(np.maximum(q * q - 4 * c * r, 0))
             y = np.where(q > 0, 2 * r / (q + root), (q - root) / (2 * c))
             y = np.where(last, a + s / c, y)
+            more = np.abs(f) > 8 * _EPS * (1 + np.abs(psi) + np.abs(phi))
+            more &= ~(np.abs(y) <= 2 * _EPS * np.abs(at)) & (high[todo] - low[todo] > 2 * _EPS * np.abs(at))
             new = at + y
-            inside = (new >= low[todo]) & (new <= high[todo])
-            x[todo] = np.where(inside, new, (low[todo] + high[todo]) / 2)
-            # steps square their error: after one of 1e-8 nothing is left to gain
-            more = ~inside | (np.abs(y) > 1e-8 * np.abs(at))
-            more &= np.abs(f) > 8 * _EPS * (1 + np.abs(psi) + np.abs(phi))
-            more &= high[todo] - low[todo] > 2 * _EPS * np.abs(at)
+            new = np.where((new > low[todo]) & (new < high[todo]), new, (low[todo] + high[todo]) / 2)
+            x[todo] = np.where(more, new, at)
             todo = todo[more]
             if len(todo) == 0:
                 break
