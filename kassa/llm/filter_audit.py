@@ -95,8 +95,9 @@ def copies(texts: DataFrame, rows: DataFrame, spread: int = SPREAD) -> DataFrame
     narrow table of the same rows; what one hash's rows cost is proportional to
     their number."""
     several = rows.where("id is not null").groupBy("hash").agg(F.count("*").alias("rows")).where("rows > 1")
-    # written: the aggregate below keeps the join from being dealt anew if a hash is hot
-    shared = save(texts.where("id is not null").join(several, "hash"), "audit-shared")
+    # written: the aggregate below keeps the join from being dealt anew if a hash is hot;
+    # the same join at every size, so what is shuffled is in proportion to the texts
+    shared = save(texts.where("id is not null").join(several.hint("merge"), "hash"), "audit-shared")
     salts = F.ceil(F.col("rows") / spread).cast("int")
     left = shared.withColumn("salt", F.pmod(F.xxhash64("id"), salts).cast("int"))
     right = (
