@@ -10,7 +10,7 @@ from pyspark.sql.types import DecimalType, LongType
 
 from kassa.functions import timeutil as tu
 from kassa.functions.money import money
-from kassa.operators.sequence import ROW, SIZE, _prev, materialize, number_rows
+from kassa.operators.sequence import ROW, SIZE, _prev, number_rows
 from kassa.operators.shared import product_categories
 from kassa.sources.model import Shop
 
@@ -80,8 +80,7 @@ def purchase_patterns(
         .select("customer_id")
         .distinct()
     )
-    history = materialize(_completed(shop, in_year), "history")  # read by three branches below
-    seq = _sequence(history)
+    seq = order_sequence(shop, in_year)  # written once, as ranges; both branches below read those
     gap_days_dbl = F.col("gap_micros") / F.lit(float(MICROS_PER_DAY))
     amount = F.col("total_amount")
     patterns = (
@@ -100,16 +99,9 @@ def purchase_patterns(
         .filter(F.col("total_orders") >= min_orders)
     )
     # line items per top-level category for the customers that survived
-    # (from the un-numbered orders: the numbering is not needed here)
-    eligible = (
-        history.groupBy("customer_id")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= min_orders)
-        .select("customer_id")
-    )
     lines = (
-        history.select("order_id", "customer_id")
-        .join(eligible, "customer_id", "left_semi")
+        seq.where(F.col("total_orders") >= min_orders)
+        .select("order_id", "customer_id")
         .join(shop.order_items.select("order_id", "product_id"), "order_id")
         .join(product_categories(shop).select("product_id", "parent_category"), "product_id")
         .groupBy("customer_id", F.col("parent_category").alias("category"))

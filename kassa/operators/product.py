@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kassa.functions import timeutil as tu
 from kassa.functions.money import money, ratio
-from kassa.operators.sequence import RANK, SIZE, materialize, number_rows
+from kassa.operators.sequence import RANK, SIZE, _total, number_rows
 from kassa.operators.shared import product_categories, product_sales
 from kassa.sources.model import Shop
 
@@ -18,10 +18,9 @@ from kassa.sources.model import Shop
 def product_performance(shop: Shop, *, as_of: dt.date, tz: str = tu.REPORT_TZ) -> DataFrame:
     """Products with at least one completed sale.
 
-    Rank, percent rank and group size come from the range-partitioned
-    numbering of (category, revenue, product) alone (a category holding most
-    products is still spread over many tasks); the category total is an
-    aggregate, and names join last.
+    Rank, percent rank, group size and the category's total come from one
+    range-partitioned numbering (a category holding most products is still
+    spread over many tasks); names join last.
     """
     last_month = tu.add_months(tu.month_start(as_of), -1)
     sales = product_sales(shop, as_of=as_of, tz=tz)
@@ -29,19 +28,14 @@ def product_performance(shop: Shop, *, as_of: dt.date, tz: str = tu.REPORT_TZ) -
     j = sales.join(cats.select("product_id", "category_id"), "product_id").select(
         "product_id", "category_id", "units_sold", "revenue", "last_month_revenue", "prev_month_revenue"
     )
-    j = materialize(j, "product-sales")  # the join + aggregate runs once; all uses read the files
     ranked = number_rows(
-        j.select("category_id", "revenue", "product_id"),
+        j,
         ["category_id"],
         [("revenue", False), ("product_id", True)],
         rank_by=["revenue"],
+        totals=["revenue"],
     )
-    totals = j.groupBy(F.col("category_id").alias("_total_id")).agg(F.sum("revenue").alias("_category_revenue"))
-    r = (
-        ranked.join(totals, F.col("category_id").eqNullSafe(F.col("_total_id")))
-        .join(j.drop("category_id", "revenue"), "product_id")
-        .join(cats.drop("category_id"), "product_id")
-    )
+    r = ranked.join(cats.drop("category_id"), "product_id")
     change = F.col("last_month_revenue") - F.col("prev_month_revenue")
     # percent_rank = (rank-1)/(n-1) < 0.2, tested without division
     top = (F.col(SIZE) == 1) | ((F.col(RANK) - 1) * 5 < F.col(SIZE) - 1)
@@ -53,7 +47,7 @@ def product_performance(shop: Shop, *, as_of: dt.date, tz: str = tu.REPORT_TZ) -
         money(F.col("revenue")).alias("total_revenue"),
         "units_sold",
         F.col(RANK).alias("category_revenue_rank"),
-        money(ratio(F.col("revenue") * 100, F.col("_category_revenue"))).alias(
+        money(ratio(F.col("revenue") * 100, F.col(_total("revenue")))).alias(
             "category_revenue_share_pct"
         ),
         F.lit(last_month.strftime("%Y-%m")).alias("last_month"),

@@ -94,3 +94,32 @@ def test_number_rows_property(spark, n, groups, values, parts, seed):
         | ~F.col("_prev_t").eqNullSafe(F.col("e_prev_t"))
     )
     assert j.count() == n and bad.count() == 0
+
+
+def test_rows_are_shuffled_once(spark):
+    """After the ranges are written, only aggregates (a few rows a range) are
+    shuffled: below every exchange an aggregate comes before the scan."""
+    df = spark.range(5000).select((F.col("id") % 7).alias("g"), "id", (F.col("id") % 100).alias("t"))
+    for group in (["g"], []):
+        got = number_rows(df, group, [("t", False), ("id", True)], rank_by=["t"], lag=["t"], totals=["t"], partitions=6)
+        plan = got._jdf.queryExecution().executedPlan().toString().splitlines()
+        scans = [line for line in plan if "FileScan" in line]
+        assert scans and all("Bucketed: true" in line for line in scans)
+        for i, line in enumerate(plan):
+            if "Exchange" in line and "Broadcast" not in line:
+                below = next(x for x in plan[i + 1 :] if "Aggregate" in x or "FileScan" in x)
+                assert "Aggregate" in below
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("kassa_ranges")]
+
+
+@pytest.mark.parametrize("parts", [1, 4, 9])
+def test_totals(spark, parts):
+    df = spark.range(2000).select(
+        F.when(F.col("id") % 3 > 0, F.lit(None)).otherwise(F.col("id") % 4).alias("g"),
+        "id",
+        F.when(F.col("id") % 5 > 0, (F.col("id") % 9).cast("decimal(10,2)")).alias("t"),
+    )
+    got = number_rows(df, ["g"], [("t", True), ("id", True)], totals=["t"], partitions=parts)
+    want = df.groupBy(F.col("g").alias("h")).agg(F.sum("t").alias("s"))
+    j = got.join(want, F.col("g").eqNullSafe(F.col("h")))
+    assert j.count() == 2000 and j.where(~F.col("_total_t").eqNullSafe(F.col("s"))).count() == 0
