@@ -11,6 +11,7 @@ from pyspark.sql.types import DecimalType, LongType, StringType, StructField, St
 
 from kassa.functions import timeutil as tu
 from kassa.operators.sequence import materialize
+from kassa.sources.bucketed import least_buckets, write_bucketed
 from kassa.sources.model import ORDER_ITEMS, ORDERS, Shop, item_revenue
 
 UNCATEGORIZED = "Uncategorized"
@@ -125,8 +126,11 @@ def with_product_sales(shop: Shop, *, as_of: dt.date, window_days: int = 90, tz:
 
 def customer_monthly_summary(shop: Shop, tz: str = tu.REPORT_TZ) -> DataFrame:
     """One row per (customer, local month) of completed orders: count, revenue."""
-    o = shop.completed_orders()
-    return o.groupBy("customer_id", tu.local_month("order_date", tz).alias("order_month")).agg(
+    return monthly_summary(shop.completed_orders(), tz)
+
+
+def monthly_summary(completed: DataFrame, tz: str = tu.REPORT_TZ) -> DataFrame:
+    return completed.groupBy("customer_id", tu.local_month("order_date", tz).alias("order_month")).agg(
         F.count(F.lit(1)).alias("order_count"),
         F.sum("total_amount").alias("revenue"),
     )
@@ -155,8 +159,9 @@ def refresh_customer_monthly_summary(
     Orders changed since ``since`` (``updated_at``, UTC) name the touched
     customers.  A changed order may have left its old month (or its old
     status), so every month of a touched customer is recomputed from the
-    orders, and the untouched customers' rows are kept as they are.  Work is
-    proportional to the touched customers' history, not to the table.
+    orders, and the untouched customers' rows are kept as they are.  As a frame
+    it passes every row of the table; a stored table is refreshed by
+    :mod:`kassa.operators.summary_table`, at the cost of the changes alone.
     """
     touched = (
         shop.orders.filter(F.col("updated_at") >= tu.ts_literal(since)).select("customer_id").distinct()
@@ -262,3 +267,26 @@ def lay_out_by_month(shop: Shop, root: str, tz: str = tu.REPORT_TZ) -> MonthLayo
     write_orders_by_month(shop, orders_path, tz)
     write_order_items_by_month(shop, items_path, tz)
     return MonthLayoutShop(shop, orders_path, items_path, tz)
+
+
+LINES_PER_BUCKET = 2_000_000
+
+
+class OrderLayoutShop(Shop):
+    """A shop whose orders and lines lie in the same buckets of the order id, so
+    that joining them moves neither."""
+
+    def __init__(self, base: Shop, orders: DataFrame, items: DataFrame):
+        super().__init__(base.customers, base.categories, base.products, orders, items)
+
+
+def lay_out_by_order(shop: Shop, buckets: int | None = None) -> OrderLayoutShop:
+    """Orders and lines written once, bucketed by order id under the shared
+    folder.  The buckets follow the lines (``LINES_PER_BUCKET``) unless given.
+    The rows are dealt by the id first, so a bucket is one file."""
+    if buckets is None:
+        spark = shop.orders.sparkSession
+        buckets = max(least_buckets(spark), 1 + shop.order_items.count() // LINES_PER_BUCKET)
+    orders = write_bucketed(shop.orders.repartition(buckets, "id"), "id", buckets, "orders")
+    items = write_bucketed(shop.order_items.repartition(buckets, "order_id"), "order_id", buckets, "order_items")
+    return OrderLayoutShop(shop, orders, items)

@@ -610,3 +610,8 @@ ORACLES["report_run_all"] = "\nUNION ALL\n".join(
         "monthly_revenue_breakdown",
     )
 )
+
+# the same reports over another layout of orders and lines
+for _name in ("product_sales", "product_performance", "inventory_turnover", "low_stock_alerts"):
+    ORACLES[f"{_name}_order_layout"] = ORACLES[_name]
+ORACLES["monthly_revenue_order_layout"] = ORACLES["monthly_revenue_breakdown"]

@@ -19,6 +19,7 @@ from kassa.operators import (
     quality,
     rfm,
     shared,
+    summary_table,
     trend,
 )
 from kassa.plans.catalog import (
@@ -38,9 +39,10 @@ from kassa.plans.catalog import (
 )
 from kassa.sinks import outputs
 from kassa.sources import legacy
+from kassa.sources.changes import order_changes, orders_before
 from kassa.sources.dirty import dirty_shop
 from kassa.sources.driver_tables import DriverTables
-from kassa.sources.model import ORDERS
+from kassa.sources.model import ORDERS, STATUS_COMPLETED
 from kassa.streaming import streams
 
 
@@ -197,14 +199,33 @@ for _name in (
 
 @register("customer_monthly_summary_refresh")
 def q_customer_monthly_summary_refresh(spark, sf_dir):
-    """The summary as of REFRESH_SINCE, refreshed with the orders changed
-    since; equals the full recompute."""
+    """The stored summary as it was before REFRESH_SINCE, refreshed by the change
+    records since (moved, re-dated, re-priced, new and deleted orders); equals the
+    full recompute."""
     s = shop(spark, sf_dir)
-    before = shared.summary_before(s, REFRESH_SINCE)
-    out = shared.refresh_customer_monthly_summary(s, before, REFRESH_SINCE)
+    path = scratch_path(spark, "monthly_table")
+    changes = order_changes(s, REFRESH_SINCE)
+    before = orders_before(s, changes, REFRESH_SINCE).where(F.col("status") == STATUS_COMPLETED)
+    summary_table.write_monthly_table(shared.monthly_summary(before), path)
+    summary_table.apply_changes(spark, path, changes, batch=1)
+    out = summary_table.read_monthly_table(spark, path)
     return out.select("customer_id", "order_month", "order_count", money(F.col("revenue")).alias("revenue"))
 
 
+def _order_layout(name, fn):
+    """A report over orders and lines that lie in the same buckets."""
+    register(name)(lambda spark, sf_dir: fn(shared.lay_out_by_order(shop(spark, sf_dir))))
+
+
+_order_layout(
+    "product_sales_order_layout", lambda s: shared.product_sales(s, as_of=AS_OF, window_days=DAYS)
+)
+_order_layout("product_performance_order_layout", lambda s: product.product_performance(s, as_of=AS_OF))
+_order_layout("inventory_turnover_order_layout", lambda s: inventory.inventory_turnover(s, DAYS, as_of=AS_OF))
+_order_layout("monthly_revenue_order_layout", lambda s: product.monthly_revenue_breakdown(s, as_of=AS_OF))
+_order_layout("low_stock_alerts_order_layout", lambda s: inventory.low_stock_alerts(s, DAYS, as_of=AS_OF))
+
+
 @register("orders_by_month")
 def q_orders_by_month(spark, sf_dir):
     """Orders written partitioned by local month to the shared folder, read back."""
