@@ -14,6 +14,7 @@ import re
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -26,7 +27,6 @@ from pyspark.sql.types import (
     TimestampNTZType,
     TimestampType,
 )
-from pyspark.sql.utils import AnalysisException
 
 from kassa.functions import timeutil as tu
 
@@ -260,10 +260,15 @@ def report_snapshot(
     tz: str = tu.REPORT_TZ,
 ) -> DataFrame:
     """Serve a report from its snapshot while fresh; otherwise compute it,
-    write it to a folder of its own, then publish a one-row pointer to that
-    folder, and serve the written copy.  Frames handed out before keep
-    reading their own folder; a folder is removed by a refresh that comes
-    ``ttl`` or more after the pointer left it.
+    write it to a folder of its own, then publish a manifest that names the
+    folder, and serve the written copy.
+
+    Manifests are numbered and never changed: one is put under the next free
+    number, which fails if another refresh was faster (then the number after is
+    tried), and readers take the highest one that is complete.  So a reader
+    always finds a snapshot, whatever refreshes do meanwhile.  Frames handed out
+    before keep reading their own folder; a folder is removed by a refresh that
+    comes ``ttl`` or more after another manifest took its place.
 
     The key holds the local day of ``now``, so a new day never reads
     yesterday's snapshot.  A failed computation raises before anything is
@@ -272,37 +277,75 @@ def report_snapshot(
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     day = tu.yesterday_in(now, tz) + dt.timedelta(days=1)
     path = snapshot_path(root, report, args, day)
-    pointer = _read_pointer(spark, path)
-    if pointer and not refresh and dt.datetime.fromisoformat(pointer["expires_at"]) > now:
-        return spark.read.parquet(pointer["rows"])
+    found = _manifests(spark, path)
+    if found and not refresh and dt.datetime.fromisoformat(found[-1][1]["expires_at"]) > now:
+        return spark.read.parquet(found[-1][1]["rows"])
     rows = f"{path}/rows-{uuid.uuid4().hex}"
     compute().write.parquet(rows)
-    left = [(o["rows"], o["until"]) for o in pointer["left"]] if pointer else []
-    gone = [folder for folder, until in left if dt.datetime.fromisoformat(until) <= now]
-    left = [x for x in left if x[0] not in gone]
-    if pointer:
-        left.append((pointer["rows"], (now + ttl).isoformat()))
-    record = spark.createDataFrame([(rows, (now + ttl).isoformat(), left)], _POINTER)
-    record.coalesce(1).write.mode("overwrite").json(f"{path}/_pointer")  # one record
-    for folder in gone:
-        _remove(spark, folder)
+    _publish(spark, path, {"rows": rows, "published_at": now.isoformat(), "expires_at": (now + ttl).isoformat()})
+    _drop_replaced(spark, path, now)
     return spark.read.parquet(rows)
 
 
-_POINTER = "rows string, expires_at string, left array<struct<rows string, until string>>"
+def _folder(spark: SparkSession, name: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def _read_pointer(spark: SparkSession, path: str):
-    try:
-        found = spark.read.schema(_POINTER).json(f"{path}/_pointer").collect()
-    except AnalysisException:  # nothing published yet
-        return None
-    return found[0] if found else None
+def _manifests(spark: SparkSession, path: str) -> list[tuple[int, dict]]:
+    """(number, record) of the complete manifests, the newest last."""
+    fs, folder = _folder(spark, f"{path}/_manifests")
+    if not fs.exists(folder):
+        return []
+    out = []
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if not name.endswith(".json"):
+            continue
+        try:
+            stream = fs.open(status.getPath())
+            try:
+                text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            out.append((int(name.removesuffix(".json")), json.loads(text)))
+        except (ValueError, Py4JJavaError):  # still being written, or removed meanwhile
+            continue
+    return sorted(out, key=lambda m: m[0])
+
+
+def _publish(spark: SparkSession, path: str, record: dict) -> int:
+    """Put the record under the next free number; the number."""
+    fs, folder = _folder(spark, f"{path}/_manifests")
+    fs.mkdirs(folder)
+    taken = [s.getPath().getName().removesuffix(".json") for s in fs.listStatus(folder)]
+    number = 1 + max((int(n) for n in taken if n.isdigit()), default=0)
+    while True:
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_manifests/{number:012d}.json")
+        try:
+            stream = fs.create(target, False)  # fails if it exists
+        except Py4JJavaError:
+            if not fs.exists(target):
+                raise
+            number += 1  # another refresh was faster
+            continue
+        stream.write(bytearray(json.dumps(record).encode()))
+        stream.close()
+        return number
+
+
+def _drop_replaced(spark: SparkSession, path: str, now: dt.datetime) -> None:
+    """Remove rows and manifests whose successor has been there for its ttl."""
+    found = _manifests(spark, path)
+    for (number, old), (_, after) in zip(found[:-1], found[1:]):
+        if dt.datetime.fromisoformat(after["expires_at"]) <= now:
+            _remove(spark, old["rows"])
+            _remove(spark, f"{path}/_manifests/{number:012d}.json")
 
 
 def _remove(spark: SparkSession, folder: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    fs, where = _folder(spark, folder)
+    fs.delete(where, True)
 
 
 def snapshot_many(

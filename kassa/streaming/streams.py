@@ -2,10 +2,11 @@
 
 ``stream_daily_sales``: purchase events read as a file stream, completed
 orders and revenue per Jakarta day in event-time windows.  A day is one
-tumbling window starting at 17:00 UTC (Jakarta midnight).  The output updates:
-each batch replaces the days it changed, so today's day is there too.  The
-watermark bounds the state: rows more than ``lateness`` late for a closed day
-are not added, and their number is returned.
+tumbling window starting at 17:00 UTC (Jakarta midnight).  Each batch adds its
+sums for the days still open, so today's day is there too; rows more than
+``lateness`` late for a closed day are set aside and counted exactly.
+``daily_sales_stream`` is the same as one stateful aggregate, for sinks that take
+updates.
 
 ``stream_customer_monthly_summary``: order changes read as a file stream;
 each micro-batch names the touched customers and ``foreachBatch`` rewrites
@@ -20,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
+from pyspark.sql.utils import AnalysisException
 
 from kassa.functions import timeutil as tu
 from kassa.operators.sequence import materialize
@@ -74,12 +76,25 @@ def daily_sales_stream(orders: DataFrame, lateness: str = DEFAULT_LATENESS) -> D
     )
 
 
-_DAY_TABLE = "total_orders long, revenue decimal(22,2), day date"
+_DAY_TABLE = "total_orders long, revenue decimal(22,2), day date, batch long"
+_SEEN_TABLE = "newest timestamp, late long"
 
 
 def read_daily_sales(spark: SparkSession, sink_path: str) -> DataFrame:
     """day, total_orders, revenue: every day with an order so far."""
-    return spark.read.schema(_DAY_TABLE).parquet(sink_path).select("day", "total_orders", "revenue")
+    parts = spark.read.schema(_DAY_TABLE).parquet(sink_path)
+    return parts.groupBy("day").agg(
+        F.sum("total_orders").alias("total_orders"), F.sum("revenue").cast(DecimalType(22, 2)).alias("revenue")
+    )
+
+
+def read_late_rows(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The rows set aside because their day was closed, with their batch."""
+    schema = "id long, customer_id long, order_time timestamp, total_amount decimal(12,2), batch long"
+    try:
+        return spark.read.schema(schema).parquet(f"{sink_path}/_late")
+    except AnalysisException:  # none so far
+        return spark.createDataFrame([], schema)
 
 
 def run_daily_sales(
@@ -89,34 +104,73 @@ def run_daily_sales(
     checkpoint_path: str,
     lateness: str = DEFAULT_LATENESS,
     name_glob: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> int:
-    """Process everything available now and stop (restartable: the
-    checkpoint keeps offsets and window state).  Each batch replaces the
-    folders of the days it changed, so a batch that is run again leaves the
-    same table.  Returns the number of rows that came too late."""
-
-    def replace_days(batch: DataFrame, batch_id: int) -> None:
-        days = batch.select("total_orders", F.col("revenue").cast(DecimalType(22, 2)).alias("revenue"), "day")
-        (
-            days.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day")
-            .parquet(sink_path)
-        )
+    """Process everything available now and stop.  Returns the exact number of
+    input rows that came too late in this run; the rows themselves are set aside
+    (:func:`read_late_rows`).
+
+    A day is closed once it ends at or before the watermark: the newest order
+    time of all batches before, less ``lateness``.  Each batch writes its own
+    sum for each open day, in a folder of that day and batch, its late rows, and
+    one record with the newest time and the late rows so far, which the next batch
+    starts from.  No state is held between batches, and all three are replaced if a
+    batch is run again, so a restart neither loses nor counts anything twice."""
+    run = {"first": None, "last": None}  # batch numbers of this run
+
+    def seen(batch_id: int):
+        return spark.read.schema(_SEEN_TABLE).parquet(f"{sink_path}/_seen/batch={batch_id}").first()  # one record
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        if run["first"] is None:
+            run["first"] = batch_id
+        run["last"] = batch_id
+        before = seen(batch_id - 1) if batch_id > 0 else None
+        mark = F.lit(before["newest"] if before else None).cast("timestamp") - F.expr(f"INTERVAL {lateness}")
+        end = F.window("order_time", "1 day", "1 day", DAY_START_UTC)
+        batch = batch.withColumn("_start", end["start"]).withColumn("_end", end["end"])
+        batch = batch.withColumn("_late", F.coalesce(F.col("_end") <= mark, F.lit(False))).persist()
+        try:
+            counts = batch.agg(F.max("order_time").alias("newest"), F.count_if("_late").alias("late")).first()
+            if counts["late"]:
+                late = batch.where("_late").select("id", "customer_id", "order_time", "total_amount")
+                late.write.mode("overwrite").parquet(f"{sink_path}/_late/batch={batch_id}")
+            days = (
+                batch.where("NOT _late")
+                .groupBy(tu.day_of_instant(F.col("_start"), JAKARTA_OFFSET_HOURS).alias("day"))
+                .agg(
+                    F.count(F.lit(1)).alias("total_orders"),
+                    F.sum("total_amount").cast(DecimalType(22, 2)).alias("revenue"),
+                )
+            )
+            (
+                days.withColumn("batch", F.lit(batch_id).cast("long"))
+                .select("total_orders", "revenue", "day", "batch")
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("day", "batch")
+                .parquet(sink_path)
+            )
+            newest = [t for t in (counts["newest"], before and before["newest"]) if t is not None]
+            record = [(max(newest, default=None), counts["late"] + (before["late"] if before else 0))]
+            spark.createDataFrame(record, _SEEN_TABLE).coalesce(1).write.mode("overwrite").parquet(
+                f"{sink_path}/_seen/batch={batch_id}"
+            )
+        finally:
+            batch.unpersist()
 
     q = (
-        daily_sales_stream(purchase_stream(spark, events_folder, name_glob), lateness)
-        .writeStream.outputMode("update")
-        .foreachBatch(replace_days)
+        purchase_stream(spark, events_folder, name_glob, max_files_per_trigger)
+        .writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    late = 0
-    for progress in q.recentProgress:
-        late += sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
-    return late
+    if run["last"] is None:
+        return 0
+    earlier = seen(run["first"] - 1)["late"] if run["first"] > 0 else 0
+    return seen(run["last"])["late"] - earlier
 
 
 ROWS_PER_BUCKET = 500_000
@@ -160,18 +214,20 @@ def upsert_touched(
     write does not read the folders it replaces.
     """
     buckets = spark.read.schema("buckets int").json(f"{table_path}/_buckets").first()["buckets"]
-    touched = touched.select("customer_id").distinct().withColumn("bucket", customer_bucket(buckets))
-    hit = [r["bucket"] for r in touched.select("bucket").distinct().collect()]  # at most `buckets` values
-    if not hit:
-        return
-    existing = spark.read.parquet(table_path).filter(F.col("bucket").isin(hit) & F.col("customer_id").isNotNull())
+    touched = materialize(
+        touched.select("customer_id").distinct().withColumn("bucket", customer_bucket(buckets)), "touched"
+    )
+    hit = materialize(touched.select("bucket").distinct(), "buckets").where("bucket >= 0")
+    # the touched buckets prune the scan at run time (dynamic partition pruning), whatever their number
+    spark.conf.set("spark.sql.optimizer.dynamicPartitionPruning.reuseBroadcastOnly", "false")
+    existing = spark.read.parquet(table_path).where("customer_id IS NOT NULL").join(hit, "bucket", "left_semi")
     keep = existing.join(touched.select("customer_id"), "customer_id", "left_anti")
     fresh = customer_monthly_summary(_restricted(shop, touched.select("customer_id"))).withColumn(
         "bucket", customer_bucket(buckets)
     )
     # one marker row per touched bucket, so a bucket left without rows is
     # still replaced (dynamic overwrite only replaces folders it writes)
-    markers = spark.createDataFrame([(b,) for b in hit], "bucket int").select(
+    markers = hit.select(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in keep.schema.fields if f.name != "bucket"], "bucket"
     )
     new_rows = materialize(

@@ -256,3 +256,43 @@ def test_month_layout_trend_prunes_order_months(spark):
     orders = laid_out.completed_orders_between(dt.date(2024, 11, 20), dt.date(2024, 11, 30))
     plan = orders._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2024-11" in plan and "2024-06" not in plan.split("PartitionFilters")[1][:200]
+
+
+def test_refreshers_and_a_reader_interleaved(spark):
+    """Two refreshes that both saw the same manifests; a reader in between."""
+    root = _tmp()
+    now = dt.datetime(2024, 11, 29, 3, 0)
+    served = []
+
+    def frame(n):
+        return spark.createDataFrame([(n,)], "n int")
+
+    def serve(n, refresh=True):
+        return outputs.report_snapshot(spark, root, "r", {}, lambda: frame(n), now=now, refresh=refresh)
+
+    serve(1)
+
+    def slow():
+        # while the first refresh computes, another one starts, publishes and is read
+        served.append(serve(3).collect()[0].n)
+        served.append(serve(0, refresh=False).collect()[0].n)
+        return frame(2)
+
+    late = outputs.report_snapshot(spark, root, "r", {}, slow, now=now, refresh=True)
+    assert served == [3, 3] and late.collect()[0].n == 2
+    assert serve(0, refresh=False).collect()[0].n == 2
+    numbers = sorted(os.path.basename(f) for f in glob.glob(f"{root}/**/*.json", recursive=True))
+    assert numbers == [f"{i:012d}.json" for i in (1, 2, 3)]
+
+
+def test_a_number_is_taken_once_and_half_written_manifests_are_passed_over(spark):
+    path = _tmp() + "/key"
+    record = {"rows": "x", "expires_at": dt.datetime(2024, 1, 1).isoformat()}
+    assert [outputs._publish(spark, path, {**record, "n": i}) for i in range(3)] == [1, 2, 3]
+    # another writer has put 4 since the folder was listed
+    listed = outputs._manifests(spark, path)
+    with open(f"{path}/_manifests/{4:012d}.json", "w") as f:
+        f.write('{"rows": "y"')  # not complete yet
+    assert outputs._manifests(spark, path) == listed
+    assert outputs._publish(spark, path, record) == 5
+    assert [n for n, _ in outputs._manifests(spark, path)] == [1, 2, 3, 5]
