@@ -4,13 +4,18 @@ trained in numpy, that scores all overlapping windows of a text.
 Words: ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z.  Inputs of a
 word: its own log-odds of toxic documents (word input), and the largest and the
 mean log-odds of its character 3- to 6-grams with word ends (character inputs);
-the log-odds are hashed tables, shrunk for rare entries.  Windows of ``WINDOW``
-words start every ``STRIDE`` words; both directions of the network read each
-window, attention pools the states, and a text's score is that of its highest
-window.  A text without words scores as a window without words: 0.
-
-Training uses a bounded sample: of the labelled documents handed in, at most
-``MAX_TOXIC`` toxic and ``MAX_CLEAN`` others, chosen by a hash of doc_id.  For
+the log-odds are hashed tables, shrunk for rare entries.  A window of ``WINDOW``
+words starts at every word that has so many from it on (a shorter text is one
+window); both directions of the network read each window, attention pools the
+states, and a text's score is that of its highest window.  A text without words
+scores as a window without words: 0.
+
+What the network makes of a word's inputs does not depend on the window, so it is
+computed once a word; step t of all windows of a block then reads one slice.
+
+Training uses a bounded sample: of the labelled documents handed in with at most
+``MAX_TEXT`` bytes of text, ``MAX_TOXIC`` toxic and ``MAX_CLEAN`` others at most,
+chosen by a hash of doc_id; every text is scored whole, whatever its length.  For
 training, the tables of one half of the sample are those of the other half, so
 the network sees odds as strong as on new texts.  With no toxic or no other
 document in the sample, every score is 0.
@@ -30,13 +35,13 @@ from pyspark.sql.types import DoubleType, StructType
 from kassa.llm import text as T
 
 WINDOW = 24
-STRIDE = 12
-HIDDEN = 6
+HIDDEN = 4
 GRAMS = (3, 4, 5, 6)
 BITS = 18
 SHRINK = 4.0
-MAX_TOXIC = 3000
-MAX_CLEAN = 6000
+MAX_TOXIC = 2000
+MAX_CLEAN = 4000
+MAX_TEXT = 16 << 10
 THRESHOLD = 0.7
 INPUTS = 4
 _SPACE = np.uint8(0x20)
@@ -133,14 +138,13 @@ def _odds(texts: list[bytes], toxic: np.ndarray) -> dict:
 
 
 def windows(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First word of every window, and its document.  The last window of a
-    document ends with its last word; a shorter document is one window."""
+    """First word of every window, and its document: a window at each word that
+    has ``WINDOW`` words from it on, or one window of a shorter document."""
     n = np.diff(bounds)
-    steps = np.where(n > 0, 1 + np.maximum(0, -(-(n - WINDOW) // STRIDE)), 0)
-    doc = np.repeat(np.arange(len(n)), steps)
-    k = np.arange(len(doc)) - np.repeat(np.cumsum(steps) - steps, steps)
-    first = np.minimum(k * STRIDE, np.maximum(n[doc] - WINDOW, 0))
-    return bounds[:-1][doc] + first, doc
+    many = np.where(n > 0, np.maximum(n - WINDOW, 0) + 1, 0)
+    doc = np.repeat(np.arange(len(n)), many)
+    k = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+    return bounds[:-1][doc] + k, doc
 
 
 # ---- network
@@ -231,17 +235,65 @@ def _gather(x: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarr
     return np.ascontiguousarray(x[:, np.where(live, at, 0)].transpose(1, 0, 2)), live
 
 
-def window_scores(p: dict, x: np.ndarray, bounds: np.ndarray, part: int = 8192) -> tuple[np.ndarray, ...]:
+def _slide(a: np.ndarray, U: np.ndarray, read: np.ndarray, order, n: int, out: np.ndarray) -> None:
+    """Add ``read @ state`` (2 x n) of every step to ``out`` (WINDOW x 2 x n), for
+    the windows that start at words 0 to n - 1.  Gates' rows are halved, as a
+    sigmoid is a tanh of half its argument."""
+    H = HIDDEN
+    h = np.zeros((H, n), np.float32)
+    gates, g, b = (np.empty((k * H, n), np.float32) for k in (2, 1, 3))
+    for t in order:
+        at = a[:, t : t + n]
+        np.matmul(U, h, out=b)
+        np.add(at[: 2 * H], b[: 2 * H], out=gates)
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
+        np.multiply(gates[H:], b[2 * H :], out=g)
+        g += at[2 * H :]
+        np.tanh(g, out=g)
+        h -= g
+        h *= gates[:H]
+        h += g
+        out[t] += read @ h
+
+
+def window_scores(p: dict, x: np.ndarray, bounds: np.ndarray, part: int = 4096) -> tuple[np.ndarray, ...]:
     """Logit, first word and document of all windows."""
     first, doc = windows(bounds)
     out = np.empty(len(first), np.float32)
-    for a in range(0, len(first), part):
-        own = slice(a, a + part)
+    H = HIDDEN
+    half = np.concatenate([np.full(2 * H, 0.5), np.ones(H)]).astype(np.float32)[:, None]
+    sides = [
+        (half * p["W" + d], half * p["U" + d], np.stack([p["v"][own], p["w"][own]]))
+        for d, own in (("f", slice(0, H)), ("b", slice(H, 2 * H)))
+    ]
+    whole = first + WINDOW <= bounds[1:][doc]
+    at = np.flatnonzero(whole)
+    place = first[at]  # rising
+    i = 0
+    while i < len(place):
+        # windows that start within `part` words of this one
+        j = int(np.searchsorted(place, place[i] + part))
+        low, n = int(place[i]), int(place[j - 1] - place[i]) + 1
+        read = np.zeros((WINDOW, 2, n), np.float32)
+        inputs = x[:, low : low + n + WINDOW - 1]
+        for (W, U, weights), order in zip(sides, (range(WINDOW), range(WINDOW - 1, -1, -1)), strict=True):
+            _slide(W @ inputs, U, weights, order, n, read)
+        s = read[:, 0]
+        s -= s.max(axis=0)
+        np.exp(s, out=s)
+        logit = (s * read[:, 1]).sum(axis=0) / s.sum(axis=0) + p["c"][0]
+        out[at[i:j]] = logit[place[i:j] - low]
+        i = j
+    short = np.flatnonzero(~whole)
+    for a in range(0, len(short), part):
+        own = short[a : a + part]
         out[own] = forward(p, *_gather(x, first[own], bounds[1:][doc[own]]))[0]
     return out, first, doc
 
 
-def train(texts: list[bytes], toxic: np.ndarray, rounds: int = 4, steps: int = 400, seed: int = 7) -> dict | None:
+def train(texts: list[bytes], toxic: np.ndarray, rounds: int = 10, steps: int = 160, seed: int = 7) -> dict | None:
     """Model from documents and their labels; None without both kinds."""
     toxic = np.asarray(toxic, bool)
     if toxic.all() or not toxic.any():
@@ -268,12 +320,16 @@ def train(texts: list[bytes], toxic: np.ndarray, rounds: int = 4, steps: int = 4
     first, doc = windows(ends)
     # before training, a window is judged by its strongest input
     peak = np.maximum(inputs[0], inputs[1])
-    rank = np.array([peak[a : min(a + WINDOW, e)].max() for a, e in zip(first, ends[1:][doc], strict=True)])
+    rank = peak[first]
+    for t in range(1, WINDOW):
+        at = np.minimum(first + t, ends[1:][doc] - 1)
+        np.maximum(rank, peak[at], out=rank)
     step = 0
     for _ in range(rounds):
         order = np.lexsort((rank, doc))
         top = order[np.append(doc[order][1:] != doc[order][:-1], True)]
-        # a clean document's every window is clean: some of its others too
+        # a clean document's every window is clean: some of its others too; each round
+        # looks at all windows again for the highest of each document
         others = rng.permutation(np.flatnonzero(~label[doc]))[: len(top)]
         chosen = np.concatenate([top, others])
         for _ in range(steps):  # the same work for a sample of any size
@@ -307,14 +363,16 @@ def score_texts(model: dict, texts: list[bytes]) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clean: int) -> tuple[list, np.ndarray]:
-    """Texts and labels of at most ``max_toxic + max_clean`` labelled documents."""
+    """Texts and labels of at most ``max_toxic + max_clean`` labelled documents of
+    at most ``MAX_TEXT`` bytes: that bounds what comes to the driver."""
     ranked = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").select("doc_id", "toxic").distinct()
     picked = [
         ranked.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         for kind, most in ((1, max_toxic), (0, max_clean))
     ]
     # at most max_toxic + max_clean rows of two numbers: a proven bound
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked[0].union(picked[1])), "doc_id")
+    small = docs.select("doc_id", "text").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= MAX_TEXT)
+    rows = small.join(F.broadcast(picked[0].union(picked[1])), "doc_id")
     rows = sorted((r.doc_id, r.toxic, (r.text or "").encode()) for r in rows.distinct().toLocalIterator())
     return [r[2] for r in rows], np.array([r[1] for r in rows], bool)
 

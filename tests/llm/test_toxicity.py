@@ -33,17 +33,55 @@ def test_gradients():
             assert abs((loss(up) - loss(down)) / 2e-3 - g[k][at]) < 2e-3, k
 
 
-def test_all_windows_overlap_and_reach_the_end():
-    bounds = np.array([0, 0, 1, 24, 49, 130])
+def test_every_window_is_there():
+    size = X.WINDOW
+    bounds = np.cumsum([0, 0, 1, size - 1, size, size + 1, 5 * size])
     first, doc = X.windows(bounds)
-    for d in range(5):
-        own = first[doc == d]
-        n = bounds[d + 1] - bounds[d]
-        covered = set()
-        for a in own.tolist():
-            covered |= set(range(a, min(a + X.WINDOW, bounds[d + 1])))
-        assert covered == set(range(bounds[d], bounds[d + 1]))
-        assert (np.diff(own) <= X.STRIDE).all() and len(own) == (0 if n == 0 else 1 + max(0, -(-(n - 24) // 12)))
+    got = [(int(d), int(a)) for d, a in zip(doc, first, strict=True)]
+    want = []
+    for d, (a, e) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+        starts = range(a, e - size + 1) if e - a >= size else [a] if e > a else []
+        want += [(d, s) for s in starts]
+    assert got == want
+
+
+def _plain_logit(p, x):
+    """One window, step by step: x is INPUTS x words."""
+    H = X.HIDDEN
+    sig = lambda v: 1 / (1 + np.exp(-v))
+    states = np.zeros((x.shape[1], 2 * H))
+    for side, order, own in (("f", range(x.shape[1]), slice(0, H)), ("b", reversed(range(x.shape[1])), slice(H, 2 * H))):
+        h = np.zeros(H)
+        W, U = p["W" + side].astype(float), p["U" + side].astype(float)
+        for t in order:
+            a, b = W @ x[:, t], U @ h
+            z, r = sig(a[:H] + b[:H]), sig(a[H : 2 * H] + b[H : 2 * H])
+            g = np.tanh(a[2 * H :] + r * b[2 * H :])
+            h = (1 - z) * g + z * h
+            states[t, own] = h
+    s = np.exp(states @ p["v"])
+    return float(p["w"] @ (s @ states) / s.sum() + p["c"][0])
+
+
+def test_scores_equal_a_plain_loop_over_all_windows():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 40, n)).encode() for n in (0, 1, 5, 23, 24, 25, 60, 300)]
+    p = X.new_parameters(3)
+    size = 1 << X.BITS
+    odds = {k: rng.normal(0, 1, size).astype(np.float32) for k in ("word", "gram")}
+    got = X.score_texts({"network": p, "odds": odds}, texts)
+    data, first, last, bounds = X._parted(texts)
+    x = X.features(data, first, last, odds)
+    for i in range(len(texts)):
+        a, e = int(bounds[i]), int(bounds[i + 1])
+        if a == e:
+            assert got[i] == 0
+            continue
+        best = max(_plain_logit(p, x[:, s : min(s + X.WINDOW, e)]) for s in range(a, max(a, e - X.WINDOW) + 1))
+        assert abs(got[i] - 1 / (1 + np.exp(-best))) < 1e-5
+    # blocks of another size give the same
+    logit = X.window_scores(p, x, bounds)[0]
+    assert np.allclose(logit, X.window_scores(p, x, bounds, part=7)[0], atol=1e-5)
 
 
 def test_held_out_accuracy(spark):
@@ -61,6 +99,13 @@ def test_held_out_accuracy(spark):
     assert np.mean(right[0]) > 0.97 and np.mean(right[1]) > 0.7
 
 
+def test_the_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(1, "a " * X.MAX_TEXT), (2, "bad words"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 0)], "doc_id long, toxic int")
+    texts, toxic = X.training_sample(docs, labels, 5, 5)
+    assert texts == [b"bad words", b""] and toxic.tolist() == [True, False]
+
+
 def test_edge_rows(spark):
     labels = spark.createDataFrame([(6, 1), (8, 0), (None, 1), (5, None), (7, 1)], "doc_id long, toxic int")
     docs = frame(spark)
