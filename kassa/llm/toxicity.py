@@ -242,8 +242,16 @@ def _slide(a: np.ndarray, U: np.ndarray, read: np.ndarray, order, n: int, out: n
     H = HIDDEN
     h = np.zeros((H, n), np.float32)
     gates, g, b = (np.empty((k * H, n), np.float32) for k in (2, 1, 3))
-    for t in order:
+    for step, t in enumerate(order):
         at = a[:, t : t + n]
+        if step == 0:  # from a state of zeros the reset gate and U have no part
+            np.tanh(at[:H], out=gates[:H])
+            np.tanh(at[2 * H :], out=h)
+            gates[:H] *= -0.5
+            gates[:H] += 0.5
+            h *= gates[:H]
+            out[t] += read @ h
+            continue
         np.matmul(U, h, out=b)
         np.add(at[: 2 * H], b[: 2 * H], out=gates)
         np.tanh(gates, out=gates)
@@ -325,7 +333,9 @@ def train(texts: list[bytes], toxic: np.ndarray, rounds: int = 10, steps: int =
         at = np.minimum(first + t, ends[1:][doc] - 1)
         np.maximum(rank, peak[at], out=rank)
     step = 0
-    for _ in range(rounds):
+    for number in range(rounds):
+        if number:
+            rank = window_scores(p, inputs, ends)[0]
         order = np.lexsort((rank, doc))
         top = order[np.append(doc[order][1:] != doc[order][:-1], True)]
         # a clean document's every window is clean: some of its others too; each round
@@ -344,7 +354,6 @@ def train(texts: list[bytes], toxic: np.ndarray, rounds: int = 10, steps: int =
                 square[k] = 0.999 * square[k] + 0.001 * g[k] ** 2
                 rate = 0.01 * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
                 p[k] = (p[k] - rate * moment[k] / (np.sqrt(square[k]) + 1e-8)).astype(np.float32)
-        rank = window_scores(p, inputs, ends)[0]
     return {"network": p, "odds": _odds(texts, toxic)}
 
 
