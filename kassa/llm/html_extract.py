@@ -67,7 +67,7 @@ BOILERPLATE_CLASSES = frozenset(
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b(?P<rawattr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")(?![^\s/>])(?P<rawattr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)|<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|</?[a-zA-Z][^>]*\Z|(?P<text>[^<]+|<)",
     re.S | re.I,
@@ -107,10 +107,12 @@ def tokens(source: str) -> list[Token]:
     """Words and tags of a page, in order."""
     out: list[Token] = []
     stack: list[tuple[str, str, bool]] = []  # name, kind, boilerplate
+    opened: Counter[str] = Counter()  # names in the stack, so that no search is in vain
 
     def close(at: int) -> None:
         while len(stack) > at:
             name, kind, hidden = stack.pop()
+            opened[name] -= 1
             article = -1 if name == "article" else 0
             out.append(Token("/" + kind, breaks=name in BLOCKS, skipped=hidden, article=article))
 
@@ -129,7 +131,9 @@ def tokens(source: str) -> list[Token]:
             continue  # comment, declaration, unfinished tag
         name = match["name"].lower()
         if match["end"]:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
+            at = -1
+            if opened[name]:
+                at = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name)
             if at >= 0:
                 close(at)
             elif name in BLOCKS or name == "br":
@@ -137,7 +141,7 @@ def tokens(source: str) -> list[Token]:
             continue
         if name in CLOSED_BY_SIBLING or name in BLOCKS:
             siblings = CLOSED_BY_SIBLING.get(name, frozenset()) | (frozenset(["p"]) if name in BLOCKS else frozenset())
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if any(opened[x] for x in siblings) else ():
                 if stack[i][0] in siblings:
                     close(i)
                     break
@@ -151,6 +155,7 @@ def tokens(source: str) -> list[Token]:
         if name == "br":
             out[-1].text = " "
         if name not in VOID and not match["attr"].rstrip().endswith("/"):
+            opened[name] += 1
             stack.append((name, kind, hidden))
     close(0)
     return out

@@ -63,3 +63,37 @@ def test_edge_rows(spark):
     got = sorted((r.page_id or 0, r.text, r.n_chars) for r in H.extract(pages, model).collect())
     assert got == [(0, "x y", 3), (1, "", 0), (1, "", 0)]
     assert H.extract(pages.limit(0), H.fit(pages.limit(0))).collect() == []
+
+
+def test_custom_elements_are_no_raw_text():
+    for name in ("title-bar", "style-guide", "script-list"):
+        page = f"<body><{name}>x</{name}><p>One two three.</p><style>no</style></body>"
+        text = " ".join(t.text or "" for t in H.tokens(page) if not t.skipped)
+        assert "One two three." in text and "no" not in text.split()
+    assert not [t for t in H.tokens("<STYLE type='a'>gone</style><title/>gone") if t.text == "gone" and not t.skipped]
+
+
+def test_unclosed_tags_take_linear_time():
+    import time
+
+    for page in (
+        "<div>" * 100_000 + "</span>" * 100_000,
+        "<span>" * 100_000 + "<p>" + "</b>" * 100_000,
+        "<span>" * 50_000 + "<li>a" * 50_000,
+    ):
+        start = time.time()
+        H.tokens(page)
+        assert time.time() - start < 8  # quadratic work takes many minutes
+
+
+def test_best_region_equals_a_quadratic_search():
+    import random
+    from types import SimpleNamespace
+
+    plain = SimpleNamespace(of=lambda score: score)
+    draw = random.Random(3)
+    for _ in range(300):
+        scores = [draw.choice([-2.0, -1.0, -0.5, 0.0, 0.5, 1.0, 3.0]) for _ in range(draw.randrange(12))]
+        a, b = H.best_region(scores, plain)
+        sums = [sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
+        assert sum(scores[a:b]) == max([0.0, *sums])
