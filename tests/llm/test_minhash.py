@@ -6,13 +6,13 @@ from kassa.llm import minhash_dedup
 from kassa.llm.minhash_dedup import keep_one, near_duplicates
 
 
-def shingles(text):
+def shingles(text, width=3):
     words = (text or "").encode().lower().split()
-    return {tuple(words[i : i + 3]) for i in range(len(words) - 2)} or ({tuple(words)} if words else set())
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} or ({tuple(words)} if words else set())
 
 
-def brute(rows):
-    sets = {d: shingles(t) for d, t in rows if d is not None}
+def brute(rows, width=3, percent=85):
+    sets = {d: shingles(t, width) for d, t in rows if d is not None}
     root = {d: d for d in sets}
 
     def find(d):
@@ -23,7 +23,7 @@ def brute(rows):
     for a in sets:
         for b in sets:
             both = len(sets[a] & sets[b])
-            if a < b and both and 100 * both >= 85 * len(sets[a] | sets[b]):
+            if a < b and both and 100 * both >= percent * len(sets[a] | sets[b]):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
     return {d: (len(sets[d]), find(d)) for d in sets}

@@ -22,7 +22,8 @@ def test_stages(spark):
         step[name] = {r.doc_id: r.text for r in docs.collect()}
         assert docs.where(F.length("text") != F.col("n_chars")).count() == 0
     rules, near = step["quality_rules"], step["near_duplicates"]
-    assert rules and set(near) == {d for d, (_, c) in groups(list(rules.items())).items() if c == d}
+    linked = groups(list(rules.items()), corpus_pipeline.SHINGLE, corpus_pipeline.PERCENT)
+    assert rules and set(near) == {d for d, (_, c) in linked.items() if c == d}
     assert all(near[d] == rules[d] for d in near)
     want = repeats(list(near.items()))
     kept = step["repeated_passages"]
