@@ -20,9 +20,9 @@ from kassa.session import ensure_checkpoint_dir
 
 
 #: Of the near_duplicates stage: words a shingle, and similarity in hundredths.
-#: tests/llm/test_pipeline.py holds the stage to these; REPLY_r02.md has more.
-SHINGLE = 3
-PERCENT = 85
+#: tests/llm/test_pipeline.py holds the stage to these.
+SHINGLE = 5
+PERCENT = 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
