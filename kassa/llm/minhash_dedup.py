@@ -14,14 +14,17 @@ collection.  ``H ** 2`` tables of ``2 * ROWS`` minima thus cost 72 minima instea
 2 * (1 - s ** 3) ** H, and closer pairs with less; ``keys_a_side`` takes the least
 H that keeps it at ``MISS`` or below: 12 at 0.85, 16 at 0.8.
 
-Documents with equal sets form one class, so copies cost one row each.  Within
+Documents with equal sets form one class, so copies cost one row each; a class has
+a number of its own, and a doc_id that occurs with different sets links its classes.
+Within
 a table key every class is compared, on full shingle sets, with the key's centre,
 the class that shares most keys.  That comparison leaves the differences from the
 centre.  Classes of one centre that are then in different components are compared
-with each other from these differences, in blocks of ``BLOCK`` against ``BLOCK``,
-so no link between different sets is skipped, and only links leave a task.
+with each other from these differences, in blocks of at most about ``BLOCK`` sets
+and ``CELLS`` shingles against such blocks, so no link between different sets is
+skipped, and only links leave a task.
 
-Rows: one per input row.  Repeated rows get equal results; a row with a null
+Rows: one per input row.  Rows with one doc_id get one component; a row with a null
 doc_id is linked with nothing: component_id null, ``kept`` true.  Other columns
 are ignored; an empty table gives an empty result.
 """
@@ -45,6 +48,7 @@ PERCENT = 85
 ROWS = 3
 MISS = 2.2e-5
 BLOCK = 512
+CELLS = 1 << 23
 
 
 def keys_a_side(percent: int) -> int:
@@ -107,8 +111,7 @@ def _sketch(width: int, n_hashes: int):
                 [
                     block.batch.column(0).cast(pa.int64()),
                     pa.array(sizes.astype(np.int64)),
-                    pa.array(_sums(T.mix(hashes), bounds).view(np.int64)),
-                    pa.array(_sums(T.mix(hashes ^ np.uint64(0xABCDEF12345)), bounds).view(np.int64)),
+                    *_digests(hashes, bounds),
                     pa.ListArray.from_arrays(
                         pa.array(np.arange(len(block) + 1, dtype=np.int32) * n_hashes), pa.array(minima.ravel())
                     ),
@@ -122,14 +125,25 @@ def _sketch(width: int, n_hashes: int):
 _SKETCH = "doc_id long, n_shingles long, d1 long, d2 long, minima array<int>"
 
 
-def _squeeze(batches):
-    """Texts of candidates, compressed: they travel once or twice more."""
-    pack = zstandard.ZstdCompressor(level=3)
-    for block in T.blocks(batches):
-        yield pa.RecordBatch.from_arrays(
-            [block.batch.column(0), pa.array([pack.compress(block.text(i)) for i in range(len(block))], pa.binary())],
-            names=["id", "packed"],
-        )
+def _digests(hashes: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
+    """Two sums that tell sets apart."""
+    return [pa.array(_sums(T.mix(h), bounds).view(np.int64)) for h in (hashes, hashes ^ np.uint64(0xABCDEF12345))]
+
+
+def _squeeze(width: int):
+    """Texts of candidates with their sets' digests, compressed: they travel once
+    or twice more."""
+
+    def squeeze(batches):
+        pack = zstandard.ZstdCompressor(level=3)
+        for block in T.blocks(batches):
+            packed = [pack.compress(block.text(i)) for i in range(len(block))]
+            yield pa.RecordBatch.from_arrays(
+                [block.batch.column(0), *_digests(*shingle_sets(block, width)), pa.array(packed, pa.binary())],
+                names=["rep", "d1", "d2", "packed"],
+            )
+
+    return squeeze
 
 
 def _compare(width: int, percent: int):
@@ -235,14 +249,15 @@ def near_duplicates(
     n_halves = keys_a_side(percent)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sketch = save(source.mapInArrow(_sketch(width, 2 * n_halves * ROWS), _SKETCH), "sketch")
+    alike = sketch.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = save(
-        sketch.where("n_shingles > 0 AND doc_id IS NOT NULL")
-        .groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("rep"), F.min_by("minima", "doc_id").alias("minima")),
+        alike.groupBy("d1", "d2")
+        .agg(F.min("doc_id").alias("rep"), F.min_by("minima", "doc_id").alias("minima"))
+        .withColumn("cls", F.monotonically_increasing_id()),  # fixed once written
         "classes",
     )
     halves = classes.select(
-        "rep",
+        "cls",
         F.posexplode(
             F.array(
                 *[
@@ -256,7 +271,7 @@ def near_duplicates(
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1")
     own = (
         halves.join(shared, "half")
-        .groupBy("rep")
+        .groupBy("cls")
         .agg(
             F.collect_list(F.when(F.col("k") < n_halves, F.col("half"))).alias("left"),
             F.collect_list(F.when(F.col("k") >= n_halves, F.col("half"))).alias("right"),
@@ -264,22 +279,27 @@ def near_duplicates(
         )
     )
     keys = save(
-        own.select("rep", "company", "right", F.explode("left").alias("l"))
-        .select("rep", "company", "l", F.explode("right").alias("r"))
-        .select(F.xxhash64("l", "r").alias("key"), "rep", "company"),
+        own.select("cls", "company", "right", F.explode("left").alias("l"))
+        .select("cls", "company", "l", F.explode("right").alias("r"))
+        .select(F.xxhash64("l", "r").alias("key"), "cls", "company"),
         "keys",
     )
     # a key's centre is the class with the most company: most like the others
-    best = F.max(F.struct("company", (-F.col("rep")).alias("minus")))
+    best = F.max(F.struct("company", (-F.col("cls")).alias("minus")))
     centres = keys.groupBy("key").agg(best.alias("best"), F.count("*").alias("n")).where("n > 1")
     centres = centres.select("key", (-F.col("best.minus")).alias("a"))
     star = save(
-        keys.join(centres, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "star"
+        keys.join(centres, "key").where("cls <> a").select("a", F.col("cls").alias("b")).distinct(), "star"
     )
-    ids = star.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    # the same join at every size: these ids are not broadcast where they happen to be few
-    texts = source.join(ids.hint("merge"), "id", "left_semi").mapInArrow(_squeeze, "id long, packed binary")
-    texts = save(texts.dropDuplicates(["id"]), "texts")  # repeated rows with one doc_id
+    asked = star.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    asked = save(classes.select("cls", "rep", "d1", "d2").join(asked, "cls", "left_semi"), "asked")
+    ids = asked.select(F.col("rep").alias("id")).distinct()
+    # the same joins at every size: these ids are not broadcast where they happen to be few
+    texts = source.join(ids.hint("merge"), "id", "left_semi")
+    texts = texts.mapInArrow(_squeeze(width), "rep long, d1 long, d2 long, packed binary")
+    one = ["rep", "d1", "d2"]  # repeated rows, and other texts of a doc_id
+    texts = texts.dropDuplicates(one).join(asked.hint("merge"), one).select("cls", "packed")
+    texts = save(texts, "texts")
     rows = star.join(texts.toDF("b", "pb"), "b").join(texts.toDF("a", "pa"), "a")
     compared = save(rows.select("a", "b", "pa", "pb").mapInArrow(_compare(width, percent), _COMPARED), "compared")
     groups = components(compared.where("linked").select("a", "b"))
@@ -291,9 +311,13 @@ def near_duplicates(
     home = compared.select("a").distinct().join(part.withColumnRenamed("node", "a"), "a", "left")
     home = home.select("a", F.coalesce("part", "a").alias("home"))
     spread = near.groupBy("a").agg(
-        F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")
+        F.count("*").alias("n"),
+        F.max("n_a").alias("width"),
+        F.min("component").alias("lo"),
+        F.max("component").alias("hi"),
     )
-    mixed = spread.where("lo < hi").join(home, "a").select("a", "home", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("n") * F.col("width") / CELLS))
+    mixed = spread.where("lo < hi").join(home, "a").select("a", "home", blocks.alias("blocks"))
     mixed = save(mixed, "mixed")  # so that the next join, with its hot centres, can be split
     near = near.join(mixed, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")))
     near = near.repartition("a", "block")  # a large group's blocks go to many tasks
@@ -302,10 +326,20 @@ def near_duplicates(
     apart = near.where("component <> home").groupBy("a", "block", "blocks").agg(F.collect_list(member).alias("x"))
     apart = apart.select("a", "x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     more = apart.join(every, ["a", "block"]).select("x", "y").mapInArrow(_cross(percent), "a long, b long")
-    groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
-
-    labels = classes.select("d1", "d2", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-    labels = labels.select("d1", "d2", F.coalesce("component", "rep").alias("label"))
+    # a doc_id that has several sets links their classes
+    spans = alike.groupBy("doc_id").agg(*[f(c).alias(f"{n}_{c}") for c in ("d1", "d2") for n, f in (("lo", F.min), ("hi", F.max))])
+    several = spans.where("lo_d1 < hi_d1 OR lo_d2 < hi_d2").select("doc_id")
+    several = alike.select("doc_id", "d1", "d2").join(several, "doc_id", "left_semi").distinct()
+    several = save(several.join(classes.select("d1", "d2", "cls"), ["d1", "d2"]).select("doc_id", "cls"), "several")
+    first = several.groupBy("doc_id").agg(F.min("cls").alias("a"))
+    same = several.join(first, "doc_id").where("a < cls").select("a", F.col("cls").alias("b"))
+    links = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    groups = components(links.union(more).union(same))
+
+    labels = classes.select("d1", "d2", "rep", "cls").join(groups.withColumnRenamed("node", "cls"), "cls", "left")
+    labels = labels.withColumn("component", F.coalesce("component", "cls"))
+    least = labels.groupBy("component").agg(F.min("rep").alias("label"))
+    labels = labels.select("d1", "d2", "component").join(least, "component").drop("component")
     out = sketch.drop("minima").join(labels, ["d1", "d2"], "left")
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     component = F.when(linked, F.coalesce("label", "doc_id")).otherwise(F.col("doc_id"))

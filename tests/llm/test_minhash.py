@@ -90,3 +90,22 @@ def test_five_words_and_four_fifths(spark):
     # 296 five-word shingles and one more for each added word
     want = {2 * i for i in range(40)} | {2 * i + 1 for i in range(40) if 100 * 296 < 80 * (296 + 55 + i)}
     assert kept == want and 40 < len(want) < 80
+
+
+def test_a_doc_id_with_two_texts_links_both(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(100)) for c in "ab")
+    rows = [(1, a), (1, b), (2, a), (3, b), (4, a + " x"), (5, b + " y"), (6, "alone")]
+    got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in near_duplicates(frame(spark, rows)).collect()}
+    assert got == {
+        (1, 98): (1, True),
+        (2, 98): (1, False),
+        (3, 98): (1, False),
+        (4, 99): (1, False),
+        (5, 99): (1, False),
+        (6, 1): (6, True),
+    }
+
+
+def test_blocks_bounded_in_shingles(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "CELLS", 2000)  # ten sets of 200 shingles a block
+    check(spark, list(enumerate(near_copies(80, 9), 1)))
