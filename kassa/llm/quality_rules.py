@@ -1,14 +1,18 @@
 """Line-first cleaning: rules judge lines, then documents that lose too much go.
 
-Words are ``[^\\x20\\x09-\\x0D]+``; lines are cut at ``\\n``.  A line with a word
-fails if
+Words are ``[^\\x20\\x09-\\x0D]+``; lines are cut at ``\\n``.  A line ends like a sentence
+if one of ``ENDS`` is last, closing quotes and brackets aside.  A line with a word fails if
 
 * it equals an earlier line of the text (``repeated``),
 * it holds one of ``BOILERPLATE``, A-Z lower-cased (``boilerplate``),
-* a fifth of its words or more are separators like ``|`` or ``>`` (``navigation``),
-* its characters of ``[#*$%&|<>]`` are a tenth of its words or more (``symbols``),
-* or it does not end like a sentence and is short: fewer than ``SHORT_LINE``
-  words without a sentence end, closing quotes and brackets aside (``punctuation``).
+* it does not end like a sentence and a quarter of its words or more, two at least,
+  are separators like ``|`` or ``/``, or half of its words or more are words of
+  menus (``navigation``),
+* its characters of ``[#*$%&|<>]`` are a tenth of its words or more, and it does not
+  end like a sentence or they are a third of its words or more (``symbols``): a per
+  cent sign or an ampersand does not cost a sentence,
+* or it does not end like a sentence and has fewer than ``SHORT_LINE`` words
+  (``punctuation``).
 
 Failed lines and lines without a word are removed.  A document is rejected if
 it has fewer than ``MIN_WORDS`` words, if over half of its words stand in 3-word
@@ -34,7 +38,11 @@ MAX_REPEATED_PERCENT = 50
 MAX_LOST_PERCENT = 50
 SHORT_LINE = 4
 SYMBOLS = b"#*$%&|<>"
-SEPARATORS = (b"|", b">", b"<", b">>", b"<<")
+SEPARATORS = frozenset("| > < >> << / // · • » « › ‹ → ←".encode().split())
+MENU = frozenset(
+    b"home about contact login logout register search news blog products services shop cart checkout account help"
+    b" support faq sitemap careers press privacy terms imprint menu next previous back more share print rss".split()
+)
 BOILERPLATE = (
     b"all rights reserved",
     b"cookie policy",
@@ -64,15 +72,17 @@ _RESULT = {
 
 def line_fails(line: bytes, n_words: int) -> bool:
     """The rules that need only the line itself."""
-    n_symbols = len(line) - len(line.translate(None, SYMBOLS))
-    if n_symbols and 10 * n_symbols >= n_words:
-        return True
     folded = line.lower()
     if any(phrase in folded for phrase in BOILERPLATE):
         return True
-    if n_symbols and 5 * sum(word in SEPARATORS for word in line.split()) >= n_words:
+    n_symbols = len(line) - len(line.translate(None, SYMBOLS))
+    if line.rstrip().rstrip(CLOSERS).endswith(ENDS):
+        return n_symbols > 0 and 3 * n_symbols >= n_words
+    if n_words < SHORT_LINE or (n_symbols > 0 and 10 * n_symbols >= n_words):
         return True
-    return n_words < SHORT_LINE and not line.rstrip().rstrip(CLOSERS).endswith(ENDS)
+    words = folded.split()
+    separators = sum(word in SEPARATORS for word in words)
+    return (separators > 1 and 4 * separators >= n_words) or 2 * sum(word in MENU for word in words) >= n_words
 
 
 def _repeated_words(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:

@@ -55,14 +55,21 @@ WITH doc AS (
   FROM cut WHERE len(lw) > 0
 ), judged AS (
   SELECT doc_id, dup, len(lw) AS n,
-    (signs > 0 AND 10 * signs >= len(lw))
-    OR (signs > 0 AND 5 * len(list_filter(lw, lambda x: x IN ('|', '>', '<', '>>', '<<'))) >= len(lw))
+    (signs > 0 AND (CASE WHEN ended THEN 3 ELSE 10 END) * signs >= len(lw))
+    OR (NOT ended AND (len(lw) < 4 OR seps > 1 AND 4 * seps >= len(lw) OR 2 * menu >= len(lw)))
     OR contains(low, 'all rights reserved') OR contains(low, 'cookie policy') OR contains(low, 'enable javascript')
     OR contains(low, 'privacy policy') OR contains(low, 'terms of service')
     OR contains(low, 'subscribe to our newsletter') OR contains(low, 'click here to')
-    OR contains(low, 'log in to') OR contains(low, 'sign up for')
-    OR (len(lw) < 4 AND NOT regexp_matches(line, '(\.|!|\?|…|:|;)["'')\]}}]*[\x20\x09-\x0D]*$')) AS bad
-  FROM line
+    OR contains(low, 'log in to') OR contains(low, 'sign up for') AS bad
+  FROM (
+    SELECT *, regexp_matches(line, '(\.|!|\?|…|:|;)["'')\]}}]*[\x20\x09-\x0D]*$') AS ended,
+      len(list_filter(lw, lambda x: x IN ('|', '>', '<', '>>', '<<', '/', '//', '·', '•', '»', '«', '›', '‹', '→', '←'))) AS seps,
+      len(list_filter(regexp_extract_all(low, {_NOT_SPACE}), lambda x: x IN (
+        'home', 'about', 'contact', 'login', 'logout', 'register', 'search', 'news', 'blog', 'products', 'services',
+        'shop', 'cart', 'checkout', 'account', 'help', 'support', 'faq', 'sitemap', 'careers', 'press', 'privacy',
+        'terms', 'imprint', 'menu', 'next', 'previous', 'back', 'more', 'share', 'print', 'rss'))) AS menu
+    FROM line
+  )
 ), lost AS (
   SELECT doc_id, sum(CASE WHEN dup THEN 1 ELSE 0 END) AS n_dup_lines,
          sum(CASE WHEN dup OR bad THEN n ELSE 0 END) AS n_lost

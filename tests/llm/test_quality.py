@@ -31,6 +31,32 @@ def test_line_rules(spark):
     assert sorted(r.doc_id for r in Q.clean_documents(docs).collect()) == [1, 2]
 
 
+def test_each_line_rule_alone():
+    """Every rule has a line that only it fails; near misses of each stay."""
+    fails = {
+        "boilerplate": "Please read our privacy policy before you go on with it.",
+        "navigation, separators": "Start / Waren / Firma / Kontakt",
+        "navigation, dots": "Start · Waren · Firma · Kontakt heute",
+        "navigation, menu words": "Home About Contact Login Register",
+        "symbols": "one two three # four five six seven eight nine",
+        "symbols in a sentence": "$$$ %%% wow.",
+        "punctuation": "Read on",
+    }
+    for rule, line in fails.items():
+        assert Q.line_fails(line.encode(), len(line.split())), rule
+    stay = [
+        "Sales rose by 5% in March, she said.",
+        "AT&T said it would pay the fine.",
+        "We went home / back to the contact that we had about it all",
+        "They share more news about home.",
+        "Read on!",
+        "He said \"stop.\"",
+        "The privacy of its terms is a policy matter",
+    ]
+    for line in stay:
+        assert not Q.line_fails(line.encode(), len(line.split())), line
+
+
 def test_edge_rows(spark):
     docs = frame(spark)
     got = Q.judge_lines(docs).collect()
