@@ -12,7 +12,11 @@ mandatory words match exactly and in order.  The template's label then joins
 the labels of the base phrases.  A document that lacks a mandatory word of
 every template is not run through the automata.
 
-``score`` is 1 if a whole notice is found, 0.5 if only a base phrase, else 0.
+Labels ending in ``-text`` are whole licence texts, conditions and disclaimer
+included (MIT, ISC, BSD with two and three clauses); those in ``-notice`` are
+sentences that name a licence, whole in themselves; those in ``-opening`` only the
+first sentence of a licence text, whatever follows.  ``score`` is 1 if a whole text
+or notice is found, else 0.75 for an opening, 0.5 for a base phrase, 0 for nothing.
 
 Null text is empty.  Rows, also repeated ones, are scanned one by one; an empty
 table gives an empty result; input columns named like a result column are
@@ -38,15 +42,64 @@ PHRASES = (
     ("general public license", "gpl"),
 )
 
-#: Label and wording, words as in the texts.
+# Wording of the licence texts, words as in the texts.
+_MIT_GRANT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software"
+    " and associated documentation files [[the software]] to deal in the software without restriction"
+)
+_MIT_REST = (
+    "including without limitation the rights to use copy modify merge publish distribute sublicense and or sell"
+    " copies of the software and to permit persons to whom the software is furnished to do so subject to the"
+    " following conditions the above copyright notice and this permission notice [[including the next paragraph]]"
+    " shall be included in all copies or substantial portions of the software the software is provided as is"
+    " without warranty of any kind express or implied including but not limited to the warranties of"
+    " merchantability fitness for a particular purpose and noninfringement in no event shall {{10}} be liable for"
+    " any claim damages or other liability whether in an action of contract tort or otherwise arising from out of"
+    " or in connection with the software or the use or other dealings in the software"
+)
+_ISC = (
+    "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby"
+    " granted provided that the above copyright notice and this permission notice appear in all copies the software"
+    " is provided as is and {{8}} disclaims all warranties with regard to this software including all implied"
+    " warranties of merchantability and fitness in no event shall {{8}} be liable for any special direct indirect or"
+    " consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action"
+    " of contract negligence or other tortious action arising out of or in connection with the use or performance of"
+    " this software"
+)
+_BSD_GRANT = (
+    "redistribution and use in source and binary forms with or without modification are permitted"
+    " provided that the following conditions are met"
+)
+_BSD_TWO = (
+    "[[1]] redistributions of source code must retain the above copyright notice this list of conditions and the"
+    " following disclaimer [[2]] redistributions in binary form must reproduce the above copyright notice this list"
+    " of conditions and the following disclaimer in the documentation and or other materials provided with the"
+    " distribution"
+)
+_BSD_NAMES = (
+    "[[3]] neither the name of {{12}} nor the names of its contributors may be used to endorse or promote products"
+    " derived from this software without specific prior written permission"
+)
+_BSD_REST = (
+    "this software is provided by {{12}} as is and any express or implied warranties including but not limited to the"
+    " implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall"
+    " {{12}} be liable for any direct indirect incidental special exemplary or consequential damages including but"
+    " not limited to procurement of substitute goods or services loss of use data or profits or business"
+    " interruption however caused and on any theory of liability whether in contract strict liability or tort"
+    " including negligence or otherwise arising in any way out of the use of this software even if advised of the"
+    " possibility of such damage"
+)
+
+#: Label and wording.
 TEMPLATES = (
+    ("mit-text", f"{_MIT_GRANT} {_MIT_REST}"),
+    ("isc-text", _ISC),
+    ("bsd-2-clause-text", f"{_BSD_GRANT} {_BSD_TWO} {_BSD_REST}"),
+    ("bsd-3-clause-text", f"{_BSD_GRANT} {_BSD_TWO} {_BSD_NAMES} {_BSD_REST}"),
+    ("mit-opening", _MIT_GRANT),
+    ("bsd-opening", _BSD_GRANT),
     ("mit-notice", "[[this {{3}} is]] released under the mit license"),
     ("mit-notice", "licensed under the mit license"),
-    (
-        "mit-notice",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software"
-        " and associated documentation files [[the software]] to deal in the software without restriction",
-    ),
     ("apache-2.0-notice", "licensed under the apache license version 2 0 [[the license]]"),
     ("gpl-notice", "licensed under the [[terms of the]] gnu [[lesser]] general public license version {{1}}"),
     (
@@ -55,11 +108,6 @@ TEMPLATES = (
     ),
     ("cc-by-nc-notice", "licensed under [[a]] [[creative commons]] cc by nc 4 0"),
     ("cc-by-notice", "licensed under [[a]] creative commons attribution [[sharealike]] {{1}} 0 [[international]] license"),
-    (
-        "bsd-notice",
-        "redistribution and use in source and binary forms with or without modification are permitted"
-        " provided that the following conditions are met",
-    ),
     ("mpl-2.0-notice", "subject to the terms of the mozilla public license v 2 0"),
 )
 
@@ -155,6 +203,12 @@ def find_notices(words: list[bytes], templates: tuple = TEMPLATES) -> set[str]:
     return out
 
 
+def score_of(phrases: set[str], notices: set[str]) -> float:
+    if any(not label.endswith("-opening") for label in notices):
+        return 1.0
+    return 0.75 if notices else 0.5 if phrases else 0.0
+
+
 def _hashes_of(words: list[bytes]) -> np.ndarray:
     ends = np.cumsum([len(w) for w in words])
     raw = np.frombuffer(b"".join(words), np.uint8)
@@ -192,7 +246,7 @@ def _scan(schema: pa.Schema, text_col: str, phrases: tuple, templates: tuple):
                 notices = find_notices(words, templates)
                 base[i] = ",".join(sorted(found))
                 labels[i] = ",".join(sorted(found | notices))
-                score[i] = 1.0 if notices else 0.5 if found else 0.0
+                score[i] = score_of(found, notices)
             extra = {
                 "n_words": np.diff(bounds),
                 "n_base": n_base,

@@ -3,6 +3,10 @@
 Written from the contract of each query, over the same tables.
 """
 
+import re
+
+from kassa.llm.license_scan import TEMPLATES
+
 _FOLD = "translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 _NOT_SPACE = r"'[^\x20\x09-\x0D]+'"
@@ -115,33 +119,15 @@ SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remove
 FROM doc LEFT JOIN sums USING (doc_id) LEFT JOIN left_over USING (doc_id)
 """
 
-# The templates of the notices, as patterns over the words joined by blanks.
-# Regions that may be absent at a template's end or start add nothing.
-_NOTICES = (
-    ("mit-notice", " (released|licensed) under the mit license "),
-    (
-        "mit-notice",
-        " permission is hereby granted free of charge to any person obtaining a copy of this software and associated"
-        " documentation files (the software )?to deal in the software without restriction ",
-    ),
-    ("apache-2.0-notice", " licensed under the apache license version 2 0 "),
-    ("gpl-notice", " licensed under the (terms of the )?gnu (lesser )?general public license version [^ ]+ "),
-    (
-        "gpl-notice",
-        " under the terms of the gnu (lesser )?general public license as published by the free software foundation ",
-    ),
-    ("cc-by-nc-notice", " licensed under (a )?(creative commons )?cc by nc 4 0 "),
-    (
-        "cc-by-notice",
-        " licensed under (a )?creative commons attribution (sharealike )?[^ ]+ 0 (international )?license ",
-    ),
-    (
-        "bsd-notice",
-        " redistribution and use in source and binary forms with or without modification are permitted provided"
-        " that the following conditions are met ",
-    ),
-    ("mpl-2.0-notice", " subject to the terms of the mozilla public license v 2 0 "),
-)
+def _pattern(wording: str) -> str:
+    """A wording as a pattern over words joined by blanks.  A region that may be
+    absent at its start or end adds nothing there."""
+    wording = re.sub(r"^\[\[[^\]]*\]\] | \[\[[^\]]*\]\]$", "", wording)
+    wording = re.sub(r"\[\[([^\]]*)\]\] ", r"(\1 )?", wording + " ")
+    return " " + re.sub(r"\{\{(\d+)\}\} ", r"([^ ]+ ){1,\1}", wording)
+
+
+_NOTICES = tuple((label, _pattern(wording)) for label, wording in TEMPLATES)
 _NOTICE_ROWS = " UNION ALL ".join(f"SELECT doc_id, '{label}' AS l FROM doc WHERE regexp_matches(j, '{p}')" for label, p in _NOTICES)
 
 _OP6 = rf"""
@@ -159,13 +145,13 @@ spot AS (
   FROM spot GROUP BY doc_id
 ), notice AS ({_NOTICE_ROWS}),
 every AS (
-  SELECT doc_id, string_agg(DISTINCT l, ',' ORDER BY l) AS labels, bool_or(l LIKE '%-notice') AS whole
+  SELECT doc_id, string_agg(DISTINCT l, ',' ORDER BY l) AS labels, bool_or(l LIKE '%-notice' OR l LIKE '%-text') AS whole, bool_or(l LIKE '%-opening') AS opening
   FROM (SELECT doc_id, l FROM spot UNION ALL SELECT doc_id, l FROM notice) GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
        CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
-       CAST(CASE WHEN whole THEN 1 WHEN n_base > 0 THEN 0.5 ELSE 0 END AS DOUBLE) AS score
+       CAST(CASE WHEN whole THEN 1 WHEN opening THEN 0.75 WHEN n_base > 0 THEN 0.5 ELSE 0 END AS DOUBLE) AS score
 FROM doc LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id)
 """
 

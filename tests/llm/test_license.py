@@ -32,6 +32,55 @@ def test_labels_and_places(spark):
     assert (got[5].base_labels, got[5].labels) == ("", "cc-by-nc-notice")
 
 
+MIT = """Copyright (c) 2020 Some Holder
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def _written_out(wording, regions, holder):
+    """A licence text of a template, with or without its optional regions."""
+    wording = re.sub(r"\[\[([^\]]*)\]\]", r"\1" if regions else "", wording)
+    return re.sub(r"\{\{\d+\}\}", holder, wording)
+
+
+def test_whole_texts(spark):
+    changed = MIT.replace("including without limitation", "except that nobody may sell it, including without limitation")
+    cut = MIT[: MIT.index("THE SOFTWARE IS")]
+    rows = [(1, "Words before. " + MIT + " Words after."), (2, changed), (3, cut), (4, MIT.replace("ANY CLAIM", "A CLAIM"))]
+    wording = {label: w for label, w in L.TEMPLATES if label.endswith("-text")}
+    assert set(wording) == {"mit-text", "isc-text", "bsd-2-clause-text", "bsd-3-clause-text"}
+    want = {1: ("mit-opening,mit-text", 1.0), 2: ("mit-opening", 0.75), 3: ("mit-opening", 0.75), 4: ("mit-opening", 0.75)}
+    for k, (label, w) in enumerate(sorted(wording.items())):
+        for regions in (False, True):
+            text = _written_out(w, regions, "the copyright holder and contributors")
+            at = 100 + 10 * k + 2 * regions
+            words = text.split()
+            rows += [(at, text), (at + 1, " ".join(words[:-3] + ["never"] + words[-3:]))]
+            opening = [] if label == "isc-text" else [label.split("-")[0] + "-opening"]
+            want[at] = (",".join(sorted([*opening, label])), 1.0)
+            want[at + 1] = (",".join(opening), 0.75 if opening else 0.0)
+    got = {r.doc_id: (r.labels, r.score) for r in L.scan_licenses(frame(spark, rows)).collect()}
+    assert got == want
+
+
+def test_a_holder_of_too_many_words_is_no_match():
+    wording = dict(L.TEMPLATES)["isc-text"]
+    for holder, found in (("abcdefgh", {"isc-text"}), ("abcdefghi", set())):
+        text = _written_out(wording, True, " ".join(holder))
+        assert L.find_notices(text.encode().split()) == found
+
+
 def test_edge_rows(spark):
     got = L.scan_licenses(frame(spark)).collect()
     assert len(got) == len(ROWS)
