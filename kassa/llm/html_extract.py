@@ -12,8 +12,9 @@ contiguous region with the best sum.
 From the region come the blocks, cut at block-level tags.  Character references are decoded,
 white space in a block becomes one space, blocks are joined by an empty line.
 
-The weights come from at most ``MAX_PAGES`` labelled pages, chosen by a hash of
-page_id; without any, only the fixed lists speak.  Null html is an empty page;
+The weights come from at most ``MAX_PAGES`` labelled pages of at most
+``MAX_PAGE_BYTES`` each, chosen by a hash of page_id: the sample's bound in bytes also
+bounds the counts of token kinds, of which all are kept.  Without such pages, only the fixed lists speak.  Null html is an empty page;
 an unfinished tag at the end is dropped; an element that is never closed ends
 with the one around it.  Rows, also repeated ones, are extracted one by one; an
 empty table gives an empty result; input columns named ``text`` or ``n_chars``
@@ -36,6 +37,7 @@ from pyspark.sql.types import LongType, StringType, StructType
 from kassa.llm import text as T
 
 MAX_PAGES = 2000
+MAX_PAGE_BYTES = 128 << 10
 
 # Element names of HTML by their role.
 RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "title", "xmp")
@@ -242,16 +244,23 @@ def main_text(source: str | None, weights: Weights) -> str:
     return "\n\n".join(t for t in texts if t)
 
 
-def fit(pages: DataFrame, max_pages: int = MAX_PAGES, id_col: str = "page_id", html_col: str = "html") -> Weights:
-    """Weights from a bounded sample of labelled pages."""
+def fit(
+    pages: DataFrame,
+    max_pages: int = MAX_PAGES,
+    id_col: str = "page_id",
+    html_col: str = "html",
+    max_page_bytes: int = MAX_PAGE_BYTES,
+) -> Weights:
+    """Weights from a sample of labelled pages, bounded in rows and bytes."""
     sample = (
-        pages.where(F.col(html_col).contains("<article"))
+        pages.where(F.col(html_col).contains("<article") & (F.octet_length(html_col) <= max_page_bytes))
         .select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
         .withColumn("rank", F.xxhash64("id"))
+        .withColumn("digest", F.xxhash64("html"))
     )
-    # pages are picked by id alone, then only they are read whole
-    picked = sample.select("rank", "id").distinct().orderBy("rank", "id").limit(max_pages)
-    rows = sample.join(F.broadcast(picked.select("id")), "id").select("html").distinct()
+    # pages are picked by id and digest, as an id may have many pages; then only they are read whole
+    picked = sample.select("rank", "id", "digest").distinct().orderBy("rank", "id", "digest").limit(max_pages)
+    rows = sample.join(F.broadcast(picked.select("id", "digest")), ["id", "digest"]).select("html").distinct()
 
     def count(batches):
         for batch in batches:
@@ -266,8 +275,6 @@ def fit(pages: DataFrame, max_pages: int = MAX_PAGES, id_col: str = "page_id", h
         rows.mapInArrow(count, "kind string, inside long, outside long")
         .groupBy("kind")
         .agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-        .orderBy(F.desc(F.col("inside") + F.col("outside")), "kind")
-        .limit(10_000)  # of a bounded sample: the most frequent kinds
         .collect()
     )
     return Weights(Counter({r.kind: r.inside for r in counts}), Counter({r.kind: r.outside for r in counts}))

@@ -97,3 +97,15 @@ def test_best_region_equals_a_quadratic_search():
         a, b = H.best_region(scores, plain)
         sums = [sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
         assert sum(scores[a:b]) == max([0.0, *sums])
+
+
+def test_sample_keeps_all_kinds_and_its_bounds(spark):
+    page = "<body><article>{}</article></body>"
+    many = [page.format("".join(f'<b class="k{i}x{j}">w</b>' for j in range(4000))) for i in range(4)]
+    rows = [(7, p) for p in many] + [(8, page.format("<u>long</u> " + "w " * 70_000))]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    known = H.fit(pages).known
+    assert sum(k.startswith("b.k") for k in known) == 16_000
+    assert not any("u" in k.split() for k in known)  # that page is over the bound in bytes
+    # one id with many pages is no way around the bound in rows
+    assert sum(k.startswith("b.k") for k in H.fit(pages, max_pages=2).known) == 8000
