@@ -615,3 +615,138 @@ ORACLES["report_run_all"] = "\nUNION ALL\n".join(
 for _name in ("product_sales", "product_performance", "inventory_turnover", "low_stock_alerts"):
     ORACLES[f"{_name}_order_layout"] = ORACLES[_name]
 ORACLES["monthly_revenue_order_layout"] = ORACLES["monthly_revenue_breakdown"]
+
+# ---- G: drawn data.  A draw is the first 15 hex digits of an MD5; the tables of the
+# inverse distributions are computed here, by DuckDB.
+_SEED = 42
+_START = f"TIMESTAMP '{C.AS_OF.isoformat()} 00:00:00'"
+
+
+def _draw(salt: str, key: str, seed: int = _SEED) -> str:
+    return f"CAST('0x' || substr(md5('{seed}|{salt}|' || {key}), 1, 15) AS BIGINT)"
+
+
+def _second(col: str) -> str:
+    return f"strftime({col}, '%Y-%m-%d %H:%M:%S')"
+
+
+_TABLES = """
+weight_steps AS (SELECT i, CAST(round(1000 * exp(3 * i / 128.0)) AS BIGINT) AS v FROM range(129) r(i)),
+halving_steps AS (SELECT i, CAST(round(-1000000 * log2(1 - i / 128.0)) AS BIGINT) AS v FROM range(65) r(i))"""
+
+_WEIGHTS = f"""
+popularity AS (
+  SELECT id AS product_id, a.v + (b.v - a.v) * (d % 8192) // 8192 AS w
+  FROM (SELECT id, {_draw('weight', 'id')} % 1048576 AS d FROM shop_products) p
+  JOIN weight_steps a ON a.i = d // 8192
+  JOIN weight_steps b ON b.i = d // 8192 + 1
+)"""
+
+_DRAWN_ORDERS = f"""
+buyers AS (
+  SELECT id, created_at, tenure,
+         (((60 - length(bin(whole))) * 1000000 + a.v + (b.v - a.v) * (part % 16384) // 16384) * 693147) // 1000000 AS e,
+         CASE WHEN {_draw('heavy', 'id')} % 100 < 5 THEN 4 ELSE 1 END AS heavy
+  FROM (
+    SELECT id, created_at, date_diff('second', created_at, {_START}) AS tenure,
+           {_draw('count', 'id')} AS whole, {_draw('count-rest', 'id')} % 1048576 AS part
+    FROM shop_customers WHERE {_draw('none', 'id')} % 100 >= 15
+  ) c
+  JOIN halving_steps a ON a.i = part // 16384
+  JOIN halving_steps b ON b.i = part // 16384 + 1
+),
+bought AS (
+  SELECT id * 1000000 + g AS id, id AS customer_id, created_at, tenure
+  FROM (SELECT *, unnest(range(1, 2 + CAST(e * heavy * 18 * tenure // (730 * 86400 * CAST(1000000 AS BIGINT)) AS BIGINT))) AS g
+        FROM buyers)
+),
+dated AS (
+  SELECT id, customer_id,
+         created_at + to_seconds(({_draw('date', 'id')} % 2147483648) * tenure // 2147483648) AS order_date,
+         {_draw('status', 'id')} % 100 AS percent
+  FROM bought
+),
+drawn_orders AS (
+  SELECT *, CASE WHEN order_date > {_START} - INTERVAL 2 DAY
+                 THEN CASE WHEN percent >= 93 THEN 'cancelled' WHEN percent >= 60 THEN 'completed' ELSE 'pending' END
+                 ELSE CASE WHEN percent >= 97 THEN 'pending' WHEN percent >= 87 THEN 'cancelled' ELSE 'completed' END
+            END AS status
+  FROM dated
+)"""
+
+ORACLES["gen_product_weights"] = with_model(f"""
+{_TABLES.strip()}, {_WEIGHTS}
+SELECT product_id, CAST(w AS DOUBLE) / 1000 AS weight FROM popularity
+""")
+
+ORACLES["gen_orders"] = with_model(f"""
+{_TABLES.strip()}, {_DRAWN_ORDERS}
+SELECT id, customer_id, {_second('order_date')} AS order_date, status, CAST(0 AS DOUBLE) AS total_amount,
+       {_second(f'''CASE status WHEN 'pending' THEN order_date
+           ELSE least(order_date + to_seconds({_draw('updated', 'id')} % 259200), {_START}) END''')} AS updated_at
+FROM drawn_orders
+""")
+
+# 16 points an order: among hundreds of products they always hold five distinct ones
+ORACLES["gen_order_items"] = with_model(f"""
+{_TABLES.strip()}, {_WEIGHTS}, {_DRAWN_ORDERS},
+stocked AS (
+  SELECT kind, product_id, price, w,
+         sum(w) OVER (PARTITION BY kind ORDER BY {_draw('part', 'product_id', 0)} % 1024, product_id) AS hi
+  FROM popularity JOIN shop_products s ON s.id = product_id
+  JOIN (VALUES (0), (1)) k(kind) ON kind = 1 OR is_active
+),
+offered AS (SELECT kind, product_id, price, CAST(hi - w AS BIGINT) AS lo FROM stocked),
+sums AS (SELECT kind, count(*) AS products, CAST(sum(w) AS BIGINT) AS weight FROM stocked GROUP BY kind),
+wanted AS (
+  SELECT order_id, kind, weight, least(products, 1 + side * side * 5 // (CAST(1 AS BIGINT) << 48)) AS want
+  FROM (SELECT id AS order_id, CASE WHEN order_date < {_START} - INTERVAL 180 DAY THEN 1 ELSE 0 END AS kind,
+               {_draw('n_items', 'id')} % 16777216 AS side FROM drawn_orders) o
+  JOIN sums USING (kind)
+),
+points AS (
+  SELECT order_id, kind, want, t, {_draw('product', "order_id || '|' || t")} % weight AS spot
+  FROM wanted, range(1, 17) r(t)
+),
+swept AS (
+  SELECT order_id, want, t, kind, max(start) OVER (PARTITION BY kind ORDER BY spot, t) AS lo
+  FROM (SELECT order_id, want, t, kind, spot, CAST(NULL AS BIGINT) AS start FROM points
+        UNION ALL SELECT NULL, NULL, 0, kind, lo, lo FROM offered)
+),
+hits AS (
+  SELECT order_id, want, product_id, price, min(t) AS t
+  FROM swept JOIN offered USING (kind, lo) WHERE order_id IS NOT NULL
+  GROUP BY ALL
+),
+lines AS (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY t) AS pos FROM hits
+),
+priced AS (
+  SELECT order_id * 10 + pos AS id, order_id, product_id, CAST(price * 100 AS BIGINT) AS c,
+         {_draw('qty', "order_id || '|' || product_id")} % 100 AS q,
+         {_draw('disc', "order_id || '|' || product_id")} % 100 AS d,
+         8000 + {_draw('rate', "order_id || '|' || product_id")} % 1501 AS rate
+  FROM lines WHERE pos <= want
+)
+SELECT id, order_id, product_id,
+       CAST(1 + (q >= 80)::INT + (q >= 95)::INT AS BIGINT) AS quantity,
+       CAST(CASE WHEN d < 70 THEN c ELSE (c * rate + 5000) // 10000 END AS DOUBLE) / 100 AS unit_price
+FROM priced
+""")
+
+ORACLES["gen_stock"] = with_model(f"""
+sold AS (
+  SELECT product_id, sum(quantity) AS units FROM shop_items i JOIN shop_orders o ON o.id = i.order_id
+  WHERE o.status = 'completed' AND o.order_date >= {_START} - INTERVAL 90 DAY GROUP BY product_id
+),
+covers(percent, low, high) AS (VALUES (0, 0, 0), (8, 100, 650), (20, 700, 2900), (40, 3000, 9000), (80, 9100, 27100)),
+luck AS (
+  SELECT p.*, COALESCE(units, 0) AS units, {_draw('stock', 'p.id')} % 100 AS percent, {_draw('spread', 'p.id')} AS spread
+  FROM shop_products p LEFT JOIN sold ON product_id = p.id
+)
+SELECT id, name, category_id, CAST(price AS DOUBLE) AS price,
+       CAST(CASE WHEN units > 0 THEN (units * (low + spread % (high - low + 1)) + 8999) // 9000
+                 WHEN l.percent < 70 THEN 20 + spread % 180 ELSE 0 END AS BIGINT) AS stock_quantity,
+       is_active, {_second('created_at')} AS created_at
+FROM luck l ASOF JOIN covers c ON l.percent >= c.percent
+""")

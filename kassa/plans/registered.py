@@ -359,6 +359,12 @@ def q_normalise_legacy_products(spark, sf_dir):
 SEED = 42
 
 
+@register("gen_product_weights")
+def q_gen_product_weights(spark, sf_dir):
+    """A popularity weight for every driver product."""
+    return generate.gen_product_weights(shop(spark, sf_dir).products, SEED)
+
+
 @register("gen_orders")
 def q_gen_orders(spark, sf_dir):
     """Synthetic order history for every driver customer (scales with them)."""

@@ -24,9 +24,8 @@ def test_entry_runs(spark):
     assert "anomaly_flag" in df.columns
 
 
-def test_every_query_has_an_oracle_or_is_known_rows_only():
-    rows_only = {"gen_orders", "gen_order_items", "gen_stock"}
-    assert set(catalog.queries()) - set(catalog.oracle_sql()) == rows_only
+def test_every_query_has_an_oracle():
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
     assert set(catalog.queries()) <= set(E.queries())
 
 
