@@ -34,6 +34,51 @@ def category_rollup(shop: Shop) -> DataFrame:
     )
 
 
+def category_tree(shop: Shop) -> DataFrame:
+    """Every category with the top of its tree, however deep: category_id, category,
+    top_id, top_level, depth (0 at the top) and ``cyclic``.
+
+    A category without a parent, or with one that is not in the table, is a top.
+    One whose way up never ends, as it lies in a cycle or below one, is reported with
+    ``cyclic`` set and top and depth null.  Ways double in length each round, so a
+    tree of depth d takes log2(d) joins, a table with a cycle log2 of its rows; each
+    round is written, which cuts its lineage.  ``category_rollup`` keeps to the direct
+    parent, as the reports are defined."""
+    own = shop.categories.select("id", "name", "parent_id")
+    known = own.select(F.col("id").alias("parent_id"), F.lit(True).alias("_known"))
+    first = materialize(
+        own.join(known, "parent_id", "left").select(
+            "id",
+            F.when(F.col("_known"), F.col("parent_id")).otherwise(F.col("id")).alias("up"),
+            F.when(F.col("_known"), 1).otherwise(0).cast(LongType()).alias("depth"),
+        ),
+        "category_steps",
+    )
+    ways = first
+    for _ in range(first.count().bit_length()):
+        on = ways.select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_more"))
+        longer = ways.join(on, "up").select("id", F.col("_up").alias("up"), "depth", "_more")
+        longer = materialize(longer, "category_steps")
+        ways = longer.select("id", "up", (F.col("depth") + F.col("_more")).alias("depth"))
+        if longer.where("_more > 0").isEmpty():
+            break
+    tops = first.where("depth = 0").join(own, "id").select(F.col("id").alias("up"), F.col("name").alias("top_level"))
+    names = own.select("id", F.col("name").alias("category"))
+    at_top = F.col("_top").isNotNull()
+    return (
+        ways.join(names, "id")
+        .join(tops.withColumn("_top", F.col("up")), "up", "left")
+        .select(
+            F.col("id").alias("category_id"),
+            "category",
+            F.col("_top").alias("top_id"),
+            "top_level",
+            F.when(at_top, F.col("depth")).alias("depth"),
+            (~at_top).alias("cyclic"),
+        )
+    )
+
+
 def product_categories(shop: Shop) -> DataFrame:
     """product_id -> category and top-level category names ('Uncategorized' when missing)."""
     roll = category_rollup(shop)

@@ -273,6 +273,17 @@ ORACLES["category_rollup"] = _report(
     "", "SELECT CAST(category_id AS BIGINT) AS category_id, category, parent_category FROM shop_rollup"
 )
 
+ORACLES["category_tree"] = with_model("""
+climb AS (
+  SELECT id, id AS at_id, 0 AS depth FROM shop_categories
+  UNION ALL
+  SELECT c.id, p.parent_id, depth + 1 FROM climb c JOIN shop_categories p ON p.id = c.at_id WHERE p.parent_id IS NOT NULL
+),
+tops AS (SELECT id, arg_max(at_id, depth) AS top_id, max(depth) AS depth FROM climb GROUP BY id)
+SELECT t.id AS category_id, c.name AS category, top_id, p.name AS top_level, CAST(depth AS BIGINT) AS depth, FALSE AS cyclic
+FROM tops t JOIN shop_categories c ON c.id = t.id JOIN shop_categories p ON p.id = top_id
+""").replace("WITH", "WITH RECURSIVE", 1)
+
 ORACLES["product_sales"] = _report(
     _SOLD,
     """

@@ -125,6 +125,12 @@ def q_category_rollup(spark, sf_dir):
     return shared.category_rollup(shop(spark, sf_dir))
 
 
+@register("category_tree")
+def q_category_tree(spark, sf_dir):
+    """Every category with the top of its tree and its depth."""
+    return shared.category_tree(shop(spark, sf_dir))
+
+
 @register("product_sales")
 def q_product_sales(spark, sf_dir):
     return shared.product_sales(shop(spark, sf_dir), as_of=AS_OF, window_days=DAYS)
