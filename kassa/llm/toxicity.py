@@ -26,6 +26,8 @@ empty table gives an empty result; other columns are kept out of the score.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -60,17 +62,22 @@ def _parted(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return joined, first, last, bounds
 
 
-def _gram_slots(data: np.ndarray, width: int) -> np.ndarray:
-    """Table slot of the ``width`` bytes from each position on."""
+def _gram_slots(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """For each width: table slot of the ``width`` bytes from each position on.  A
+    width's sums are carried on from those of the one before."""
     base = np.uint32(0x01000193)
     codes = T.mix(np.arange(1, 257, dtype=np.uint64)).astype(np.uint32)[data]
-    n = len(data) - width + 1
-    total = np.full(max(n, 0), width, np.uint32)
-    for k in range(width):
-        total = total * base + codes[k : k + max(n, 0)]
-    total ^= total >> np.uint32(15)
-    total *= np.uint32(0x2C1B3C6D)
-    return (total >> np.uint32(32 - BITS)).astype(np.int32)
+    total = np.zeros(len(data), np.uint32)
+    for k in range(max(GRAMS)):
+        n = max(len(data) - k, 0)
+        total = total[:n] * base
+        total += codes[k : k + n]
+        width = k + 1
+        if width in GRAMS:
+            slots = total + np.uint32(width * pow(int(base), width, 1 << 32) % (1 << 32))
+            slots ^= slots >> np.uint32(15)
+            slots *= np.uint32(0x2C1B3C6D)
+            yield width, (slots >> np.uint32(32 - BITS)).astype(np.int32)
 
 
 def _gram_ranges(first: np.ndarray, last: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,22 +89,40 @@ def _gram_ranges(first: np.ndarray, last: np.ndarray, width: int) -> tuple[np.nd
     return some, ranges
 
 
-def _word_slots(data, first, last) -> np.ndarray:
-    return (T.word_hashes(data, first, last) >> np.uint64(64 - BITS)).astype(np.int32)
+def _word_slots(hashes) -> np.ndarray:
+    return (hashes >> np.uint64(64 - BITS)).astype(np.int32)
 
 
 def features(data, first, last, odds: dict) -> np.ndarray:
-    """INPUTS x words."""
-    out = np.zeros((INPUTS, len(first)), np.float32)
+    """INPUTS x words.  Inputs hang on the word alone, so each distinct word of the
+    block is looked up once."""
     if not len(first):
-        return out
-    out[0] = odds["word"][_word_slots(data, first, last)]
+        return np.zeros((INPUTS, 0), np.float32)
+    hashes = T.word_hashes(data, first, last)
+    order = np.argsort(hashes)
+    new = np.append(True, np.diff(hashes[order]) != 0)
+    which = np.empty(len(first), np.int64)
+    which[order] = np.cumsum(new) - 1
+    one = order[new]
+    hashes = hashes[one]
+    size = last[one] - first[one]
+    end = np.cumsum(size + 1)  # a blank before each word, and one at the end
+    at = np.arange(int(end[-1]) + 1) - np.append(np.repeat(end - size, size + 1), end[-1])
+    source = np.append(np.repeat(first[one], size + 1), 0) + at
+    distinct = np.where(at < 0, _SPACE, data[source])
+    distinct[-1] = _SPACE
+    return np.take(_word_inputs(distinct, end - size, end, hashes, odds), which, axis=1)
+
+
+def _word_inputs(data, first, last, hashes, odds: dict) -> np.ndarray:
+    out = np.zeros((INPUTS, len(first)), np.float32)
+    out[0] = odds["word"][_word_slots(hashes)]
     count = np.zeros(len(first), np.float32)
-    for width in GRAMS:
+    for width, slots in _gram_slots(data):
         some, ranges = _gram_ranges(first, last, width)
         if not len(some):
             continue
-        values = odds["gram"][_gram_slots(data, width)]
+        values = odds["gram"][slots]
         values = np.append(values, np.zeros(2, np.float32))
         out[1, some] = np.maximum(out[1, some], np.maximum.reduceat(values, ranges)[::2])
         out[2, some] += np.add.reduceat(values, ranges)[::2]
@@ -115,12 +140,11 @@ def _odds(texts: list[bytes], toxic: np.ndarray) -> dict:
         data, first, last, _ = _parted([text])
         if not len(first):
             continue
-        counts["word"][label, np.unique(_word_slots(data, first, last))] += 1
+        counts["word"][label, np.unique(_word_slots(T.word_hashes(data, first, last)))] += 1
         seen = []
-        for width in GRAMS:
+        for width, slots in _gram_slots(data):
             some, ranges = _gram_ranges(first, last, width)
             if len(some):
-                slots = _gram_slots(data, width)
                 inside = np.zeros(len(data) + 1, np.int32)
                 np.add.at(inside, ranges[::2], 1)
                 np.add.at(inside, ranges[1::2], -1)
@@ -241,7 +265,9 @@ def _slide(a: np.ndarray, U: np.ndarray, read: np.ndarray, order, n: int, out: n
     sigmoid is a tanh of half its argument."""
     H = HIDDEN
     h = np.zeros((H, n), np.float32)
-    gates, g, b = (np.empty((k * H, n), np.float32) for k in (2, 1, 3))
+    gates, g, b = (np.empty((k, n), np.float32) for k in (2 * H, H, 3 * H + 2))
+    both = np.concatenate([U, read])  # a state is read with the next step's product
+    last = None
     for step, t in enumerate(order):
         at = a[:, t : t + n]
         if step == 0:  # from a state of zeros the reset gate and U have no part
@@ -250,20 +276,22 @@ def _slide(a: np.ndarray, U: np.ndarray, read: np.ndarray, order, n: int, out: n
             gates[:H] *= -0.5
             gates[:H] += 0.5
             h *= gates[:H]
-            out[t] += read @ h
+            last = t
             continue
-        np.matmul(U, h, out=b)
+        np.matmul(both, h, out=b)
+        out[last] += b[3 * H :]
         np.add(at[: 2 * H], b[: 2 * H], out=gates)
         np.tanh(gates, out=gates)
         gates *= 0.5
         gates += 0.5
-        np.multiply(gates[H:], b[2 * H :], out=g)
+        np.multiply(gates[H:], b[2 * H : 3 * H], out=g)
         g += at[2 * H :]
         np.tanh(g, out=g)
         h -= g
         h *= gates[:H]
         h += g
-        out[t] += read @ h
+        last = t
+    out[last] += read @ h
 
 
 def window_scores(p: dict, x: np.ndarray, bounds: np.ndarray, part: int = 4096) -> tuple[np.ndarray, ...]:

@@ -116,3 +116,22 @@ def test_edge_rows(spark):
         assert all(r.score == 0 for r in out if r.doc_id in (1, 2, 3))
     assert X.score(frame(spark, []), None).collect() == []
     assert X.fit(frame(spark, []), labels) is None
+
+
+def test_each_distinct_word_is_looked_up_once():
+    rng = np.random.default_rng(5)
+    table = rng.normal(0, 1, 1 << X.BITS).astype(np.float32)
+    looked = []
+
+    class Counted:
+        def __getitem__(self, slots):
+            looked.append(len(slots))
+            return table[slots]
+
+    words = [b"stable", b"a", "naïve".encode(), b"table", b"stables"]
+    picks = rng.integers(0, len(words), 2000)
+    data, first, last, _ = X._parted([b" ".join(words[i] for i in picks[:900]), b"", b" ".join(words[i] for i in picks[900:])])
+    x = X.features(data, first, last, {"word": Counted(), "gram": Counted()})
+    assert sum(looked) < 5 * 50
+    alone = [X.features(*X._parted([w])[:3], {"word": table, "gram": table}) for w in words]
+    assert np.array_equal(x, np.concatenate([alone[i] for i in picks], axis=1))
